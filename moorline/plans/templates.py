@@ -18,16 +18,14 @@ PLAIN = r"\$\{(?P<braced>[^}]*)\}|\bcontext\.(?P<dotted>\w+)"
 TOKEN = re.compile(
     r"(?P<comment>--[^\n]*|/\*.*?\*/)"
     rf"|{SPLICED}"
-    r"""|(?P<quoted>'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`[^`]*`)"""
+    r"""|(?P<typed>\b(?:DATE|TIMESTAMP(?:_NTZ|_LTZ)?|TIME|INTERVAL)\s+)?"""
+    r"""(?P<quoted>'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`[^`]*`)"""
     rf"|{PLAIN}",
-    re.DOTALL,
+    re.DOTALL | re.IGNORECASE,
 )
 INNER = re.compile(PLAIN)
 NUMBER = re.compile(r"[+-]?\d+(\.\d+)?")
 NAME = re.compile(r"[A-Za-z_]\w*(\.[A-Za-z_]\w*)*")
-ESCAPE = re.compile(r"\\(.)|''|\"\"", re.DOTALL)
-# Backslash escapes of a SQL string literal.
-ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "b": "\b", "0": "\0"}
 
 
 class _Parameters:
@@ -65,37 +63,29 @@ class _Parameters:
             return f"IDENTIFIER({self.bind(str(value))})"
         raise ValueError(f"placeholder {name!r} stands outside quotes, but its value is no number and no name: {value!r}")
 
-    def quoted(self, token: str) -> str:
-        """A literal that may hold placeholders becomes one bound string."""
-        known = [m for m in INNER.finditer(token) if m["braced"] is not None or m["dotted"].lower() in self.values]
-        if not known:
-            return token
-        if len(known) == 1 and known[0].group() == token[1:-1]:
-            value = self.find(known[0]["braced"] or known[0]["dotted"])
-            if token[0] != "`":
-                return self.text(value)
-
-        def plain(match: re.Match) -> str:
-            if match["braced"] is None and match["dotted"].lower() not in self.values:
-                return match.group()
-            return str(self.find(match["braced"] or match["dotted"]))
+    def quoted(self, token: str, typed: str | None) -> str:
+        """A literal that is one placeholder becomes a bound string.
 
-        if token[0] == "`":
-            return "`" + INNER.sub(plain, token[1:-1]).replace("`", "``") + "`"
-        pieces, end = [], 1
-        for match in known:
-            pieces += [_unescape(token[end:match.start()]), plain(match)]
-            end = match.end()
-        return self.bind("".join(pieces) + _unescape(token[end:-1]))
+        Elsewhere inside quotes, and after a type name such as DATE where the grammar
+        wants a literal, the value is escaped and stays within the quotes.
+        """
+        quote, whole = token[0], INNER.fullmatch(token, 1, len(token) - 1)
+        if whole and quote != "`" and not typed and self.is_placeholder(whole):
+            return self.text(self.find(whole["braced"] or whole["dotted"]))
 
+        def inside(match: re.Match) -> str:
+            if not self.is_placeholder(match):
+                return match.group()
+            value = str(self.find(match["braced"] or match["dotted"]))
+            if quote == "`":
+                return value.replace("`", "``")
+            return value.replace("\\", "\\\\").replace(quote, "\\" + quote)
 
-def _unescape(text: str) -> str:
-    def one(match: re.Match) -> str:
-        if match[1] is None:
-            return match.group()[0]
-        return match.group() if match[1] in "%_" else ESCAPES.get(match[1], match[1])
+        return (typed or "") + INNER.sub(inside, token)
 
-    return ESCAPE.sub(one, text)
+    def is_placeholder(self, match: re.Match) -> bool:
+        """Inside quotes ``context.x`` may be plain text; a braced name never is."""
+        return match["dotted"] is None or match["dotted"].lower() in self.values
 
 
 def bind_template(text: str, params: Mapping | None = None) -> tuple[str, dict[str, object]]:
@@ -114,7 +104,7 @@ def bind_template(text: str, params: Mapping | None = None) -> tuple[str, dict[s
             quoted = match["splice"] != '"'
             return bound.text(bound.find(match["spliced"])) if quoted else bound.bare(match["spliced"])
         if match["quoted"] is not None:
-            return bound.quoted(match.group())
+            return bound.quoted(match["quoted"], match["typed"])
         return bound.bare(match["braced"] if match["braced"] is not None else match["dotted"])
 
     return TOKEN.sub(replace, text), bound.args

@@ -15,30 +15,28 @@ IS_BAD = "is_bad"
 def read_quarantined(spark: SparkSession, path, schema: StructType | str, fmt: str = "csv", opts=None) -> DataFrame:
     """Permissive scan that carries the raw text of malformed rows in ``_bad_record``.
 
-    Column pruning is off for CSV: a pruned parse does not look at the other fields, so
-    a row would be good or bad depending on the columns a later step selects.
+    A text reader converts only the fields a query selects, so by itself it would call a
+    row good or bad depending on a later projection. Here ``_bad_record`` reads every
+    field, and CSV column pruning is off so that short and long rows are seen too.
     """
     declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    if BAD_RECORD not in declared.fieldNames():
-        declared = StructType(declared.fields).add(BAD_RECORD, StringType())
+    fields = [f for f in declared.fieldNames() if f != BAD_RECORD]
+    declared = StructType([declared[f] for f in fields]).add(BAD_RECORD, StringType())
     if fmt == "csv":
-        return read_csv(spark, path, declared, {"columnPruning": "false", **(opts or {})})
-    if fmt == "json":
-        return read_json(spark, path, declared, opts)
-    raise ValueError(f"no malformed-row capture for format {fmt!r}")
+        rows = read_csv(spark, path, declared, {"columnPruning": "false", **(opts or {})})
+    elif fmt == "json":
+        rows = read_json(spark, path, declared, opts)
+    else:
+        raise ValueError(f"no malformed-row capture for format {fmt!r}")
+    # True for every row, but not known to be until all fields are read.
+    whole = F.xxhash64(*fields) >= F.lit(-(2**63))
+    return rows.withColumn(BAD_RECORD, F.when(whole, F.col(BAD_RECORD)))
 
 
 def split_bad_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows without the raw-text column, and bad rows with it.
-
-    The rest of the row rides along in the filter, because the text readers refuse a
-    query that touches nothing but the raw-text column.
-    """
-    fields = [c for c in df.columns if c != BAD_RECORD]
-    whole = F.struct(*fields).isNotNull()
-    good = df.where(F.col(BAD_RECORD).isNull() & whole).select(*fields)
-    bad = df.where(F.col(BAD_RECORD).isNotNull() & whole)
-    return good, bad
+    """Good rows without the raw-text column, and bad rows with it."""
+    good = df.where(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD)
+    return good, df.where(F.col(BAD_RECORD).isNotNull())
 
 
 def write_with_quarantine(df: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
