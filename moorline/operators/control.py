@@ -13,6 +13,7 @@ from moorline.functions.columns import json_context, json_is_malformed, run_dura
 from moorline.operators.aggregates import RECORDS_PER_ARRAY, collect_records
 from moorline.operators.latest import first_per_key, latest_per_key
 from moorline.operators.project import iso_record
+from moorline.session import materialize
 
 
 def _table(required: str, texts: str = "", **others) -> StructType:
@@ -83,19 +84,16 @@ def resolve_parameters(
     master = first_per_key(job_master, ["job_name"], ["job_id"])
     dates = process_control.select("entity", "source_system").distinct()
     ready = requests.select(*REQUEST).distinct().join(dates, ["entity", "source_system"], "left_semi")
-    jobs = ready.join(master, "job_name").select(
-        *REQUEST,
-        "job_id",
-        F.struct("env", "entity", "source_system", "job_name", "job_id").alias("metadata"),
-        F.struct(*JOB_MASTER.fieldNames()).alias("job_master"),
+    metadata = F.struct("env", "entity", "source_system", "job_name", "job_id").alias("metadata")
+    jobs, _ = materialize(
+        ready.join(master, "job_name").select(metadata, F.struct(*JOB_MASTER.fieldNames()).alias("job_master")), "jobs"
     )
-    head = ["metadata", "job_master"]
 
     def children(name: str, table: DataFrame, keys: dict[str, str], rank: Sequence[str]) -> DataFrame:
         rows = iso_record(table)
         record = F.struct(*rank, *[c for c in rows.columns if c not in rank]).alias(name)
-        links = jobs.select(*head, *[F.col(job).alias(key) for key, job in keys.items()])
-        return links.join(rows.select(*keys, record), list(keys)).select(*head, name)
+        links = jobs.select("metadata", *[F.col(f"metadata.{field}").alias(key) for key, field in keys.items()])
+        return links.join(rows.select(*keys, record), list(keys)).select("metadata", name)
 
     sections = [
         children("job_dependency", job_dependency, {"dependent_job_id": "job_id"}, ["parent_job_id"]),
@@ -104,15 +102,18 @@ def resolve_parameters(
         children("sys_params", sys_params, {"environment": "env", "key_name": "job_name"}, ["param_key"]),
     ]
     names = [section.columns[-1] for section in sections]
-    rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), sections)
-    parts = collect_records(rows, head, names, per_array)
+    # Written once: the rows are counted per document, and then gathered.
+    rows, _ = materialize(
+        reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), sections), "children"
+    )
+    parts = collect_records(rows, ["metadata"], names, per_array).join(jobs, "metadata")
 
     def section(name: str) -> Column:
         return F.transform(F.filter("records", lambda r: r[name].isNotNull()), lambda r: r[name])
 
     newest_first = F.reverse(section("process_control"))
     return parts.select(
-        *head, "part", section("job_dependency").alias("job_dependency"), newest_first.alias("process_control"),
+        "metadata", "job_master", "part", section("job_dependency").alias("job_dependency"), newest_first.alias("process_control"),
         section("sys_params").alias("sys_params"),
     )
 

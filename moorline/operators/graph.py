@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,45 +25,38 @@ def dependency_levels(
 ) -> DataFrame:
     """Level of every node: 0 without parents, else one more than its deepest parent.
 
-    Each round settles the nodes whose parents are all settled and keeps only the edges
-    still open, so the data shrinks from round to round and a node is settled once,
-    however many paths lead to it. A cycle raises and names nodes that wait on it.
+    An edge stays open as long as its parent has an open edge itself, so the edge table
+    shrinks from round to round, and a node's level is the number of rounds in which it
+    has an open edge. Each round is one semi join, however many paths lead to a node. A
+    cycle raises and names jobs that wait on it.
     """
     open_edges, n_open = materialize(_links(edges, child, parent), "edges")
-    waiting = open_edges.select("child").distinct()
-    everyone = open_edges.select(F.col("parent").alias(node)).union(edges.select(F.col(child).alias(node)))
-    everyone = everyone.where(F.col(node).isNotNull()).distinct()
-    settled, _ = materialize(everyone.join(waiting, F.col(node) == F.col("child"), "left_anti"), "level")
-    levels = settled.withColumn("level", F.lit(0))
-    level = 0
+    levels = [edges.select(F.col(child).alias(node)), open_edges.select(F.col("parent").alias(node))]
+    levels = [nodes.where(F.col(node).isNotNull()).withColumn("level", F.lit(0)) for nodes in levels]
     while n_open:
-        left = open_edges.join(settled, F.col("parent") == F.col(node), "left_anti")
-        left, n_left = materialize(left, "edges")
+        levels.append(open_edges.select(F.col("child").alias(node), F.lit(len(levels) - 1).alias("level")))
+        waiting = open_edges.select(F.col("child").alias("waiting")).distinct()
+        left, n_left = materialize(open_edges.join(waiting, F.col("parent") == F.col("waiting"), "left_semi"), "edges")
         if n_left == n_open:
-            stuck = [str(row["child"]) for row in left.select("child").distinct().orderBy("child").limit(10).collect()]
+            stuck = [str(row[0]) for row in left.select("child").distinct().orderBy("child").limit(10).collect()]
             raise ValueError(f"dependency cycle; waiting on it: {', '.join(stuck)}")
-        waiting, before = left.select("child").distinct(), open_edges.select(F.col("child").alias(node)).distinct()
-        settled, _ = materialize(before.join(waiting, F.col(node) == F.col("child"), "left_anti"), "level")
-        level += 1
-        levels = levels.union(settled.withColumn("level", F.lit(level)))
         open_edges, n_open = left, n_left
-    return levels
+    return reduce(DataFrame.union, levels).groupBy(node).agg(F.max("level").alias("level"))
 
 
 def dependency_closure(
     edges: DataFrame, job_id: str, child: str = "dependent_job_id", parent: str = "parent_job_id", node: str = "job_id"
 ) -> DataFrame:
     """Every job that ``job_id`` needs, directly or through others, with the least distance."""
-    links = _links(edges, child, parent)
-    start = links.where(F.col("child") == F.lit(job_id)).select(F.col("parent").alias(node))
-    frontier, found = materialize(start.where(F.col(node) != F.lit(job_id)), "frontier")
-    reached = frontier.withColumn("distance", F.lit(1))
-    distance = 1
+    links, _ = materialize(_links(edges, child, parent), "edges")
+    other = F.col(node) != F.lit(job_id)
+    start = links.where(F.col("child") == F.lit(job_id)).select(F.col("parent").alias(node)).where(other)
+    frontier, found = materialize(start, "frontier")
+    rounds = [frontier.withColumn("distance", F.lit(1))]
     while found:
-        step = links.join(frontier, F.col("child") == F.col(node), "left_semi")
-        step = step.select(F.col("parent").alias(node)).distinct().where(F.col(node) != F.lit(job_id))
-        seen = reached.select(F.col(node).alias("seen"))
-        frontier, found = materialize(step.join(seen, F.col(node) == F.col("seen"), "left_anti"), "frontier")
-        distance += 1
-        reached = reached.union(frontier.withColumn("distance", F.lit(distance)))
-    return reached
+        step = links.join(frontier, F.col("child") == F.col(node), "left_semi").select(F.col("parent").alias(node))
+        seen = reduce(DataFrame.union, rounds).select(F.col(node).alias("seen"))
+        fresh = step.where(other).distinct().join(seen, F.col(node) == F.col("seen"), "left_anti")
+        frontier, found = materialize(fresh, "frontier")
+        rounds.append(frontier.withColumn("distance", F.lit(len(rounds) + 1)))
+    return reduce(DataFrame.union, rounds)
