@@ -20,6 +20,7 @@ from moorline.operators.project import (
     iso_record,
     json_record,
     require_params,
+    require_values,
     with_derived,
 )
 from moorline.operators.quality import null_profile, table_sample, validate_non_null, verify_tables

@@ -67,6 +67,16 @@ def json_record(df: DataFrame, name: str = "record") -> DataFrame:
     return iso_record(df).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(name))
 
 
+def require_values(df: DataFrame, columns: Sequence[str] = ("biz_dt",)) -> DataFrame:
+    """The frame itself; a row without a value in one of ``columns`` raises when it is read."""
+
+    def checked(name: str) -> Column:
+        missing = F.raise_error(F.lit(f"missing required parameter: {name}"))
+        return F.when(F.col(name).isNull(), missing).otherwise(F.col(name)).cast(df.schema[name].dataType)
+
+    return df.withColumns({name: checked(name) for name in columns})
+
+
 def require_params(params: Mapping, names: Sequence[str] = ("biz_dt",)) -> None:
     """Raise before any work starts when a parameter is missing or blank."""
     missing = [name for name in names if params.get(name) in (None, "")]

@@ -41,17 +41,20 @@ def legacy_templated_sql(t):
     return run_stage(t.spark, Stage("legacy", sql=statement), params)
 
 
+# Contracts are summed per customer before the join, so a customer with very many of them
+# is reduced in each task before anything is shuffled on the customer number.
 CHAIN = [
     Stage("joined_data", sql="""
-        SELECT c_custkey AS customer_id, c_name, c_mktsegment, o_orderkey, o_orderdate,
-               CAST(o_totalprice AS DECIMAL(18, 2)) AS amount
-        FROM contracts JOIN customers ON c_custkey = o_custkey"""),
+        SELECT c_nationkey, c_mktsegment, contracts, amount, last_date
+        FROM customers JOIN (
+            SELECT o_custkey, count(*) AS contracts, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS amount,
+                   max(o_orderdate) AS last_date
+            FROM contracts GROUP BY o_custkey) ON c_custkey = o_custkey"""),
     Stage("aggregated_data", sql="""
-        SELECT customer_id, c_name, c_mktsegment, count(*) AS contracts, sum(amount) AS amount, max(o_orderdate) AS last_date
-        FROM joined_data GROUP BY customer_id, c_name, c_mktsegment HAVING count(*) > ${least}"""),
+        SELECT c_nationkey, c_mktsegment, sum(contracts) AS contracts, sum(amount) AS amount, max(last_date) AS last_date
+        FROM joined_data GROUP BY c_nationkey, c_mktsegment HAVING sum(contracts) > ${least}"""),
     Stage("transformed_data", sql="""
-        SELECT customer_id, upper(c_name) AS customer_name, c_mktsegment, contracts, CAST(amount AS DOUBLE) AS amount,
-               '${biz_dt}' AS biz_dt,
+        SELECT c_nationkey, lower(c_mktsegment) AS segment, contracts, CAST(amount AS DOUBLE) AS amount, '${biz_dt}' AS biz_dt,
                CASE WHEN last_date >= DATE '${process_from_date}' THEN 'ACTIVE' ELSE 'EXPIRED' END AS biz_status
         FROM aggregated_data"""),
     Stage("output_active", sql="SELECT * FROM transformed_data WHERE biz_status = 'ACTIVE'"),
@@ -60,11 +63,11 @@ CHAIN = [
 
 
 @query("""
-    SELECT c_custkey AS customer_id, upper(c_name) AS customer_name, c_mktsegment, count(*) AS contracts,
+    SELECT c_nationkey, lower(c_mktsegment) AS segment, count(*) AS contracts,
            CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS amount, '2025-05-31' AS biz_dt,
-           CASE WHEN max(o_orderdate) >= DATE '2001-06-01' THEN 'ACTIVE' ELSE 'EXPIRED' END AS biz_status
-    FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY c_custkey, c_name, c_mktsegment HAVING count(*) > 5""")
+           CASE WHEN max(o_orderdate) >= DATE '2001-07-25' THEN 'ACTIVE' ELSE 'EXPIRED' END AS biz_status
+    FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY c_nationkey, c_mktsegment HAVING count(*) > 5""")
 def stage_chain(t):
     _views(t)
-    frames = run_stages(t.spark, CHAIN, {"biz_dt": "2025-05-31", "process_from_date": "2001-06-01", "least": 5})
+    frames = run_stages(t.spark, CHAIN, {"biz_dt": "2025-05-31", "process_from_date": "2001-07-25", "least": 5})
     return union_outputs([frames["output_active"], frames["output_expired"]])

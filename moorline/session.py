@@ -20,7 +20,8 @@ def apply_profile(spark: SparkSession, profile: str = "medium", input_bytes: int
 
     A profile is a fixed width, and adaptive execution can only narrow it. Pass
     ``input_bytes`` for inputs beyond the profile: the width then grows so that one
-    shuffle partition stays near 200 MB. Returns the width that was set.
+    shuffle partition stays near 200 MB. A skewed join key is split even where a step
+    after the join then needs a shuffle of its own. Returns the width that was set.
     """
     if profile not in PROFILES:
         raise ValueError(f"unknown profile {profile!r}; choose one of {', '.join(PROFILES)}")
@@ -30,6 +31,7 @@ def apply_profile(spark: SparkSession, profile: str = "medium", input_bytes: int
     spark.conf.set("spark.sql.shuffle.partitions", str(width))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return width
 
 
@@ -64,6 +66,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{path}/data"
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The frame with a row counter; ``counter.get["rows"]`` has the count once it was written.
+
+    The count comes with the action that reads the frame, so nothing is computed twice.
+    """
+    counter = Observation()
+    return df.observe(counter, F.count(F.lit(1)).alias("rows")), counter
+
+
 def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Cut lineage with a written table; returns it with its row count.
 
@@ -72,6 +83,6 @@ def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
+    rows, counter = counted(df)
+    rows.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), counter.get["rows"]

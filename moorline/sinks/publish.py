@@ -85,7 +85,7 @@ def upsert_into(
     order_by: Sequence[str] | None = None,
     fmt: str = "orc",
 ) -> int:
-    """Upsert into a partitioned dataset, rewriting only the partitions it touches.
+    """Upsert into a partitioned dataset, reading and rewriting only the partitions it touches.
 
     Touched are the partitions of the updates and, unless the partition columns belong
     to the key, those where an updated key lives now. The new content is staged first,
@@ -95,23 +95,33 @@ def upsert_into(
     base = spark.read.schema(schema).format(fmt).load(path)
     touched = updates.select(*columns).distinct()
     if not set(columns) <= set(keys):
-        moved = base.join(updates, null_safe(base, updates, keys), "left_semi").select(*columns)
-        touched = touched.union(moved).distinct()
+        changed = updates.select(*keys).distinct()
+        homes = base.join(changed, null_safe(base, changed, keys), "left_semi").select(*columns)
+        touched = touched.union(homes).distinct()
     touched, _ = materialize(touched, "touched")
-    affected = base.join(touched, null_safe(base, touched, columns), "left_semi")
+
+    # Partition names only, as many as Spark's own file listing holds.
+    present = [folder for folder in _partition_folders(touched, path, columns) if _exists(spark, folder)]
+    scan = spark.read.schema(schema).format(fmt).option("basePath", path)
+    affected = scan.load(present) if present else spark.createDataFrame([], base.schema)
     staged, rows = materialize(upsert(affected, updates, keys, order_by), "upsert")
     write_df(staged, path, mode="overwrite", fmt=fmt, partitionBy=columns)
 
     # A dynamic overwrite leaves a partition alone when all its rows have moved away.
     left = staged.select(*columns).distinct()
     emptied = touched.join(left, null_safe(touched, left, columns), "left_anti")
-    for row in emptied.toLocalIterator():
-        _drop_partition(spark, path, columns, row)
+    for folder in _partition_folders(emptied, path, columns):
+        fs, target = hadoop_path(spark, folder)
+        fs.delete(target, True)
     return rows
 
 
-def _drop_partition(spark: SparkSession, path: str, columns: Sequence[str], row) -> None:
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
-    folder = "/".join(escape(c, None if row[c] is None else str(row[c])) for c in columns)
-    fs, target = hadoop_path(spark, f"{path.rstrip('/')}/{folder}")
-    fs.delete(target, True)
+def _partition_folders(partitions: DataFrame, path: str, columns: Sequence[str]) -> list[str]:
+    names = partitions.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    rows = partitions.select(*[F.col(c).cast("string") for c in columns]).toLocalIterator()
+    return ["/".join([path.rstrip("/"), *[names.getPartitionPathString(c, row[c]) for c in columns]]) for row in rows]
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    fs, target = hadoop_path(spark, folder)
+    return fs.exists(target)

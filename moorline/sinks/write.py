@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moorline.session import counted
+
 # Default partition columns of a landing dataset.
 LANDING_PARTITIONS = "biz_dt,biz_status"
 
@@ -55,6 +57,6 @@ def write_orc(
 
 def write_counted(df: DataFrame, path: str, **write_args) -> int:
     """Write and return the number of rows written, counted by the write itself."""
-    seen = Observation()
-    write_df(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, **write_args)
-    return seen.get["rows"]
+    rows, counter = counted(df)
+    write_df(rows, path, **write_args)
+    return counter.get["rows"]

@@ -46,7 +46,8 @@ def write_with_quarantine(df: DataFrame, path: str) -> tuple[DataFrame, DataFram
     once and both sides are then read from ORC.
     """
     marked = df.withColumn(IS_BAD, F.col(BAD_RECORD).isNotNull())
-    write_orc(marked, path, mode="overwrite", partitionBy=[IS_BAD], rebalance=False)
+    whole = {"partitionOverwriteMode": "static"}
+    write_orc(marked, path, mode="overwrite", partitionBy=[IS_BAD], opts=whole, rebalance=False)
     landed = df.sparkSession.read.schema(marked.schema).orc(path)
     good = landed.where(~F.col(IS_BAD)).drop(IS_BAD, BAD_RECORD)
     return good, landed.where(F.col(IS_BAD)).drop(IS_BAD)
