@@ -79,7 +79,8 @@ class _Parameters:
             value = str(self.find(match["braced"] or match["dotted"]))
             if quote == "`":
                 return value.replace("`", "``")
-            return value.replace("\\", "\\\\").replace(quote, "\\" + quote)
+            # The dollar sign too: Spark resolves ${...} in statement text by itself.
+            return value.replace("\\", "\\\\").replace(quote, "\\" + quote).replace("$", "\\u0024")
 
         return (typed or "") + INNER.sub(inside, token)
 
