@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from moorline.functions import epoch_micros, micros_to_timestamp
 from moorline.operators import (
+    collect_records,
     dependency_closure,
     dependency_levels,
     direct_dependencies,
@@ -41,7 +42,7 @@ def _edges(t):
     WITH RECURSIVE {EDGES},
     walk(job_id, level) AS (
         SELECT CAST(0 AS BIGINT), 0 UNION SELECT e.child, w.level + 1 FROM walk w JOIN edges e ON e.parent = w.job_id)
-    SELECT job_id, max(level) AS level FROM walk GROUP BY job_id""")
+    SELECT job_id, max(level) AS level FROM walk GROUP BY job_id""", name="dependency_levels")
 def dependency_order(t):
     return dependency_levels(_edges(t))
 
@@ -50,16 +51,28 @@ def dependency_order(t):
     WITH RECURSIVE {EDGES},
     walk(job_id, distance) AS (
         SELECT CAST(1 AS BIGINT), 0 UNION SELECT e.child, w.distance + 1 FROM walk w JOIN edges e ON e.parent = w.job_id)
-    SELECT job_id, min(distance) AS distance FROM walk WHERE job_id <> 1 GROUP BY job_id""")
+    SELECT job_id, min(distance) AS distance FROM walk WHERE job_id <> 1 GROUP BY job_id""", name="dependency_closure")
 def dependents_of_job(t):
     return dependency_closure(_edges(t), 1, child="parent_job_id", parent="dependent_job_id")
 
 
-@query(f"WITH {EDGES} SELECT child AS dependent_job_id, parent AS parent_job_id FROM edges WHERE child = 100")
+@query(f"WITH {EDGES} SELECT child AS dependent_job_id, parent AS parent_job_id FROM edges WHERE child = 100", name="direct_dependencies")
 def dependencies_of_job(t):
     return direct_dependencies(_edges(t), 100)
 
 
+@query("""
+    SELECT o_custkey, count(*) AS children, min(o_orderkey) AS first_child, max(o_orderkey) AS last_child
+    FROM orders GROUP BY o_custkey""")
+def child_records(t):
+    arrays = collect_records(t.orders, ["o_custkey"], ["o_orderkey"])
+    return arrays.groupBy("o_custkey").agg(
+        F.sum(F.size("records")).alias("children"),
+        F.min(F.get("records", F.lit(0))["o_orderkey"]).alias("first_child"),
+        F.max(F.element_at("records", -1)["o_orderkey"]).alias("last_child"),
+    )
+
+
 SETTINGS = """
     settings AS (
         SELECT p_type AS environment, p_brand AS key_name, p_name AS param_key, CAST(p_size AS VARCHAR) AS param_value
@@ -75,7 +88,7 @@ def _registry(t):
 @query("""
     SELECT p_brand AS key_name, p_name AS param_key, CAST(p_size AS VARCHAR) AS param_value
     FROM part QUALIFY row_number() OVER (PARTITION BY p_brand, p_name ORDER BY p_partkey DESC) = 1""")
-def settings_as_maps(t):
+def kv_to_map_lookup(t):
     maps = settings_maps(_registry(t), ["key_name"], order_by=["updated_at"])
     return maps.select("key_name", F.explode("settings").alias("param_key", "param_value"))
 
@@ -182,7 +195,7 @@ def _control(t):
            (SELECT count(*) FROM params p WHERE p.key_name = j.job_name AND p.environment = j.env) AS settings,
            (SELECT min(param_key) FROM params p WHERE p.key_name = j.job_name AND p.environment = j.env) AS first_setting
     FROM jobs j WHERE EXISTS (SELECT 1 FROM dates d WHERE d.entity = j.entity AND d.source_system = '1-URGENT')""")
-def nested_parameters(t):
+def nested_params(t):
     documents = resolve_parameters(*_control(t))
     return documents.groupBy("metadata.job_id", "metadata.job_name", "job_master.script_path").agg(
         F.sum(F.size("job_dependency")).alias("dependencies"),
@@ -202,7 +215,7 @@ def nested_parameters(t):
            j.env = 'PROD' AS context_ok
     FROM jobs j JOIN dates d ON d.entity = j.entity AND d.source_system = '1-URGENT'
     QUALIFY row_number() OVER (PARTITION BY j.job_id ORDER BY d.biz_dt DESC) = 1""")
-def flattened_parameters(t):
+def flattened_params(t):
     flat = flatten_parameters(resolve_parameters(*_control(t)))
     return flat.withColumn("segment", F.try_element_at("context_params", F.lit("segment"))).drop("context_params")
 
@@ -214,7 +227,7 @@ def flattened_parameters(t):
     SELECT env, entity, source_system, job_name,
            CASE WHEN job_name NOT IN (SELECT job_name FROM jobs) THEN 'job_master' ELSE 'process_control' END AS missing
     FROM requests r WHERE job_name NOT IN (SELECT job_name FROM jobs)
-       OR NOT EXISTS (SELECT 1 FROM dates d WHERE d.entity = r.entity AND d.source_system = r.source_system)""")
+       OR NOT EXISTS (SELECT 1 FROM dates d WHERE d.entity = r.entity AND d.source_system = r.source_system)""", name="missing_rows")
 def missing_control_rows(t):
     requests, master, _, dates, _ = _control(t)
     suppliers = t.supplier.select(F.lit("PROD").alias("env"), F.concat(F.lit("CUST_"), "s_suppkey").alias("entity"),
@@ -242,7 +255,7 @@ def _run_log(t):
     SELECT sha256(concat_ws('|', job_id, run_id, '1')) AS id, job_id, run_id, CAST(1 AS INTEGER) AS attempt, status, start_time,
            CASE WHEN status <> 'Started' THEN last_end END AS end_time,
            CASE WHEN status <> 'Started' THEN epoch_us(last_end) - epoch_us(start_time) END AS duration_micros FROM runs""")
-def run_log_states(t):
+def run_log_duration(t):
     return run_states(_run_log(t))
 
 

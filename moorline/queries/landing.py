@@ -44,7 +44,7 @@ OUTPUTS = {"ACTIVE": ["o"], "EXPIRED": ["f"]}
            '2025-05-31' AS biz_dt, '2025-05-01' AS etl_start_dt, '2025-05-31' AS etl_end_dt,
            'active' AS biz_status, 'Y' AS change_indicator,
            upper(o_orderpriority) AS entity_new, c_acctbal AS premium_amt
-    FROM orders JOIN customer ON c_custkey = o_custkey""")
+    FROM orders JOIN customer ON c_custkey = o_custkey""", name="lookup_join")
 def lookup_join_constants(t):
     contracts = t.orders.select(
         F.col("o_custkey").alias("customer_id"), F.col("o_orderkey").alias("contract_id"),
@@ -98,7 +98,7 @@ def union_by_name(t):
     return union_outputs([customers, suppliers])
 
 
-@query("SELECT * FROM orders WHERE o_orderdate >= DATE '1996-01-01' AND o_orderdate < DATE '1996-02-01'")
+@query("SELECT * FROM orders WHERE o_orderdate >= DATE '1996-01-01' AND o_orderdate < DATE '1996-02-01'", name="date_window")
 def date_range(t):
     return date_window(t.orders, "o_orderdate", "1996-01-01", "1996-01-31")
 
@@ -108,7 +108,7 @@ def date_range(t):
            c_name, c_mktsegment, n_name, r_name, p_name, p_brand
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
     JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
-    JOIN part ON p_partkey = l_partkey""")
+    JOIN part ON p_partkey = l_partkey""", name="star_join")
 def star_join_sources(t):
     # The contract side is joined first, so the transactions are shuffled once for it.
     portfolio = lookup_join(t.nation, t.region, {"n_regionkey": "r_regionkey"}, ["r_name"])
@@ -147,27 +147,27 @@ def grouped_agg_having(t):
     SELECT strftime(o_orderdate, '%Y-%m-%d') AS biz_dt, count(*) AS total_count,
            count(*) FILTER (o_orderstatus = 'O') AS active_count, count(*) FILTER (o_orderstatus = 'F') AS expired_count,
            count(*) FILTER (o_orderstatus NOT IN ('O', 'F')) AS residual_count
-    FROM orders GROUP BY 1""")
+    FROM orders GROUP BY 1""", name="partition_breakdown")
 def breakdown_by_date(t):
     dated = t.orders.select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("biz_dt"), "o_orderstatus")
     labelled = label_status(dated, "o_orderstatus", OUTPUTS)
     return partition_breakdown(labelled, ["biz_dt"], "biz_status", [*OUTPUTS, RESIDUAL])
 
 
-@query("SELECT count(*) AS row_count FROM lineitem")
+@query("SELECT count(*) AS row_count FROM lineitem", name="total_count")
 def row_count(t):
     return total_count(t.lineitem)
 
 
 @query("""
     SELECT user_id, event_id, ts, event_type, value, props FROM events
-    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""", name="latest_per_key")
 def latest_record(t):
     return latest_per_key(t.events, ["user_id"], ["ts", "event_id"])
 
 
 @query("SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
-def top_records(t):
+def top_n(t):
     return table_sample(t.orders, 10, [F.desc("o_totalprice"), F.asc("o_orderkey")])
 
 
@@ -208,7 +208,7 @@ def change_detection(t):
     return detect_changes(previous, current, ["o_orderkey"], ["o_custkey", "o_orderstatus", "o_totalprice"])
 
 
-@query("SELECT event_id, json_extract_string(props, '$.k') AS k, false AS malformed FROM events")
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k, false AS malformed FROM events", name="json_context")
 def json_context_values(t):
     context = json_context("props")
     return t.events.select("event_id", F.try_element_at(context, F.lit("k")).alias("k"),
@@ -217,7 +217,7 @@ def json_context_values(t):
 
 @query("""
     SELECT event_id, user_id, event_type, value, props,
-           regexp_replace(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '\\.000000$', '') AS ts FROM events""")
+           regexp_replace(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '\\.000000$', '') AS ts FROM events""", name="iso_record")
 def iso_records(t):
     return iso_record(t.events)
 
@@ -225,7 +225,7 @@ def iso_records(t):
 @query("""
     SELECT to_json(struct_pack(o_orderkey := o_orderkey, o_orderstatus := o_orderstatus,
                                o_orderdate := strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')))::VARCHAR AS record
-    FROM orders""")
+    FROM orders""", name="json_record")
 def json_records(t):
     return json_record(t.orders.select("o_orderkey", "o_orderstatus", "o_orderdate"))
 
@@ -273,7 +273,7 @@ def repeated_lookup_keys(t):
            count(*) FILTER (o_totalprice IS NULL) AS o_totalprice_nulls,
            count(*) FILTER (o_orderdate IS NULL) AS o_orderdate_nulls,
            count(*) FILTER (o_orderpriority IS NULL) AS o_orderpriority_nulls
-    FROM orders""")
+    FROM orders""", name="null_profile")
 def null_counts(t):
     return null_profile(t.orders)
 
@@ -284,7 +284,7 @@ def null_counts(t):
     SELECT 'doc_id' AS column_name, count(*) FILTER (doc_id IS NULL) AS null_count,
            count(*) FILTER (doc_id IS NULL) = 0 AS passed FROM joined
     UNION ALL SELECT 'quality', count(*) FILTER (quality IS NULL), count(*) FILTER (quality IS NULL) = 0 FROM joined
-    UNION ALL SELECT 'toxic', count(*) FILTER (toxic IS NULL), count(*) FILTER (toxic IS NULL) = 0 FROM joined""")
+    UNION ALL SELECT 'toxic', count(*) FILTER (toxic IS NULL), count(*) FILTER (toxic IS NULL) = 0 FROM joined""", name="validate_non_null")
 def non_null_validation(t):
     documents = t.documents.select("doc_id").join(t.labels, "doc_id", "left")
     return validate_non_null(documents, ["doc_id", "quality", "toxic"])

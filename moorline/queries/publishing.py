@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from moorline.operators import label_status
+from moorline.operators import label_status, lookup_join
 from moorline.queries.registry import query
 from moorline.session import scratch_path
 from moorline.sinks import (
@@ -42,7 +42,7 @@ def _landed(t):
 
 
 @query(f"WITH {LANDED} SELECT * FROM landed")
-def partitioned_orc_roundtrip(t):
+def orc_roundtrip(t):
     return read_orc(t.spark, _landed(t), _contracts(t).schema)
 
 
@@ -79,8 +79,21 @@ def counted_write(t):
     return literal_rows(t.spark, [(rows,)], "rows_written BIGINT")
 
 
+@query(f"""
+    WITH {LANDED}
+    SELECT biz_dt, biz_status, count(*) AS row_count, (SELECT count(*) FROM orders JOIN customer ON c_custkey = o_custkey) AS written
+    FROM landed JOIN customer ON c_custkey = o_custkey GROUP BY biz_dt, biz_status""")
+def lookup_publish(t):
+    """Lookup join into a partitioned ORC dataset, with counts from the write and by partition."""
+    path = scratch_path(t.spark, "lookup")
+    joined = lookup_join(_contracts(t), t.customer, {"o_custkey": "c_custkey"}, ["c_acctbal"])
+    written = write_counted(joined, path, mode="overwrite", fmt="orc", partitionBy=PARTITIONS, opts={"compression": "snappy"})
+    landed = read_orc(t.spark, path, joined.schema)
+    return landed.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("row_count"), F.lit(written).cast("bigint").alias("written"))
+
+
 @query("""
-    SELECT * FROM orders WHERE (o_orderdate, o_orderstatus) NOT IN (SELECT l_shipdate, l_linestatus FROM lineitem)""")
+    SELECT * FROM orders WHERE (o_orderdate, o_orderstatus) NOT IN (SELECT l_shipdate, l_linestatus FROM lineitem)""", name="skip_published")
 def skip_published_partitions(t):
     shipped = t.lineitem.select(F.col("l_shipdate").alias("o_orderdate"), F.col("l_linestatus").alias("o_orderstatus"))
     return skip_published(t.orders, shipped, ["o_orderdate", "o_orderstatus"])

@@ -23,12 +23,13 @@ class Tables:
         return self.spark.read.parquet(self.path(name))
 
 
-def query(sql: str):
-    """Register a function of :class:`Tables` under its own name."""
+def query(sql: str, name: str | None = None):
+    """Register a function of :class:`Tables` under ``name``, or its own name."""
 
     def register(build: Callable[[Tables], DataFrame]):
-        QUERIES[build.__name__] = lambda spark, folder: build(Tables(spark, folder))
-        ORACLES[build.__name__] = sql
+        key = name or build.__name__
+        QUERIES[key] = lambda spark, folder: build(Tables(spark, folder))
+        ORACLES[key] = sql
         return build
 
     return register

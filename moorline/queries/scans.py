@@ -49,7 +49,7 @@ def json_roundtrip(t):
     return read_json(t.spark, _landed(t, t.orders, "json"), t.orders.schema)
 
 
-@query(ALL_ORDERS)
+@query(ALL_ORDERS, name="csv_to_orc")
 def csv_to_orc_conversion(t):
     source = _landed(t, t.orders, "csv", header="true")
     return csv_to_orc(t.spark, source, scratch_path(t.spark, "orc"), t.orders.schema)

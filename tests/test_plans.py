@@ -7,8 +7,8 @@ from __spark_entry__ import queries
 FOLDER = "/root/testdata/sf0.001"
 # Queries that run jobs of their own before they return their plan.
 EAGER = {
-    "dependency_order", "dependents_of_job", "nested_parameters", "flattened_parameters", "settings_as_maps",
-    "partition_upsert", "counted_write",
+    "dependency_levels", "dependency_closure", "nested_params", "flattened_params", "kv_to_map_lookup", "child_records",
+    "partition_upsert", "counted_write", "lookup_publish",
 }
 
 
@@ -34,7 +34,7 @@ def test_no_broadcast_without_a_size(spark):
     """With automatic broadcast off nothing is broadcast: no hint is left in the plans."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in ("lookup_join_constants", "star_join_sources", "keyed_upsert", "skip_published_partitions", "stage_chain"):
+        for name in ("lookup_join", "star_join", "keyed_upsert", "skip_published", "stage_chain"):
             assert "Broadcast" not in plan(queries()[name](spark, FOLDER))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -43,7 +43,7 @@ def test_no_broadcast_without_a_size(spark):
 @pytest.mark.parametrize("name, filters", [
     ("conjunctive_filter", ["EqualTo(o_orderstatus,F)", "EqualTo(o_orderpriority,1-URGENT)"]),
     ("star_derived", ["EqualTo(c_mktsegment,BUILDING)"]),
-    ("date_range", ["GreaterThanOrEqual(o_orderdate,1996-01-01T00:00)", "LessThan(o_orderdate,1996-02-01T00:00)"]),
+    ("date_window", ["GreaterThanOrEqual(o_orderdate,1996-01-01T00:00)", "LessThan(o_orderdate,1996-02-01T00:00)"]),
     ("templated_sql", ["EqualTo(o_orderstatus,F)", "GreaterThan(o_totalprice,100000.5)"]),
 ])
 def test_filters_reach_the_scan(spark, name, filters):
@@ -64,13 +64,13 @@ def test_partition_filter_prunes_folders(spark):
 
 
 @pytest.mark.parametrize("name, exchanges", [
-    ("latest_record", 1), ("change_detection", 1), ("breakdown_by_date", 1), ("status_split_union", 0), ("top_records", 0),
-    ("settings_with_defaults", 1), ("run_log_states", 1),
+    ("latest_per_key", 1), ("change_detection", 1), ("partition_breakdown", 1), ("status_split_union", 0), ("top_n", 0),
+    ("settings_with_defaults", 1), ("run_log_duration", 1),
 ])
 def test_shuffles(spark, name, exchanges):
     assert plan(queries()[name](spark, FOLDER)).count("Exchange ") == exchanges
 
 
-@pytest.mark.parametrize("name", ["latest_record", "change_detection", "run_log_states", "settings_with_defaults", "breakdown_by_date"])
+@pytest.mark.parametrize("name", ["latest_per_key", "change_detection", "run_log_duration", "settings_with_defaults", "partition_breakdown"])
 def test_aggregates_before_the_shuffle(spark, name):
     assert "partial_" in plan(queries()[name](spark, FOLDER))
