@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moorline.operators.changes import null_safe
+from moorline.operators.keys import key_columns, null_safe
 from moorline.operators.latest import latest_per_key
 from moorline.session import materialize
 
@@ -80,12 +80,14 @@ def collect_records(
         return gather(df.withColumn("part", F.lit(0)))
 
     # At most rows / per_array keys; broadcast within a checked count, shuffled beyond it.
-    side = F.broadcast(large) if n_large <= BROADCAST_KEYS else large
-    small = gather(df.join(side, null_safe(df, side, keys), "left_anti").withColumn("part", F.lit(0)))
+    side = large.select(*key_columns(keys), "parts")
+    side = F.broadcast(side) if n_large <= BROADCAST_KEYS else side
+    matched = null_safe(df, side, keys)
+    small = gather(df.join(side, matched, "left_anti").withColumn("part", F.lit(0)))
 
     # Exact copies are counted before the shuffle and cut into slices, so that a group of
     # copies spreads over the parts like any other rows.
-    pairs = df.join(side, null_safe(df, side, keys), "inner").select(*[df[c] for c in df.columns], side["parts"])
+    pairs = df.join(side, matched, "inner").select(*[df[c] for c in df.columns], side["parts"])
     copies = pairs.groupBy(*df.columns, "parts").agg(F.count(F.lit(1)).alias("copies"))
     step = max(1, per_array // 10)
     slices = copies.withColumn("slice", F.explode(F.sequence(F.lit(0), ((F.col("copies") - 1) / step).cast("int"))))

@@ -8,14 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from moorline.operators.keys import without_partner
 from moorline.operators.latest import latest_per_key
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equality of the shared keys in which null matches null."""
-    return reduce(Column.__and__, [left[key].eqNullSafe(right[key]) for key in keys])
-
-
 def _guard(ok: Column, keys: Sequence[str], value: Column) -> Column:
     told = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
     message = F.concat(F.lit(f"duplicate key ({', '.join(keys)}): "), told)
@@ -40,9 +36,7 @@ def upsert(
     shuffled.
     """
     one = latest_per_key(updates, keys, order_by) if order_by else unique_per_key(updates, keys)
-    touched = updates.select(*keys).distinct()
-    kept = base.join(touched, null_safe(base, touched, keys), "left_anti")
-    return kept.unionByName(one.select(*base.columns))
+    return without_partner(base, updates, keys).unionByName(one.select(*base.columns))
 
 
 def detect_changes(

@@ -8,7 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moorline.operators.changes import null_safe, upsert
+from moorline.operators.changes import upsert
+from moorline.operators.keys import with_partner, without_partner
 from moorline.session import hadoop_path, materialize
 from moorline.sinks.write import partition_columns, write_counted, write_df
 
@@ -71,8 +72,7 @@ def atomic_publish(
 
 def skip_published(requested: DataFrame, published: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Rows of ``requested`` whose partition is not published yet."""
-    done = published.select(*partitions).distinct()
-    return requested.join(done, null_safe(requested, done, partitions), "left_anti")
+    return without_partner(requested, published, partitions)
 
 
 def upsert_into(
@@ -95,9 +95,7 @@ def upsert_into(
     base = spark.read.schema(schema).format(fmt).load(path)
     touched = updates.select(*columns).distinct()
     if not set(columns) <= set(keys):
-        changed = updates.select(*keys).distinct()
-        homes = base.join(changed, null_safe(base, changed, keys), "left_semi").select(*columns)
-        touched = touched.union(homes).distinct()
+        touched = touched.union(with_partner(base, updates, keys).select(*columns)).distinct()
     touched, _ = materialize(touched, "touched")
 
     # Partition names only, as many as Spark's own file listing holds.
@@ -108,9 +106,7 @@ def upsert_into(
     write_df(staged, path, mode="overwrite", fmt=fmt, partitionBy=columns)
 
     # A dynamic overwrite leaves a partition alone when all its rows have moved away.
-    left = staged.select(*columns).distinct()
-    emptied = touched.join(left, null_safe(touched, left, columns), "left_anti")
-    for folder in _partition_folders(emptied, path, columns):
+    for folder in _partition_folders(without_partner(touched, staged, columns), path, columns):
         fs, target = hadoop_path(spark, folder)
         fs.delete(target, True)
     return rows

@@ -26,7 +26,7 @@ NOW = datetime.datetime(2026, 1, 31, 1, 2, 3, 456)
 @pytest.fixture(scope="module")
 def control(spark):
     master = [("J1", "landing", '{"table": "t"}', "/s", "first"), ("J2", "transform", "{bad", None, None), ("J0", "transform", None, "/z", None)]
-    dates = [("GELS", "FPMS", DAY(2026, 1, d), DAY(2026, 1, 1), DAY(2026, 1, d), "Y", f"r{d}", NOW, "Y") for d in (25, 27, 26)]
+    dates = [("HARBOUR", "LEDGER", DAY(2026, 1, d), DAY(2026, 1, 1), DAY(2026, 1, d), "Y", f"r{d}", NOW, "Y") for d in (25, 27, 26)]
     needs = [("landing", "J1", "a", "P1"), ("landing", "J1", "b", "P2")]
     params = [(k, e, "landing", f"{k}-{e}", NOW) for k in ("cores", "memory") for e in ("DEV", "PROD")]
     params += [("only.dev", "DEV", "landing", "x", NOW), ("none", "PROD", "landing", None, NOW), ("none", "DEV", "landing", "fallback", NOW)]
@@ -47,10 +47,10 @@ def test_schemas():
 
 
 def test_document(spark, control):
-    docs = resolve_parameters(requests(spark, ("PROD", "GELS", "FPMS", "landing")), *control).collect()
+    docs = resolve_parameters(requests(spark, ("PROD", "HARBOUR", "LEDGER", "landing")), *control).collect()
     assert len(docs) == 1
     doc = docs[0].asDict(recursive=True)
-    assert doc["metadata"] == {"env": "PROD", "entity": "GELS", "source_system": "FPMS", "job_name": "landing", "job_id": "J1"}
+    assert doc["metadata"] == {"env": "PROD", "entity": "HARBOUR", "source_system": "LEDGER", "job_name": "landing", "job_id": "J1"}
     assert doc["job_master"]["script_path"] == "/s"
     assert [d["parent_job_id"] for d in doc["job_dependency"]] == ["P1", "P2"]
     assert [d["biz_dt"] for d in doc["process_control"]] == ["2026-01-27", "2026-01-26", "2026-01-25"]
@@ -60,7 +60,7 @@ def test_document(spark, control):
 
 
 def test_document_in_parts_is_the_same_document(spark, control):
-    wanted = requests(spark, ("PROD", "GELS", "FPMS", "landing"))
+    wanted = requests(spark, ("PROD", "HARBOUR", "LEDGER", "landing"))
     whole, parts = resolve_parameters(wanted, *control).first(), resolve_parameters(wanted, *control, per_array=2).collect()
     assert len(parts) > 1
     for section in ("job_dependency", "process_control", "sys_params"):
@@ -69,7 +69,7 @@ def test_document_in_parts_is_the_same_document(spark, control):
 
 
 def test_flat_row(spark, control):
-    docs = resolve_parameters(requests(spark, ("DEV", "GELS", "FPMS", "landing"), ("DEV", "GELS", "FPMS", "transform")), *control)
+    docs = resolve_parameters(requests(spark, ("DEV", "HARBOUR", "LEDGER", "landing"), ("DEV", "HARBOUR", "LEDGER", "transform")), *control)
     flat = {r.job_name: r for r in flatten_parameters(docs).collect()}
     landing, transform = flat["landing"], flat["transform"]
     assert (landing.biz_dt, landing.run_id, landing.process_from_date) == ("2026-01-27", "r27", "2026-01-01")
@@ -80,15 +80,15 @@ def test_flat_row(spark, control):
 
 def test_malformed_context_is_flagged(spark, control):
     master, *others = control
-    docs = resolve_parameters(requests(spark, ("DEV", "GELS", "FPMS", "transform")), master.where("job_id = 'J2'"), *others)
+    docs = resolve_parameters(requests(spark, ("DEV", "HARBOUR", "LEDGER", "transform")), master.where("job_id = 'J2'"), *others)
     flat = flatten_parameters(docs).first()
     assert flat.context_params is None and not flat.context_ok
 
 
 def test_missing_rows(spark, control):
-    wanted = requests(spark, ("P", "GELS", "FPMS", "landing"), ("P", "GELS", "FPMS", "nobody"), ("P", "GELS", "X", "landing"), ("P", "Q", "X", "nobody"))
+    wanted = requests(spark, ("P", "HARBOUR", "LEDGER", "landing"), ("P", "HARBOUR", "LEDGER", "nobody"), ("P", "HARBOUR", "X", "landing"), ("P", "Q", "X", "nobody"))
     got = sorted((r.job_name, r.source_system, r.missing) for r in missing_rows(wanted, control[0], control[2]).collect())
-    assert got == [("landing", "X", "process_control"), ("nobody", "FPMS", "job_master"), ("nobody", "X", "job_master")]
+    assert got == [("landing", "X", "process_control"), ("nobody", "LEDGER", "job_master"), ("nobody", "X", "job_master")]
     assert resolve_parameters(wanted, *control).count() == 1
 
 

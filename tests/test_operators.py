@@ -217,6 +217,12 @@ def test_upsert(spark):
     assert upsert(base, updates.where("k = 3"), ["k"]).count() == 4
 
 
+def test_upsert_of_a_frame_from_itself(spark):
+    base = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], KEYED)
+    raised = base.where("k = 2").withColumn("v", F.upper("v"))
+    assert rows(upsert(base, raised, ["k"])) == [(1, "a", 0), (2, "B", 0)]
+
+
 def test_unique_per_key(spark):
     df = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], KEYED)
     assert rows(unique_per_key(df, ["k"])) == rows(df)

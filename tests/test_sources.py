@@ -111,9 +111,9 @@ def test_sources_have_their_own_paths(spark, tmp_path):
 
 
 def test_key_values_push_their_filters(spark, tmp_path):
-    rows = [("landing", "gels", "a", "1"), ("landing", "gels", "b", "2"), ("other", "gels", "a", "3")]
+    rows = [("landing", "harbour", "a", "1"), ("landing", "harbour", "b", "2"), ("other", "harbour", "a", "3")]
     table = literal_rows(spark, rows, "module_name STRING, entity STRING, param_key STRING, param_value STRING")
     table.write.parquet(str(tmp_path / "kv"))
-    found = read_key_values(spark, {"module_name": "landing", "entity": "gels"}, fmt="parquet", location=str(tmp_path / "kv"))
+    found = read_key_values(spark, {"module_name": "landing", "entity": "harbour"}, fmt="parquet", location=str(tmp_path / "kv"))
     assert sorted(map(tuple, found.collect())) == [("a", "1"), ("b", "2")]
     assert "EqualTo(module_name,landing)" in found._jdf.queryExecution().toString()
