@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from moorline.session import materialize
 
+ROUNDS_PER_PLAN = 32
+
 
 def direct_dependencies(edges: DataFrame, job_id: str, child: str = "dependent_job_id") -> DataFrame:
     """Edges that start at one job."""
@@ -20,6 +22,13 @@ def _links(edges: DataFrame, child: str, parent: str) -> DataFrame:
     return edges.where(linked).select(F.col(child).alias("child"), F.col(parent).alias("parent")).distinct()
 
 
+def _compact(rounds: list[DataFrame]) -> list[DataFrame]:
+    """Write the rounds so far as one table, so that a deep graph does not grow a deep plan."""
+    if len(rounds) < ROUNDS_PER_PLAN:
+        return rounds
+    return [materialize(reduce(DataFrame.union, rounds), "rounds")[0]]
+
+
 def dependency_levels(
     edges: DataFrame, child: str = "dependent_job_id", parent: str = "parent_job_id", node: str = "job_id"
 ) -> DataFrame:
@@ -33,8 +42,10 @@ def dependency_levels(
     open_edges, n_open = materialize(_links(edges, child, parent), "edges")
     levels = [edges.select(F.col(child).alias(node)), open_edges.select(F.col("parent").alias(node))]
     levels = [nodes.where(F.col(node).isNotNull()).withColumn("level", F.lit(0)) for nodes in levels]
+    level = 0
     while n_open:
-        levels.append(open_edges.select(F.col("child").alias(node), F.lit(len(levels) - 1).alias("level")))
+        level += 1
+        levels = _compact([*levels, open_edges.select(F.col("child").alias(node), F.lit(level).alias("level"))])
         waiting = open_edges.select(F.col("child").alias("waiting")).distinct()
         left, n_left = materialize(open_edges.join(waiting, F.col("parent") == F.col("waiting"), "left_semi"), "edges")
         if n_left == n_open:
@@ -52,11 +63,12 @@ def dependency_closure(
     other = F.col(node) != F.lit(job_id)
     start = links.where(F.col("child") == F.lit(job_id)).select(F.col("parent").alias(node)).where(other)
     frontier, found = materialize(start, "frontier")
-    rounds = [frontier.withColumn("distance", F.lit(1))]
+    distance, rounds = 1, [frontier.withColumn("distance", F.lit(1))]
     while found:
+        distance += 1
         step = links.join(frontier, F.col("child") == F.col(node), "left_semi").select(F.col("parent").alias(node))
         seen = reduce(DataFrame.union, rounds).select(F.col(node).alias("seen"))
         fresh = step.where(other).distinct().join(seen, F.col(node) == F.col("seen"), "left_anti")
         frontier, found = materialize(fresh, "frontier")
-        rounds.append(frontier.withColumn("distance", F.lit(len(rounds) + 1)))
+        rounds = _compact([*rounds, frontier.withColumn("distance", F.lit(distance))])
     return reduce(DataFrame.union, rounds)

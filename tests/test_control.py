@@ -133,6 +133,13 @@ def test_levels_of_random_graphs(spark):
         assert {r.job_id: r.level for r in dependency_levels(edges(spark, *pairs)).collect()} == longest(pairs)
 
 
+def test_deep_graphs_are_compacted(spark, monkeypatch):
+    monkeypatch.setattr("moorline.operators.graph.ROUNDS_PER_PLAN", 3)
+    chain = edges(spark, *[(f"n{i + 1}", f"n{i}") for i in range(7)])
+    assert {r.job_id: r.level for r in dependency_levels(chain).collect()} == {f"n{i}": i for i in range(8)}
+    assert {r.job_id: r.distance for r in dependency_closure(chain, "n7").collect()} == {f"n{7 - i}": i for i in range(1, 8)}
+
+
 @pytest.mark.parametrize("pairs", [[("a", "a")], [("a", "b"), ("b", "c"), ("c", "a"), ("b", "root")]])
 def test_cycles_raise(spark, pairs):
     with pytest.raises(ValueError, match="cycle.*a"):

@@ -205,6 +205,26 @@ def test_profiles(spark):
             spark.conf.set(name, value)
 
 
+class Settings(dict):
+    def set(self, key, value):
+        self[key] = value
+
+
+class Session:
+    def __init__(self, master, **conf):
+        self.conf, self.sparkContext = Settings(conf), type("Context", (), {"master": master})
+
+
+def test_shared_folder(monkeypatch, tmp_path):
+    named = {"spark.checkpoint.dir": "hdfs://host/shared/"}
+    assert shared_dir(Session("yarn", **named)) == "hdfs://host/shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session("yarn"))
+    monkeypatch.setattr("tempfile.mkdtemp", lambda prefix: str(tmp_path / prefix))
+    local = Session("local[2]")
+    assert shared_dir(local) == shared_dir(local) == str(tmp_path / "moorline-")
+
+
 def test_materialize_writes_under_the_shared_folder(spark):
     table, rows = materialize(spark.range(5), "probe")
     assert rows == table.count() == 5
