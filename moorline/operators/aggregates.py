@@ -13,7 +13,7 @@ from moorline.operators.latest import latest_per_key
 from moorline.session import materialize
 
 RECORDS_PER_ARRAY = 100_000
-BROADCAST_KEYS = 500_000
+BROADCAST_KEYS = 100_000
 
 
 def total_count(df: DataFrame, name: str = "row_count") -> DataFrame:

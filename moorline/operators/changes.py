@@ -50,19 +50,18 @@ def detect_changes(
 
     Adds ``change_type`` (I/U/D/N) and ``change_indicator`` (Y/N) to the current row, or
     to the previous row for a deletion. Values compare null-safe. With ``partial_load``
-    the current load lists changes only, so a missing key is no deletion and is left out.
+    the current load lists changes only, so a missing key is no deletion and is left out,
+    and of the previous load only the compared columns are shuffled.
     Both loads go through one aggregation by key, which also finds repeated keys: they
     raise.
     """
     payload = [c for c in current.columns if c not in keys]
     compared = payload if compare_cols is None else list(compare_cols)
 
-    def side(df: DataFrame, is_current: bool) -> DataFrame:
-        row = F.struct(*payload)
-        null = F.lit(None)
-        return df.select(*keys, (null if is_current else row).alias("old"), (row if is_current else null).alias("new"))
-
-    both = side(previous, False).unionByName(side(current, True)).groupBy(*keys).agg(
+    null = F.lit(None)
+    old = previous.select(*keys, F.struct(*(compared if partial_load else payload)).alias("old"), null.alias("new"))
+    new = current.select(*keys, null.alias("old"), F.struct(*payload).alias("new"))
+    both = old.unionByName(new).groupBy(*keys).agg(
         F.any_value("old", True).alias("old"),
         F.any_value("new", True).alias("new"),
         F.count("old").alias("n_old"),
@@ -73,7 +72,7 @@ def detect_changes(
         F.when(F.col("n_old") == 0, "I").when(F.col("n_new") == 0, "D").when(differs, "U").otherwise("N")
     )
     single = (F.col("n_old") <= 1) & (F.col("n_new") <= 1)
-    row = F.coalesce("new", "old")
+    row = F.col("new") if partial_load else F.coalesce("new", "old")
     changes = both.select(
         *keys, row.alias("row"), _guard(single, keys, kind).alias("change_type")
     ).select(

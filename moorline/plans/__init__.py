@@ -1,2 +1,3 @@
+from moorline.plans.landing import land
 from moorline.plans.stages import Stage, load_sql, run_stage, run_stages
 from moorline.plans.templates import bind_template

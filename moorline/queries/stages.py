@@ -1,9 +1,10 @@
 """Templated statements and stage chains."""
 
 from moorline.operators import union_outputs
-from moorline.plans import Stage, run_stage, run_stages
+from moorline.plans import Stage, land, run_stage, run_stages
 from moorline.queries.registry import query
-from moorline.sources import Source, register_sources
+from moorline.session import scratch_path
+from moorline.sources import Source, read_orc, register_sources
 
 
 def _views(t):
@@ -14,6 +15,32 @@ def _views(t):
     })
 
 
+@query("""
+    SELECT o_orderkey AS contract_id, o_custkey AS customer_id, c_name AS customer_name, o_totalprice AS contract_value,
+           CASE o_orderstatus WHEN 'O' THEN 'ACTIVE' ELSE 'EXPIRED' END AS biz_status,
+           strftime(o_orderdate, '%Y') AS biz_dt, 'N' AS change_indicator
+    FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus IN ('O', 'F')""")
+def landing_job(t):
+    """Sources to partitioned ORC in one execution; the change flag is left to its default.
+
+    The split stays a column, so the sources are read once for both outputs.
+    """
+    sources = {"contracts": Source(t.path("orders")), "customers": Source(t.path("customer"))}
+    stages = [
+        Stage("joined_contracts", sql="""
+            SELECT o_orderkey AS contract_id, o_custkey AS customer_id, c_name AS customer_name,
+                   o_totalprice AS contract_value, date_format(o_orderdate, 'yyyy') AS biz_dt,
+                   CASE o_orderstatus WHEN 'O' THEN '${active}' WHEN 'F' THEN '${expired}' END AS biz_status
+            FROM contracts JOIN customers ON c_custkey = o_custkey"""),
+        Stage("landed_contracts", sql="SELECT * FROM joined_contracts WHERE biz_status IN ('${active}', '${expired}')"),
+    ]
+    params = {"biz_dt": "2025-05-31", "active": "ACTIVE", "expired": "EXPIRED"}
+    path = scratch_path(t.spark, "landing-job")
+    land(t.spark, sources, stages, path, params)
+    return read_orc(t.spark, path, "contract_id BIGINT, customer_id BIGINT, customer_name STRING, contract_value DOUBLE, "
+                                   "change_indicator STRING, biz_dt STRING, biz_status STRING")
+
+
 @query("""
     SELECT *, reverse(o_orderpriority) AS derived_business_col FROM orders
     WHERE o_orderstatus = 'F' AND o_totalprice > 100000.5""")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from moorline.plans import Stage, run_stage
+from moorline.plans import Stage, land, run_stage
 from moorline.sinks import create_external_table, partition_counts, repair_table, show_partitions, write_orc
 from moorline.sources import Source, read_orc, register_sources
 
@@ -55,6 +55,21 @@ def test_contract_lookup(spark, tmp_path, end):
     assert spark.table(name).select(F.sum("premium_amt")).first()[0] == sum(n + 69000 for n in range(1000, 1012))
 
 
+def test_landing_run_fills_in_what_the_statement_leaves_out(spark, tmp_path):
+    source = write_text(tmp_path / "c.csv", ["contract_id,entity", "1,ab", "2,cd"], "\n")
+    sources = {"contract_rows": Source(source, schema="contract_id INT, entity STRING")}
+    stages = [Stage("derived", sql="SELECT c.*, reverse(entity) AS derived_business_col FROM ${view_name} c")]
+    path = str(tmp_path / "landing")
+    for day in ("2025-05-31", "2025-06-01", "2025-06-01"):
+        assert land(spark, sources, stages, path, {"biz_dt": day, "view_name": "contract_rows"}) == 2
+    landed = spark.read.schema("contract_id INT, entity STRING, derived_business_col STRING, change_indicator STRING, "
+                               "biz_dt STRING, biz_status STRING").orc(path)
+    assert sorted(map(tuple, landed.collect())) == sorted(
+        (*row, "N", day, "active") for day in ("2025-05-31", "2025-06-01") for row in ((1, "ab", "ba"), (2, "cd", "dc")))
+    with pytest.raises(ValueError, match="biz_dt"):
+        land(spark, sources, stages, path, {"view_name": "contract_rows"})
+
+
 def test_smoke_rows_to_orc(spark, tmp_path):
     rows = [("A", 100), ("B", 200), ("C", 300)]
     write_orc(spark.createDataFrame(rows, "category STRING, value BIGINT"), str(tmp_path / "out"), mode="overwrite")

@@ -8,7 +8,7 @@ FOLDER = "/root/testdata/sf0.001"
 # Queries that run jobs of their own before they return their plan.
 EAGER = {
     "dependency_levels", "dependency_closure", "nested_params", "flattened_params", "kv_to_map_lookup", "child_records",
-    "partition_upsert", "counted_write", "lookup_publish",
+    "partition_upsert", "counted_write", "lookup_publish", "landing_job",
 }
 
 
