@@ -31,7 +31,9 @@ def json_context(text: Column | str) -> Column:
 def json_is_malformed(text: Column | str) -> Column:
     """True for text that is there but does not parse."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(F.trim(text) != "", F.lit(False)) & F.try_parse_json(text).isNull()
+    given = F.coalesce(F.trim(text) != "", F.lit(False))
+    # Only text that is no object is parsed a second time.
+    return given & json_context(text).isNull() & F.try_parse_json(text).isNull()
 
 
 def micros_to_timestamp(micros: Column | str) -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructType, TimestampType
+from pyspark.sql.types import DateType, IntegerType, StringType, StructType, TimestampType
 
 from moorline.functions.columns import json_context, json_is_malformed, run_duration, run_key, run_status
 from moorline.operators.aggregates import RECORDS_PER_ARRAY, collect_records
@@ -25,7 +25,8 @@ def _table(required: str, texts: str = "", **others) -> StructType:
     return schema
 
 
-# The five control tables; the first list of names is the key.
+# The five control tables; the first list of names is the key. Run events
+# are the rows the execution log is derived from.
 JOB_MASTER = _table("job_id job_name", "context_params script_path comments")
 PROCESS_CONTROL = _table(
     "entity source_system biz_dt",
@@ -38,6 +39,10 @@ EXECUTION_LOG = _table(
     "job_id", "id run_id job_name status start_time end_time spark_app_id",
     start_time=TimestampType(), end_time=TimestampType(),
 )
+RUN_EVENT = _table(
+    "job_id run_id attempt", "job_name spark_app_id state error event_time",
+    attempt=IntegerType(), event_time=TimestampType(),
+)
 REQUEST = ["env", "entity", "source_system", "job_name"]
 
 
@@ -147,11 +152,15 @@ def run_events(events: DataFrame) -> DataFrame:
 def run_states(log: DataFrame) -> DataFrame:
     """Latest state of each run: its status, start, end and duration in microseconds.
 
-    A run has ended when an event other than ``Started`` is its latest.
+    A run has ended when an event other than ``Started`` is its latest. Other columns of
+    the log, such as the job name, come from the latest event.
     """
     started = F.col("status") == "Started"
     rank = F.struct("event_time", F.when(started, 0).otherwise(1), "status")
-    runs = log.groupBy("id", "job_id", "run_id", "attempt").agg(
+    run = ["id", "job_id", "run_id", "attempt"]
+    others = [c for c in log.columns if c not in (*run, "state", "error", "status", "event_time")]
+    runs = log.groupBy(*run).agg(
+        *[F.max_by(c, rank).alias(c) for c in others],
         F.max_by("status", rank).alias("status"),
         F.min(F.when(started, F.col("event_time"))).alias("start_time"),
         F.max(F.when(~started, F.col("event_time"))).alias("last_end"),

@@ -18,6 +18,7 @@ from moorline.operators.control import (
     run_events,
     run_states,
 )
+from moorline.plans import logged_run
 
 DAY = datetime.date
 NOW = datetime.datetime(2026, 1, 31, 1, 2, 3, 456)
@@ -170,6 +171,19 @@ def test_run_log(spark):
     assert got["r2", 1].status == "Started" and got["r2", 1].end_time is None and got["r2", 1].duration_micros is None
 
 
+def test_logged_runs(spark, tmp_path):
+    path = str(tmp_path / "log")
+    with logged_run(spark, path, "J", "r1", job_name="landing"):
+        pass
+    with pytest.raises(KeyError):
+        with logged_run(spark, path, "J", "r1", attempt=2):
+            raise KeyError("lost")
+    got = {r.attempt: r for r in run_states(spark.read.parquet(path)).collect()}
+    assert (got[1].status, got[1].job_name, got[2].status) == ("Completed", "landing", "Failed: 'lost'")
+    assert got[1].spark_app_id == spark.sparkContext.applicationId and got[1].duration_micros > 0
+    assert set(EXECUTION_LOG.fieldNames()) <= set(run_states(spark.read.parquet(path)).columns)
+
+
 def test_a_retried_log_row_changes_nothing(spark):
     log = spark.createDataFrame([("J", "r", 1, "Started", None, NOW)], "job_id STRING, run_id STRING, attempt INT, state STRING, error STRING, event_time TIMESTAMP")
     once = run_events(log)

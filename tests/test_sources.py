@@ -11,6 +11,7 @@ from moorline.sources import (
     read_inferred_csv,
     read_json,
     read_key_values,
+    read_orc,
     read_parquet,
     read_quarantined,
     register_sources,
@@ -102,6 +103,15 @@ def test_json_keeps_primitive_types(spark, tmp_path):
     assert dict(read_json(spark, str(tmp_path / "r.json")).dtypes) == {"a": "bigint", "b": "double", "c": "boolean"}
 
 
+def test_orc_options(spark, tmp_path):
+    spark.sql("SELECT 1 AS a").write.orc(str(tmp_path / "t" / "x=1"))
+    spark.sql("SELECT 2 AS a, 'b' AS b").write.orc(str(tmp_path / "t" / "x=2"))
+    merged = read_orc(spark, str(tmp_path / "t"), opts={"mergeSchema": "true"})
+    assert set(merged.columns) == {"a", "b", "x"} and merged.count() == 2
+    flat = read_orc(spark, str(tmp_path / "t"), opts={"recursiveFileLookup": "true"})
+    assert "x" not in flat.columns and flat.count() == 2
+
+
 def test_sources_have_their_own_paths(spark, tmp_path):
     spark.range(2).write.orc(str(tmp_path / "one.orc"))
     spark.range(5).write.json(str(tmp_path / "two.json"))
