@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moorline.operators.keys import without_partner
+from moorline.operators.keys import row_struct, without_partner
 from moorline.operators.latest import latest_per_key
 
 
@@ -21,7 +21,7 @@ def _guard(ok: Column, keys: Sequence[str], value: Column) -> Column:
 def unique_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The frame itself; a key with more than one row raises when the rows are read."""
     rest = [c for c in df.columns if c not in keys]
-    one = df.groupBy(*keys).agg(F.any_value(F.struct(*rest)).alias("row"), F.count(F.lit(1)).alias("copies"))
+    one = df.groupBy(*keys).agg(F.any_value(row_struct(rest)).alias("row"), F.count(F.lit(1)).alias("copies"))
     checked = one.select(*keys, _guard(F.col("copies") == 1, keys, F.col("row")).alias("row"))
     return checked.select(*[c if c in keys else F.col(f"row.`{c}`") for c in df.columns])
 
@@ -57,10 +57,9 @@ def detect_changes(
     """
     payload = [c for c in current.columns if c not in keys]
     compared = payload if compare_cols is None else list(compare_cols)
-
     null = F.lit(None)
-    old = previous.select(*keys, F.struct(*(compared if partial_load else payload)).alias("old"), null.alias("new"))
-    new = current.select(*keys, null.alias("old"), F.struct(*payload).alias("new"))
+    old = previous.select(*keys, row_struct(compared if partial_load else payload).alias("old"), null.alias("new"))
+    new = current.select(*keys, null.alias("old"), row_struct(payload).alias("new"))
     both = old.unionByName(new).groupBy(*keys).agg(
         F.any_value("old", True).alias("old"),
         F.any_value("new", True).alias("new"),
@@ -68,14 +67,10 @@ def detect_changes(
         F.count("new").alias("n_new"),
     )
     differs = reduce(Column.__or__, [~F.col(f"old.`{c}`").eqNullSafe(F.col(f"new.`{c}`")) for c in compared], F.lit(False))
-    kind = (
-        F.when(F.col("n_old") == 0, "I").when(F.col("n_new") == 0, "D").when(differs, "U").otherwise("N")
-    )
+    kind = F.when(F.col("n_old") == 0, "I").when(F.col("n_new") == 0, "D").when(differs, "U").otherwise("N")
     single = (F.col("n_old") <= 1) & (F.col("n_new") <= 1)
     row = F.col("new") if partial_load else F.coalesce("new", "old")
-    changes = both.select(
-        *keys, row.alias("row"), _guard(single, keys, kind).alias("change_type")
-    ).select(
+    changes = both.select(*keys, row.alias("row"), _guard(single, keys, kind).alias("change_type")).select(
         *[c if c in keys else F.col(f"row.`{c}`").alias(c) for c in current.columns],
         "change_type",
         F.when(F.col("change_type") == "N", "N").otherwise("Y").alias("change_indicator"),

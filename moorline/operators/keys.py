@@ -14,6 +14,11 @@ def key_columns(keys: Sequence[str]) -> list[Column]:
     return [F.col(key).alias(f"__key_{i}") for i, key in enumerate(keys)]
 
 
+def row_struct(columns: Sequence[str]) -> Column:
+    """The columns as one struct that is never null, even where there are none."""
+    return F.struct(*columns) if columns else F.struct(F.lit(True).alias("present"))
+
+
 def null_safe(left: DataFrame, side: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, [left[key].eqNullSafe(side[f"__key_{i}"]) for i, key in enumerate(keys)])
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
+from moorline.operators.keys import row_struct
+
 
 def _orderable(dtype: DataType) -> bool:
     if isinstance(dtype, ArrayType):
@@ -22,7 +24,7 @@ def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], greatest:
     rest = [f for f in df.schema.fields if f.name not in keys]
     ranked = [f.name for f in rest if f.name not in order_by and _orderable(f.dataType)]
     carried = [f.name for f in rest if not _orderable(f.dataType)]
-    rank = F.struct(*order_by, *ranked)
+    rank = row_struct([*order_by, *ranked])
     if carried:
         best = (F.max_by if greatest else F.min_by)(F.struct(*[f.name for f in rest]), rank)
     else:

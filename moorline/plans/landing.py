@@ -22,6 +22,7 @@ def land(
     outputs: Sequence[str] | None = None,
     partitionBy: str | Sequence[str] = LANDING_PARTITIONS,
     opts: Mapping | None = None,
+    rebalance: bool = True,
 ) -> int:
     """Register the sources, run the stages and write their outputs; returns the rows written.
 
@@ -35,5 +36,5 @@ def land(
     landed = union_outputs([frames[name] for name in outputs or [stages[-1].view]])
     return write_counted(
         inject_defaults(landed, str(params["biz_dt"])), path, mode="overwrite", fmt="orc", partitionBy=partitionBy,
-        opts={"compression": "snappy", **(opts or {})},
+        opts={"compression": "snappy", **(opts or {})}, rebalance=rebalance,
     )

@@ -29,7 +29,7 @@ def read_quarantined(spark: SparkSession, path, schema: StructType | str, fmt: s
     else:
         raise ValueError(f"no malformed-row capture for format {fmt!r}")
     # True for every row, but not known to be until all fields are read.
-    whole = F.xxhash64(*fields) >= F.lit(-(2**63))
+    whole = F.xxhash64(*[F.col(f"`{f}`").isNull() for f in fields]) >= F.lit(-(2**63))
     return rows.withColumn(BAD_RECORD, F.when(whole, F.col(BAD_RECORD)))
 
 

@@ -2,7 +2,6 @@ import datetime
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from moorline.operators import dependency_closure, dependency_levels, direct_dependencies, settings_columns
 from moorline.operators.control import (

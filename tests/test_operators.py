@@ -245,6 +245,12 @@ def test_changes_of_a_frame_against_itself(spark):
     assert {r.change_type for r in detect_changes(df, flipped, ["k"]).collect()} == {"N"}
 
 
+def test_frames_of_keys_only(spark):
+    left, right = spark.range(3).toDF("k"), spark.range(2, 5).toDF("k")
+    assert {r.k: r.change_type for r in detect_changes(left, right, ["k"]).collect()} == {0: "D", 1: "D", 2: "N", 3: "I", 4: "I"}
+    assert rows(upsert(left, right, ["k"])) == [(k,) for k in range(5)]
+
+
 def test_changes_refuse_repeated_keys(spark):
     df = spark.createDataFrame([(1, "a", 0), (1, "b", 0)], KEYED)
     for previous, current in ((df, df.limit(1)), (df.limit(1), df)):

@@ -69,6 +69,14 @@ def test_json_quarantine(spark, tmp_path):
     assert sorted(r[BAD_RECORD] for r in bad.collect()) == ['{"a": "no", "b": "y"}', '{"a": 2, "b"']
 
 
+def test_json_quarantine_with_nested_columns(spark, tmp_path):
+    path = tmp_path / "rows.json"
+    path.write_text('{"m": {"k": 1}, "s": {"x": 1}, "l": [1]}\n{"m": {"k": "no"}, "s": {"x": 1}, "l": [2]}\n')
+    schema = "m MAP<STRING, INT>, s STRUCT<x: INT>, l ARRAY<INT>"
+    good, bad = split_bad_records(read_quarantined(spark, str(path), schema, "json"))
+    assert [r.l for r in good.select("l").collect()] == [[1]] and bad.count() == 1
+
+
 def test_schema_modes(spark, bad_csv, tmp_path):
     assert set(dict(read_csv(spark, bad_csv).dtypes).values()) == {"string"}
     inferred = dict(read_inferred_csv(spark, bad_csv).dtypes)
