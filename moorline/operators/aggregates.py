@@ -57,14 +57,19 @@ def grouped_measures(
 
 
 def collect_records(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], per_array: int = RECORDS_PER_ARRAY
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    per_array: int = RECORDS_PER_ARRAY,
+    total: int | None = None,
 ) -> DataFrame:
     """Child rows per key as sorted arrays of records: ``keys, part, records``.
 
     A key with up to ``per_array`` children gets one row, ``part`` 0. A larger key gets
     several rows of about that many records each, every child in exactly one of them, so
     no array and no task grows with the largest key. A counting job on the key columns
-    finds the large keys first; where there are none, one grouping is the whole plan.
+    finds the large keys first; where there are none, one grouping is the whole plan. The
+    job is left out when ``total``, the known row count of ``df``, leaves no room for one.
     """
     rest = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]
     record = F.struct(*rest)
@@ -72,6 +77,8 @@ def collect_records(
     def gather(rows: DataFrame) -> DataFrame:
         return rows.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(record)).alias("records"))
 
+    if total is not None and total <= per_array:
+        return gather(df.withColumn("part", F.lit(0)))
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > per_array)
     large, n_large = materialize(
         sizes.select(*keys, F.ceil(F.col("size") / per_array).cast("int").alias("parts")), "large-keys"

@@ -108,17 +108,21 @@ def resolve_parameters(
     ]
     names = [section.columns[-1] for section in sections]
     # Written once: the rows are counted per document, and then gathered.
-    rows, _ = materialize(
+    rows, total = materialize(
         reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), sections), "children"
     )
-    parts = collect_records(rows, ["metadata"], names, per_array).join(jobs, "metadata")
+    parts = collect_records(rows, ["metadata"], names, per_array, total).join(jobs, "metadata")
 
     def section(name: str) -> Column:
         return F.transform(F.filter("records", lambda r: r[name].isNotNull()), lambda r: r[name])
 
     newest_first = F.reverse(section("process_control"))
     return parts.select(
-        "metadata", "job_master", "part", section("job_dependency").alias("job_dependency"), newest_first.alias("process_control"),
+        "metadata",
+        "job_master",
+        "part",
+        section("job_dependency").alias("job_dependency"),
+        newest_first.alias("process_control"),
         section("sys_params").alias("sys_params"),
     )
 
