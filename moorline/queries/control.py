@@ -1,7 +1,5 @@
 """Control-data queries; the control tables are derived from the given tables."""
 
-from datetime import datetime
-
 from pyspark.sql import functions as F
 
 from moorline.functions import epoch_micros, micros_to_timestamp
@@ -261,7 +259,7 @@ def run_log_duration(t):
 
 @query("SELECT event_id, epoch_us(ts) + 600000000 AS later_micros FROM events")
 def epoch_arithmetic(t):
-    zero = F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz")
+    zero = F.lit("1970-01-01").cast("timestamp_ntz")
     micros = F.timestamp_diff("MICROSECOND", zero, "ts")
     later = micros_to_timestamp(micros) + F.expr("INTERVAL 10 MINUTES")
     return t.events.select("event_id", epoch_micros(later).alias("later_micros"))
