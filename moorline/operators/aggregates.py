@@ -74,23 +74,24 @@ def collect_records(
     rest = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]
     record = F.struct(*rest)
 
-    def gather(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(record)).alias("records"))
+    def whole(rows: DataFrame) -> DataFrame:
+        one = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(record)).alias("records"))
+        return one.select(*keys, F.lit(0).alias("part"), "records")
 
     if total is not None and total <= per_array:
-        return gather(df.withColumn("part", F.lit(0)))
+        return whole(df)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > per_array)
     large, n_large = materialize(
         sizes.select(*keys, F.ceil(F.col("size") / per_array).cast("int").alias("parts")), "large-keys"
     )
     if n_large == 0:
-        return gather(df.withColumn("part", F.lit(0)))
+        return whole(df)
 
     # At most rows / per_array keys; broadcast within a checked count, shuffled beyond it.
     side = large.select(*key_columns(keys), "parts")
     side = F.broadcast(side) if n_large <= BROADCAST_KEYS else side
     matched = null_safe(df, side, keys)
-    small = gather(df.join(side, matched, "left_anti").withColumn("part", F.lit(0)))
+    small = whole(df.join(side, matched, "left_anti"))
 
     # Exact copies are counted before the shuffle and cut into slices, so that a group of
     # copies spreads over the parts like any other rows.

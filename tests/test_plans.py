@@ -65,7 +65,7 @@ def test_partition_filter_prunes_folders(spark):
 
 @pytest.mark.parametrize("name, exchanges", [
     ("latest_per_key", 1), ("change_detection", 1), ("partition_breakdown", 1), ("status_split_union", 0), ("top_n", 0),
-    ("settings_with_defaults", 1), ("run_log_duration", 1),
+    ("settings_with_defaults", 1), ("run_log_duration", 1), ("child_records", 1),
 ])
 def test_shuffles(spark, name, exchanges):
     assert plan(queries()[name](spark, FOLDER)).count("Exchange ") == exchanges
