@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from moorline.llm.decontamination import contamination
 from moorline.llm.near_duplicates import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,3 +25,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @numbered
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), num=85)
+
+
+@numbered
+def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("spans")
