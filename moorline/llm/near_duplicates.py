@@ -8,7 +8,8 @@ likelihood of the registers drops the hopeless ones; the rest are confirmed on f
 A bucket of many candidates isn't paired out. First each member meets two leaders of the
 bucket, which joins nearly all of a group. Then only pairs of a bucket whose members are still
 in different components are tried, so no link between components is lost and a group of copies
-costs a few stars.
+costs a few stars. A member whose own shingles, which no other such member has, are too many
+for any link is left out of that; it alone would meet the whole group.
 """
 
 from __future__ import annotations
@@ -22,11 +23,12 @@ from pyspark.sql import functions as F
 
 from moorline.llm.components import components
 from moorline.llm.scratch import Scratch
-from moorline.llm.setsketch import band_keys, plausible, sketches
+from moorline.llm.setsketch import REGISTERS, band_keys, band_width, plausible, sketches
 from moorline.llm.words import SPACED, mix, shingle_sets, slices, split_words
 
 SKETCH = "id long, n long, hi long, lo long, registers binary"
 PAIR_ROWS = 4096
+FILTER_BITS = 1 << 23
 
 
 def _binaries(rows: np.ndarray) -> pa.Array:
@@ -65,29 +67,56 @@ def sketch_rows(width: int):
     return run
 
 
-def set_rows(width: int):
+def set_rows(wanted, width: int):
+    """``(id, set)`` of the texts whose mark is in the filter ``wanted``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.column(1)):
+            marks = np.asarray(batch.column("mark"))
+            rows = pa.array(np.flatnonzero(wanted.value[marks >> 3] >> (marks & 7) & 1))
+            ids, texts = batch.column("id").take(rows), batch.column("text").take(rows)
+            for part in slices(texts):
                 sets, bounds = shingle_sets(split_words(part, SPACED), width)
                 blobs = [sets[low:high].tobytes() for low, high in zip(bounds[:-1], bounds[1:])]
-                ids = batch.column(0).slice(part.first, part.rows)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(blobs, pa.binary())], ["id", "set"])
+                yield pa.RecordBatch.from_arrays([ids.slice(part.first, part.rows), pa.array(blobs, pa.binary())], ["id", "set"])
 
     return run
 
 
-def band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(texts: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """Shingle sets of the texts with one of the distinct ``ids``.
+
+    A filter of fixed size goes to the tasks first, so that other texts are neither split nor
+    shuffled; the join behind it is exact.
+    """
+    mark = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).cast("int")
+    found = ids.select(mark.alias("mark")).groupBy(F.shiftright("mark", 3).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1, mark & 7)")).alias("bits")
+    ).toArrow()
+    bits = np.zeros(FILTER_BITS >> 3, np.uint8)
+    bits[np.asarray(found["at"])] = np.asarray(found["bits"])
+    wanted = texts.sparkSession.sparkContext.broadcast(bits)
+    rows = texts.where("id IS NOT NULL").select("id", "text", mark.alias("mark"))
+    return rows.mapInArrow(set_rows(wanted, width), "id long, set binary").join(ids, "id", "left_semi").distinct()
+
+
+def set_elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if not len(batch):
-            continue
-        registers = _matrix(batch.column("registers"), len(batch.column("registers")[0].as_py()))
-        keys = band_keys(registers)
-        ids, n = (np.asarray(batch.column(c)) for c in ("id", "n"))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.reshape(-1)), pa.array(np.repeat(ids, keys.shape[1])), pa.array(np.repeat(n, keys.shape[1]))],
-            ["key", "id", "n"],
-        )
+        for low in range(0, len(batch), 512):
+            part = batch.slice(low, 512)
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column("set")]
+            ids = np.repeat(np.asarray(part.column("id")), [len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets))], ["id", "element"])
+
+
+def band_rows(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = band_keys(_matrix(batch.column("registers"), REGISTERS), width)
+            ids, n = (np.repeat(np.asarray(batch.column(c)), keys.shape[1]) for c in ("id", "n"))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(ids), pa.array(n)], ["key", "id", "n"])
+
+    return run
 
 
 def _hopeful(least: float):
@@ -95,8 +124,7 @@ def _hopeful(least: float):
         for whole in batches:
             for low in range(0, len(whole), PAIR_ROWS):
                 batch = whole.slice(low, PAIR_ROWS)
-                width = len(batch.column("registers_a")[0].as_py())
-                a, b = (_matrix(batch.column(c), width) for c in ("registers_a", "registers_b"))
+                a, b = (_matrix(batch.column(c), REGISTERS) for c in ("registers_a", "registers_b"))
                 sizes = (np.asarray(batch.column(c)).astype(float) for c in ("n_a", "n_b"))
                 yield batch.select(["a", "b"]).filter(pa.array(plausible(a, b, *sizes, least)))
 
@@ -131,7 +159,7 @@ def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, scratch: Scratch
         _beside(pairs, reps, "n", "registers").mapInArrow(_hopeful(num / den), "a long, b long").distinct()
     )
     ends = hopeful.select(F.col("a").alias("id")).union(hopeful.select(F.col("b").alias("id"))).distinct()
-    sets = scratch.save(texts.join(ends, "id", "left_semi").mapInArrow(set_rows(width), "id long, set binary").distinct())
+    sets = scratch.save(_sets(texts, ends, width))
     found = scratch.save(_beside(hopeful, sets, "set").mapInArrow(_confirmed(num, den), "a long, b long").distinct())
     scratch.drop(hopeful, sets)
     return found
@@ -151,7 +179,7 @@ def near_duplicates(
     component and is kept. Other columns are not read, whatever their names.
 
     Shingles are 64-bit hashes, links are confirmed on the full sets of them. The chance that
-    banding misses a link is below one in a million at 80 of 100, and falls with similarity.
+    banding misses a link is one in 100,000 at just that similarity, and falls above it.
     """
     spark: SparkSession = docs.sparkSession
     scratch = Scratch(spark, "near-duplicates")
@@ -163,7 +191,7 @@ def near_duplicates(
     firsts = classes.select("hi", "lo", F.col("rep").alias("id"))
     reps = scratch.save(sketched.join(firsts, ["hi", "lo", "id"], "left_semi").dropDuplicates(["id", "hi", "lo"]).select("id", "n", "registers"))
 
-    bands = reps.mapInArrow(band_rows, "key long, id long, n long")
+    bands = reps.mapInArrow(band_rows(band_width(num / den)), "key long, id long, n long")
     scrambled = F.col("id").bitwiseXOR(F.col("key"))
     buckets = bands.groupBy("key").agg(
         F.min("id").alias("least"), F.max("id").alias("most"), F.min(scrambled).alias("one"), F.max(scrambled).alias("two")
@@ -184,7 +212,15 @@ def near_duplicates(
         .select("key", "id", "n", F.coalesce("label", "id").alias("label"))
     )
     mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    split = scratch.save(placed.join(mixed, "key", "left_semi"))
+    open_members = placed.join(mixed, "key", "left_semi")
+    open_ids = scratch.save(open_members.select("id", "n").distinct())
+    alone = (
+        _sets(texts, open_ids.select("id").distinct(), width).mapInArrow(set_elements, "id long, element long")
+        .groupBy("element").agg(F.min("id").alias("id"), F.max("id").alias("last")).where("id = last")
+        .groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+    )
+    linkable = open_ids.join(alone, "id", "left").where(f"{den} * (n - coalesce(own, 0)) >= {num} * n").select("id").distinct()
+    split = scratch.save(open_members.join(linkable, "id", "left_semi"))
     other = split.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("label").alias("beside"))
     across = (
         split.withColumnRenamed("id", "a").join(other, "key")
@@ -193,7 +229,7 @@ def near_duplicates(
     )
     more = _links(across, reps, texts, scratch, num, den, width)
     joined = components(links.union(more), scratch)
-    scratch.drop(members, tried, placed, split, reps)
+    scratch.drop(members, tried, placed, open_ids, split, reps)
 
     rows = sketched.select("id", "n", "hi", "lo")
     return (

@@ -14,7 +14,8 @@ import numpy as np
 from moorline.llm.words import mix
 
 REGISTERS = 191  # a prime, so that j -> a*j + b permutes the registers
-BANDS, BAND_ROWS = 38, 5
+# The chance that banding misses a pair of exactly the wanted similarity stays below this.
+MISS = 1e-5
 BASE = 1.2
 RATE = 20.0
 
@@ -71,12 +72,19 @@ def sketches(elements: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.clip(exponents, 0, 255).astype(np.uint8)
 
 
-def band_keys(registers: np.ndarray) -> np.ndarray:
-    """One hash per band of registers (rows x bands)."""
-    keys = np.empty((len(registers), BANDS), np.uint64)
-    for band in range(BANDS):
+def band_width(least: float) -> int:
+    """The most registers a band can have so that pairs of similarity ``least`` meet, up to ``MISS``."""
+    agree = 1 - 2 * float(_share(np.array((1 - least) / 2)))
+    return max(width for width in range(1, 12) if (1 - agree**width) ** (REGISTERS // width) <= MISS)
+
+
+def band_keys(registers: np.ndarray, width: int) -> np.ndarray:
+    """One hash per band of ``width`` registers (rows x bands)."""
+    bands = REGISTERS // width
+    keys = np.empty((len(registers), bands), np.uint64)
+    for band in range(bands):
         key = np.full(len(registers), _seed(band + 1))
-        for column in registers[:, band * BAND_ROWS:(band + 1) * BAND_ROWS].T:
+        for column in registers[:, band * width:(band + 1) * width].T:
             key = mix(key ^ (column.astype(np.uint64) + np.uint64(1)))
         keys[:, band] = key
     return keys.view(np.int64)
