@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from moorline.llm.decontamination import contamination
 from moorline.llm.near_duplicates import near_duplicates
+from moorline.llm.toxicity import fit, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +23,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@numbered
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity(docs, fit(docs, table(spark, folder, "labels")))
+
+
 @numbered
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), num=85)
