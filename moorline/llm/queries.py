@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from moorline.llm import language_id
 from moorline.llm.decontamination import contamination
+from moorline.llm.longest_match import token_counts
 from moorline.llm.near_duplicates import near_duplicates
+from moorline.llm.pieces import encode
 from moorline.llm.toxicity import fit, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +37,22 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), num=85)
 
 
+@numbered
+def op6_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return encode(table(spark, folder, "documents").select("doc_id", "text"), digest=True)
+
+
+@numbered
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language_id.language_id(docs, language_id.fit(docs))
+
+
 @numbered
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("spans")
+
+
+@numbered
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"))
