@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from moorline.llm import language_id
 from moorline.llm.decontamination import contamination
+from moorline.llm.license_scan import NOTICES, license_scan, notices
+from moorline.llm.line_dedup import spread_dedup
 from moorline.llm.longest_match import token_counts
 from moorline.llm.near_duplicates import near_duplicates
 from moorline.llm.pieces import encode
 from moorline.llm.toxicity import fit, toxicity
+from moorline.llm.vector_search import nearest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,12 +30,58 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@numbered
+def op2_line_spread(spark: SparkSession, folder: str) -> DataFrame:
+    found = spread_dedup(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
+ORACLES["op2_line_spread"] = """
+WITH lines AS (
+    SELECT doc_id, source, n, line, nullif(trim(line, ' ' || chr(9) || chr(13)), '') AS own
+    FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+                 generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents)
+), wide AS (
+    SELECT own, min(doc_id) AS keeper FROM lines WHERE own IS NOT NULL
+    GROUP BY own HAVING count(DISTINCT source) >= 10
+), kept AS (
+    SELECT l.doc_id, l.n, l.line, w.own IS NULL OR l.doc_id = w.keeper AS stays
+    FROM lines l LEFT JOIN wide w ON l.own = w.own
+), cut AS (
+    SELECT doc_id, count(*) FILTER (NOT stays) AS n_removed,
+           coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (stays), '') AS text
+    FROM kept GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(c.n_removed, 0) AS n_removed, sha256(coalesce(c.text, d.text)) AS text_sha256
+FROM documents d LEFT JOIN cut c ON d.doc_id = c.doc_id
+"""
+
+
 @numbered
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity(docs, fit(docs, table(spark, folder, "labels")))
 
 
+@numbered
+def op4_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), "vec_id % 50 = 0")
+
+
+ORACLES["op4_vector_search"] = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
+    FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 @numbered
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), num=85)
@@ -53,6 +103,41 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("spans")
 
 
+@numbered
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(table(spark, folder, "documents"), notices(spark))
+
+
+ORACLES["op9_license_scan"] = """
+WITH templates(license_id, text) AS (VALUES %s),
+split AS (
+    SELECT license_id, list_filter(string_split_regex(lower(text), '[^a-z0-9\\x{80}-\\x{10FFFF}]+'), lambda x: x <> '') AS w FROM templates
+), parts AS (
+    SELECT license_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS shingle
+    FROM (SELECT license_id, w, unnest(range(1, len(w) - 1)) AS i FROM split)
+), known AS (SELECT DISTINCT license_id, shingle FROM parts),
+sizes AS (SELECT license_id, count(*) AS n_shingles FROM known GROUP BY license_id),
+stride AS (SELECT max(i) + 2 AS stride FROM parts),
+texts AS (
+    SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z0-9\\x{80}-\\x{10FFFF}]+'), lambda x: x <> '') AS w FROM documents
+), hits AS (
+    SELECT doc_id, i - 1 AS pos, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS shingle
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM texts)
+    WHERE w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] IN (SELECT shingle FROM known)
+), windows AS (
+    SELECT doc_id, pos // stride - back AS win, pos, shingle FROM hits, stride, (VALUES (0), (1)) AS b(back)
+), shared AS (
+    SELECT doc_id, win, license_id, count(DISTINCT w.shingle) AS shared, min(pos) AS first_word
+    FROM windows w JOIN known k ON w.shingle = k.shingle GROUP BY doc_id, win, license_id
+), ranked AS (
+    SELECT doc_id, license_id, shared, n_shingles, first_word,
+           row_number() OVER (PARTITION BY doc_id, license_id ORDER BY shared DESC, first_word) AS place
+    FROM shared JOIN sizes USING (license_id) WHERE shared * 20 >= n_shingles * 19
+)
+SELECT doc_id, license_id, shared, n_shingles, CAST(first_word AS BIGINT) AS first_word FROM ranked WHERE place = 1
+""" % ", ".join("('%s', '%s')" % pair for pair in NOTICES)
+
+
 @numbered
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"))
