@@ -5,11 +5,12 @@ registers (:mod:`moorline.llm.setsketch`). Texts of one set form a class with on
 representative. Representatives that agree on a band of registers are candidates; a joint
 likelihood of the registers drops the hopeless ones; the rest are confirmed on full sets.
 
-A bucket of many candidates isn't paired out. First each member meets two leaders of the
-bucket, which joins nearly all of a group. Then only pairs of a bucket whose members are still
-in different components are tried, so no link between components is lost and a group of copies
-costs a few stars. A member whose own shingles, which no other such member has, are too many
-for any link is left out of that; it alone would meet the whole group.
+A bucket of many candidates isn't paired out. A member's own shingles, which no other candidate
+has, bound its similarity to any of them; a member with too many of them is left out. The
+others meet two leaders of their bucket, one of them with the fewest own shingles, which joins
+nearly all of a group. Then only pairs of a bucket whose members are still in different
+components, and whose bounds allow a link, are tried. So no link between components is lost
+and a group of copies costs a few stars.
 """
 
 from __future__ import annotations
@@ -153,15 +154,13 @@ def _beside(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
     return pairs
 
 
-def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, scratch: Scratch, num: int, den: int, width: int) -> DataFrame:
+def _links(pairs: DataFrame, reps: DataFrame, sets: DataFrame, scratch: Scratch, num: int, den: int) -> DataFrame:
     """The pairs that are similar enough on full sets."""
     hopeful = scratch.save(
         _beside(pairs, reps, "n", "registers").mapInArrow(_hopeful(num / den), "a long, b long").distinct()
     )
-    ends = hopeful.select(F.col("a").alias("id")).union(hopeful.select(F.col("b").alias("id"))).distinct()
-    sets = scratch.save(_sets(texts, ends, width))
     found = scratch.save(_beside(hopeful, sets, "set").mapInArrow(_confirmed(num, den), "a long, b long").distinct())
-    scratch.drop(hopeful, sets)
+    scratch.drop(hopeful)
     return found
 
 
@@ -192,44 +191,46 @@ def near_duplicates(
     reps = scratch.save(sketched.join(firsts, ["hi", "lo", "id"], "left_semi").dropDuplicates(["id", "hi", "lo"]).select("id", "n", "registers"))
 
     bands = reps.mapInArrow(band_rows(band_width(num / den)), "key long, id long, n long")
-    scrambled = F.col("id").bitwiseXOR(F.col("key"))
-    buckets = bands.groupBy("key").agg(
-        F.min("id").alias("least"), F.max("id").alias("most"), F.min(scrambled).alias("one"), F.max(scrambled).alias("two")
-    ).where("least < most").select(
-        "key", F.col("one").bitwiseXOR(F.col("key")).alias("one"), F.col("two").bitwiseXOR(F.col("key")).alias("two")
+    full = bands.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
+    met = scratch.save(bands.join(full, "key", "left_semi"))
+    sets = scratch.save(_sets(texts, met.select("id").distinct(), width))
+    own = (
+        sets.mapInArrow(set_elements, "id long, element long")
+        .groupBy("element").agg(F.min("id").alias("id"), F.max("id").alias("last")).where("id = last")
+        .groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+    )
+    members = scratch.save(
+        met.join(own, "id", "left").select("key", "id", "n", F.coalesce("own", F.lit(0)).alias("own"))
+        .where(f"{den} * (n - own) >= {num} * n")
     )
-    members = scratch.save(bands.join(buckets, "key"))
 
-    stars = members.select(F.col("one").alias("x"), F.col("id").alias("y")).union(members.select(F.col("two"), F.col("id")))
+    # One leader has the fewest shingles of its own, the other is any; hashes settle ties.
+    scrambled = F.col("id").bitwiseXOR(F.col("key"))
+    fewest = F.col("own") + F.pmod(F.xxhash64("id", "key"), F.lit(1 << 30)) / F.lit(1 << 30)
+    leaders = members.groupBy("key").agg(F.min_by("id", fewest).alias("one"), F.max(scrambled).bitwiseXOR(F.col("key")).alias("two"))
+    led = members.select("key", "id").join(leaders, "key")
+    stars = led.select(F.col("one").alias("x"), F.col("id").alias("y")).union(led.select(F.col("two"), F.col("id")))
     tried = scratch.save(
         stars.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     )
-    links = _links(tried, reps, texts, scratch, num, den, width)
+    links = _links(tried, reps, sets, scratch, num, den)
     labels = components(links, scratch)
 
     placed = scratch.save(
-        members.select("key", "id", "n").join(labels.withColumnRenamed("node", "id"), "id", "left")
-        .select("key", "id", "n", F.coalesce("label", "id").alias("label"))
+        members.join(labels.withColumnRenamed("node", "id"), "id", "left")
+        .select("key", "id", "n", "own", F.coalesce("label", "id").alias("label"))
     )
     mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_members = placed.join(mixed, "key", "left_semi")
-    open_ids = scratch.save(open_members.select("id", "n").distinct())
-    alone = (
-        _sets(texts, open_ids.select("id").distinct(), width).mapInArrow(set_elements, "id long, element long")
-        .groupBy("element").agg(F.min("id").alias("id"), F.max("id").alias("last")).where("id = last")
-        .groupBy("id").agg(F.count(F.lit(1)).alias("own"))
-    )
-    linkable = open_ids.join(alone, "id", "left").where(f"{den} * (n - coalesce(own, 0)) >= {num} * n").select("id").distinct()
-    split = scratch.save(open_members.join(linkable, "id", "left_semi"))
-    other = split.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("label").alias("beside"))
+    split = scratch.save(placed.join(mixed, "key", "left_semi"))
+    other = split.select("key", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "own", "label")])
+    shared = "least(n - own, n_b - own_b)"
     across = (
-        split.withColumnRenamed("id", "a").join(other, "key")
-        .where(f"a < b AND label <> beside AND {den} * least(n, m) >= {num} * greatest(n, m)")
-        .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        split.join(other, "key").where(f"id < id_b AND label <> label_b AND {den} * {shared} >= {num} * (n + n_b - {shared})")
+        .select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     )
-    more = _links(across, reps, texts, scratch, num, den, width)
+    more = _links(across, reps, sets, scratch, num, den)
     joined = components(links.union(more), scratch)
-    scratch.drop(members, tried, placed, open_ids, split, reps)
+    scratch.drop(met, sets, members, tried, placed, split, reps)
 
     rows = sketched.select("id", "n", "hi", "lo")
     return (
