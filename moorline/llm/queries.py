@@ -16,6 +16,7 @@ from moorline.llm.near_duplicates import near_duplicates
 from moorline.llm.pieces import encode
 from moorline.llm.toxicity import fit, toxicity
 from moorline.llm.vector_search import nearest
+from moorline.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +31,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@numbered
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(table(spark, folder, "pages"))
+
+
+ORACLES["op1_warc"] = """
+WITH rows AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+    SELECT payload_digest, max(page_id) AS first FROM rows WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to, true AS digest_ok
+FROM rows LEFT JOIN firsts USING (payload_digest)
+"""
+
+
 @numbered
 def op2_line_spread(spark: SparkSession, folder: str) -> DataFrame:
     found = spread_dedup(table(spark, folder, "documents"))
