@@ -216,3 +216,17 @@ def toxicity(docs: DataFrame, model: SubwordModel, key: str = "doc_id", text: st
     return scored.select(
         key, F.coalesce(held_out(key), F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
+
+
+def without_toxic(docs: DataFrame, model: SubwordModel, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score under ``THRESHOLD``, as they are; nothing is shuffled."""
+    spread = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = [spread.value.scores(bag) for bag in bags(batch.column(names.index(text)))]
+            if scores:
+                yield batch.filter(pa.array(np.concatenate(scores) < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
