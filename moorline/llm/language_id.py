@@ -148,13 +148,14 @@ def language_id(docs: DataFrame, filters: LanguageFilters, key: str = "doc_id",
     an equal share. ``held_out`` marks keys that never teach; it is false for a null key.
     Languages, sources and keys don't enter a prediction, and other columns are not read.
     """
-    spread = docs.sparkSession.sparkContext.broadcast(filters)
+    spread = docs.sparkSession.sparkContext.broadcast((filters.languages, filters.table, filters.chance))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array([*spread.value.languages, UNKNOWN], dtype=object)
+        filters = LanguageFilters(*spread.value)
+        names = np.array([*filters.languages, UNKNOWN], dtype=object)
         for batch in batches:
             for part in slices(batch.column(1)):
-                best, score = spread.value.predict(part)
+                best, score = filters.predict(part)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(part.first, part.rows), pa.array(names[best], pa.string()), pa.array(score),
                 ], [key, "lang_pred", "score"])

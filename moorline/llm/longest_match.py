@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +26,18 @@ NOWHERE = -1
 FEW = 16
 
 
+@dataclass
 class Automaton:
     """Transitions as sorted keys ``state * 256 + byte``; links and popped pieces per state."""
 
-    def __init__(self, pieces: list[bytes]):
+    keys: np.ndarray
+    next: np.ndarray
+    link: np.ndarray
+    popped: np.ndarray
+    start: int
+
+    @classmethod
+    def of(cls, pieces: list[bytes]) -> Automaton:
         children: list[dict[int, int]] = [{}]
         ends = [False]
         for piece in pieces:
@@ -55,12 +64,12 @@ class Automaton:
                 if back != NOWHERE:
                     link[node], popped[node] = children[back][byte], count
         keys = {at * 256 + byte: node for at, ways in enumerate(children) for byte, node in ways.items()}
-        self.keys = np.array(sorted(keys), np.int64)
-        self.next = np.array([keys[k] for k in self.keys.tolist()], np.int32)
-        self.link, self.popped = np.array(link, np.int32), np.array(popped, np.int32)
-        self.start = 0
+        ordered = np.array(sorted(keys), np.int64)
+        start = 0
         for byte in MARKER.encode():
-            self.start = children[self.start].get(byte, NOWHERE) if self.start != NOWHERE else NOWHERE
+            start = children[start].get(byte, NOWHERE) if start != NOWHERE else NOWHERE
+        targets = np.array([keys[k] for k in ordered.tolist()], np.int32)
+        return cls(ordered, targets, np.array(link, np.int32), np.array(popped, np.int32), start)
 
     def step(self, states: np.ndarray, bytes_: np.ndarray) -> np.ndarray:
         key = states.astype(np.int64) * 256 + bytes_
@@ -139,14 +148,16 @@ def token_counts(docs: DataFrame, path: str = MODEL_PATH, key: str = "doc_id", t
     read on the driver from a file; its size is fixed by the model.
     """
     model = read_model(path)
-    automaton = docs.sparkSession.sparkContext.broadcast(Automaton([model.pieces[i].encode() for i in model.usable()]))
+    built = Automaton.of([model.pieces[i].encode() for i in model.usable()])
+    spread = docs.sparkSession.sparkContext.broadcast((built.keys, built.next, built.link, built.popped, built.start))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = Automaton(*spread.value)
         for batch in batches:
             for part in slices(batch.column(1)):
                 words = split_words(part, SPACED, lower=False)
                 _, first, number = np.unique(words.hashes, return_index=True, return_inverse=True)
-                found = automaton.value.count(part.data, words.starts[first], words.ends[first])[number]
+                found = automaton.count(part.data, words.starts[first], words.ends[first])[number]
                 total = np.concatenate([[0], np.cumsum(np.abs(found))])
                 missed = np.concatenate([[0], np.cumsum(found < 0)])
                 low, high = words.bounds[:-1], words.bounds[1:]

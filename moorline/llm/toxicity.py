@@ -203,11 +203,12 @@ def toxicity(docs: DataFrame, model: SubwordModel, key: str = "doc_id", text: st
     gets the bias alone. ``predicted`` is 1 from ``THRESHOLD`` on. ``held_out`` marks keys whose
     labels training never sees; it is false for a null key. Other columns are not read.
     """
-    spread = docs.sparkSession.sparkContext.broadcast(model)
+    spread = docs.sparkSession.sparkContext.broadcast((model.values, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = SubwordModel(*spread.value)
         for batch in batches:
-            scores = [spread.value.scores(bag) for bag in bags(batch.column(1))]
+            scores = [model.scores(bag) for bag in bags(batch.column(1))]
             if scores:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(scores))], [key, "score"])
 
@@ -220,12 +221,13 @@ def toxicity(docs: DataFrame, model: SubwordModel, key: str = "doc_id", text: st
 
 def without_toxic(docs: DataFrame, model: SubwordModel, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that score under ``THRESHOLD``, as they are; nothing is shuffled."""
-    spread = docs.sparkSession.sparkContext.broadcast(model)
+    spread = docs.sparkSession.sparkContext.broadcast((model.values, model.bias))
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = SubwordModel(*spread.value)
         for batch in batches:
-            scores = [spread.value.scores(bag) for bag in bags(batch.column(names.index(text)))]
+            scores = [model.scores(bag) for bag in bags(batch.column(names.index(text)))]
             if scores:
                 yield batch.filter(pa.array(np.concatenate(scores) < THRESHOLD))
 
