@@ -25,9 +25,9 @@ BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 # The sample: at most so many rows of label 0 and 1, of texts of at most so many bytes.
 SAMPLE_ROWS, SAMPLE_BYTES = (3000, 1500), 1 << 15
-# A subword counts if at least so many texts of the sample have it.
-LEAST_TEXTS = 30
-DIMENSIONS, ROUNDS, RATE = 4, 40, 0.1
+# A subword counts if its rates under the two labels differ by so many standard errors.
+LEAST_APART = 5.0
+DIMENSIONS, ROUNDS, RATE = 4, 50, 0.05
 THRESHOLD = 0.3
 
 
@@ -38,15 +38,15 @@ def subwords(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     in, so that the start and the end of a word count.
     """
     sums = prefix_hashes(data)
-    owners, rows = [np.arange(len(starts))], [range_hashes(sums, starts, ends)]
+    owners, rows = [np.arange(len(starts), dtype=np.int32)], [range_hashes(sums, starts, ends)]
     for n in GRAMS:
         counts = np.maximum(ends - starts + 3 - n, 0)
         at = _ranges(starts - 1, counts)
-        owners.append(np.repeat(np.arange(len(starts)), counts))
+        owners.append(np.repeat(owners[0], counts))
         rows.append(range_hashes(sums, at, at + n))
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
-    return (np.concatenate(rows)[order] % np.uint64(BUCKETS)).astype(np.int64), np.searchsorted(owner[order], np.arange(len(starts) + 1))
+    return (np.concatenate(rows)[order] % np.uint64(BUCKETS)).astype(np.int32), np.searchsorted(owner[order], np.arange(len(starts) + 1))
 
 
 @dataclass
@@ -116,9 +116,10 @@ def merged(parts: list[Bags]) -> Bags:
 
 
 def train(column: pa.Array, labels: np.ndarray, share: float, seed: int = 7) -> SubwordModel:
-    """Vectors and softmax together, by full-batch Adam on the weighted log loss.
+    """Vectors and softmax together, by Adam on the weighted log loss of all texts.
 
     Classes are weighted so that label 1 has the share ``share``, whatever the sample holds.
+    Every fifth text only watches: the round with the least loss on those is kept.
     """
     n = len(labels)
     ones = labels.sum()
@@ -129,44 +130,61 @@ def train(column: pa.Array, labels: np.ndarray, share: float, seed: int = 7) ->
     bag = merged(list(bags(column)))
     text = np.repeat(np.arange(n), np.diff(bag.texts))
     pair, count = np.unique(text * len(bag.hashes) + bag.words, return_counts=True)
-    text, word = pair // len(bag.hashes), pair % len(bag.hashes)
+    text, word = (pair // len(bag.hashes)).astype(np.int32), (pair % len(bag.hashes)).astype(np.int32)
+    del pair
     value = count / np.diff(bag.texts)[text]
-    # Subwords that hardly any text has are left at zero.
+    # Subwords that one label doesn't have clearly more often than the other are left at zero.
     per_word = np.diff(bag.bounds)
-    subword_word = np.repeat(np.arange(len(per_word)), per_word)
-    seen = np.bincount(bag.rows, np.bincount(word, minlength=len(per_word))[subword_word], BUCKETS)
-    common = seen[bag.rows] >= LEAST_TEXTS
+    subword_word = np.repeat(np.arange(len(per_word), dtype=np.int32), per_word)
+    seen = [np.bincount(bag.rows, np.bincount(word[labels[text] == k], minlength=len(per_word))[subword_word], BUCKETS) for k in (0, 1)]
+    sizes = [max((labels[text] == k).sum(), 1) for k in (0, 1)]
+    both = (seen[0] + seen[1]) / sum(sizes)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        apart = np.abs(seen[1] / sizes[1] - seen[0] / sizes[0]) / np.sqrt(both * (1 - both) * (1 / sizes[0] + 1 / sizes[1]))
+    common = apart[bag.rows] >= LEAST_APART
     subword_word, rows = subword_word[common], bag.rows[common]
-    share_of_word = (1 / per_word)[subword_word]
-    used, column_of = np.unique(rows, return_inverse=True)
+    used = np.unique(rows)
+    column_of = np.searchsorted(used, rows).astype(np.int32)
+    del bag.rows, bag.words, rows, common
+    inputs = (1 / per_word)[subword_word]
     # Inputs are scaled so that a rare subword can act within the rounds there are.
     scale = np.sqrt(np.bincount(text, minlength=n).mean() * per_word.mean())
-    value = value * scale
+    inputs *= scale
+
+    def pool(lines: np.ndarray) -> np.ndarray:
+        """Text vectors (texts x dimensions) of table columns (dimensions x rows)."""
+        vectors = [np.bincount(subword_word, inputs * line[column_of], len(per_word)) for line in lines]
+        return np.stack([np.bincount(text, value * line[word], n) for line in vectors], axis=1)
+
     random = np.random.default_rng(seed)
     table = random.normal(0, 0.1, (DIMENSIONS, len(used)))
-    softmax = random.normal(0, 0.5, (DIMENSIONS, 2))
+    softmax = random.normal(0, 1, (DIMENSIONS, 2))
     bias = np.log(np.array([1 - share, share]))
+    target = np.stack([labels == 0, labels == 1], axis=1).astype(float)
+    watching = np.arange(n) % 5 == 4
+    teaching = weight * ~watching
     params = [table, softmax, bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    target = np.stack([labels == 0, labels == 1], axis=1).astype(float)
-    for step in range(1, ROUNDS + 1):
-        vectors = [np.bincount(subword_word, share_of_word * line[column_of], len(per_word)) for line in table]
-        pooled = np.stack([np.bincount(text, value * line[word], n) for line in vectors], axis=1)
+    pooled = pool(table)
+    best = (np.inf, table.copy(), softmax.copy(), bias.copy())
+    for step in range(ROUNDS):
         logits = pooled @ softmax + bias
         logits -= logits.max(axis=1, keepdims=True)
         chance = np.exp(logits)
         chance /= chance.sum(axis=1, keepdims=True)
-        error = (chance - target) * weight[:, None]
-        back = error @ softmax.T
-        back = [np.bincount(word, value * line[text], len(per_word)) for line in back.T]
-        grads = [
-            np.stack([np.bincount(column_of, share_of_word * line[subword_word], len(used)) for line in back]),
-            pooled.T @ error, error.sum(axis=0),
-        ]
+        loss = -(weight * np.log(np.maximum((chance * target).sum(axis=1), 1e-12)))[watching].sum()
+        if loss < best[0]:
+            best = (loss, table.copy(), softmax.copy(), bias.copy())
+        error = (chance - target) * teaching[:, None]
+        back = [np.bincount(word, value * line[text], len(per_word)) for line in (error @ softmax.T).T]
+        slope = np.stack([np.bincount(column_of, inputs * line[subword_word], len(used)) for line in back])
+        grads = [slope, pooled.T @ error, error.sum(axis=0)]
         for p, g, m, v in zip(params, grads, first, second):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
-            p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
+            p -= RATE * (m / (1 - 0.9 ** (step + 1))) / (np.sqrt(v / (1 - 0.99 ** (step + 1))) + 1e-9)
+        pooled = pool(table)
+    _, table, softmax, bias = best
     values = np.zeros(BUCKETS)
     values[used] = scale * (softmax[:, 1] - softmax[:, 0]) @ table
     return SubwordModel(values, float(bias[1] - bias[0]))
