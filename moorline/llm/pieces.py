@@ -6,7 +6,7 @@ get the same numbers as from the library that the model comes from, or nothing r
 
 No piece has a marker after another character, so a text falls into chunks, each from a run of
 blanks to before the next, that are encoded on their own. A task encodes each distinct chunk of
-a batch once, many at a time in the library's own threads, and puts the texts together from
+its texts once, many at a time in the library's own threads, and puts the texts together from
 their chunks; every distinct chunk is decoded again to check the round trip.
 """
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moorline.llm.piece_model import BPE, MARKER, PieceModel, read_model
-from moorline.llm.words import prefix_hashes, range_hashes, slices
+from moorline.llm.words import Slice, prefix_hashes, range_hashes, slices
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 PARITY_ROWS, PARITY_BYTES = 200, 1 << 14
@@ -112,33 +113,66 @@ def chunk_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return starts, np.searchsorted(starts, offsets)
 
 
-def encoded(part, tokenizer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Chunks:
+    """Numbers of the distinct chunks that a task has met, by hash; emptied when they are many."""
+
+    MOST = 1 << 20
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.clear()
+
+    def clear(self):
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.numbers, self.bounds, self.same = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, bool)
+
+    def slots_of(self, keys: np.ndarray, text) -> np.ndarray:
+        """Where each of the distinct ascending ``keys`` is; ``text(i)`` gives the chunk of a new one."""
+        if len(self.keys) > self.MOST:
+            self.clear()
+        at = np.searchsorted(self.keys, keys)
+        held = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        held[inside] = self.keys[at[inside]] == keys[inside]
+        slots = np.empty(len(keys), np.int64)
+        slots[held] = self.slots[at[held]]
+        new = np.flatnonzero(~held)
+        if len(new):
+            chunks = [text(i) for i in new]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+            back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+            counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            slots[new] = len(self.same) + np.arange(len(new))
+            self.numbers = np.concatenate([self.numbers, np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum()))])
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(counts)])
+            self.same = np.concatenate([self.same, np.fromiter((a == b for a, b in zip(chunks, back)), bool, len(chunks))])
+            place = at[new]
+            self.keys, self.slots = np.insert(self.keys, place, keys[new]), np.insert(self.slots, place, slots[new])
+        return slots
+
+
+def encoded(part: Slice, known: Chunks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Numbers of all texts of a slice, each text's bounds among them, and its round trip."""
     data, offsets = part.data, part.offsets
-    if MARKER.encode() in data.tobytes():
-        texts = [data[a:b].tobytes().replace(MARKER.encode(), b" ") for a, b in zip(offsets[:-1], offsets[1:])]
-        data = np.frombuffer(b"".join(texts), np.uint8)
+    raw = data.tobytes()
+    if MARKER.encode() in raw:
+        texts = [raw[a:b].replace(MARKER.encode(), b" ") for a, b in zip(offsets[:-1], offsets[1:])]
+        raw = b"".join(texts)
+        data = np.frombuffer(raw, np.uint8)
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
     starts, bounds = chunk_bounds(data, offsets)
     ends = np.append(starts[1:], len(data))
-    keys = range_hashes(prefix_hashes(data), starts, ends)
     leads = np.zeros(len(starts), bool)
     leads[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
-    keys = keys ^ leads.astype(np.uint64)
-    _, at, number = np.unique(keys, return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    # A text starts with a blank of its own.
-    chunks = [(" " if leads[i] else "") + raw[starts[i]:ends[i]].decode("utf-8", "replace") for i in at]
-    found = tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-    ids = [e.ids for e in found]
-    back = tokenizer.decode_batch(ids, skip_special_tokens=False)
-    same = np.fromiter((a == b for a, b in zip(chunks, back)), bool, len(chunks))
-    counts = np.fromiter((len(x) for x in ids), np.int64, len(ids))
-    flat = np.fromiter((i for x in ids for i in x), np.int32, int(counts.sum()))
-    low, sizes = (np.cumsum(counts) - counts)[number], counts[number]
-    numbers = flat[np.repeat(low - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+    # A text starts with a blank of its own, so its first chunk is another one.
+    keys, first, number = np.unique(
+        range_hashes(prefix_hashes(data), starts, ends) ^ leads.astype(np.uint64), return_index=True, return_inverse=True
+    )
+    slots = known.slots_of(keys, lambda i: (" " if leads[first[i]] else "") + raw[starts[first[i]]:ends[first[i]]].decode("utf-8", "replace"))[number]
+    low, sizes = known.bounds[slots], known.bounds[slots + 1] - known.bounds[slots]
+    numbers = known.numbers[np.repeat(low - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
     totals = np.concatenate([[0], np.cumsum(sizes)])
-    wrong = np.concatenate([[0], np.cumsum(~same[number])])
+    wrong = np.concatenate([[0], np.cumsum(~known.same[slots])])
     return numbers, totals[bounds], wrong[bounds[1:]] == wrong[bounds[:-1]]
 
 
@@ -162,10 +196,10 @@ def encode(docs: DataFrame, path: str = MODEL_PATH, text: str = "text", digest:
     others = [c for c in docs.columns if c not in {text, *own}]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _backend(data.value, False)
+        known = Chunks(_backend(data.value, False))
         for batch in batches:
             for part in slices(batch.column(0)):
-                numbers, bounds, same = encoded(part, tokenizer)
+                numbers, bounds, same = encoded(part, known)
                 if digest:
                     blobs = numbers.astype("<i4").tobytes()
                     ids = pa.array([hashlib.sha256(blobs[4 * a:4 * b]).hexdigest() for a, b in zip(bounds[:-1], bounds[1:])], pa.string())
