@@ -8,9 +8,10 @@ likelihood of the registers drops the hopeless ones; the rest are confirmed on f
 A bucket of many candidates isn't paired out. A member's own shingles, which no other candidate
 has, bound its similarity to any of them; a member with too many of them is left out. The
 others meet two leaders of their bucket, one of them with the fewest own shingles, which joins
-nearly all of a group. Then only pairs of a bucket whose members are still in different
-components, and whose bounds allow a link, are tried. So no link between components is lost
-and a group of copies costs a few stars.
+nearly all of a group. Then only members outside a bucket's main component meet the others of
+the bucket, block by block: a task compares the registers of two blocks and passes on the few
+pairs that may be links. So no link between components is lost, and a group of copies costs a
+few stars.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from moorline.llm.words import SPACED, mix, shingle_sets, slices, split_words
 SKETCH = "id long, n long, hi long, lo long, registers binary"
 PAIR_ROWS = 4096
 FILTER_BITS = 1 << 23
+BLOCK_ROWS = 256
 
 
 def _binaries(rows: np.ndarray) -> pa.Array:
@@ -146,6 +148,34 @@ def _confirmed(num: int, den: int):
     return run
 
 
+def packed(key: tuple, group: pa.Table) -> pa.Table:
+    """The members of a block as one row."""
+    columns = {c: [np.asarray(group[c]).astype(np.int64).tobytes()] for c in ("id", "n", "own", "label")}
+    registers = [b"".join(group["registers"].to_pylist())]
+    return pa.table({"key": pa.array([key[0].as_py()], pa.int64()), **columns, "registers": registers})
+
+
+def _across(num: int, den: int):
+    """Pairs of two blocks, of different components, that may be similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number in range(len(batch)):
+                row = batch.slice(number, 1).to_pylist()[0]
+                a, b = ({c: np.frombuffer(row[c + end], np.int64) for c in ("id", "n", "own", "label")} for end in ("_a", "_b"))
+                marks = [np.frombuffer(row["registers" + end], np.uint8).reshape(-1, REGISTERS) for end in ("_a", "_b")]
+                shared = np.minimum((a["n"] - a["own"])[:, None], b["n"] - b["own"])
+                bounded = den * shared >= num * (a["n"][:, None] + b["n"] - shared)
+                x, y = np.nonzero(bounded & (a["label"][:, None] != b["label"]))
+                for low in range(0, len(x), PAIR_ROWS):
+                    i, j = x[low:low + PAIR_ROWS], y[low:low + PAIR_ROWS]
+                    keep = plausible(marks[0][i], marks[1][j], a["n"][i].astype(float), b["n"][j].astype(float), num / den)
+                    one, two = a["id"][i[keep]], b["id"][j[keep]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"])
+
+    return run
+
+
 def _beside(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
     """The columns of ``table`` for both ends of each pair."""
     for end in ("a", "b"):
@@ -154,14 +184,9 @@ def _beside(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
     return pairs
 
 
-def _links(pairs: DataFrame, reps: DataFrame, sets: DataFrame, scratch: Scratch, num: int, den: int) -> DataFrame:
+def _links(pairs: DataFrame, sets: DataFrame, scratch: Scratch, num: int, den: int) -> DataFrame:
     """The pairs that are similar enough on full sets."""
-    hopeful = scratch.save(
-        _beside(pairs, reps, "n", "registers").mapInArrow(_hopeful(num / den), "a long, b long").distinct()
-    )
-    found = scratch.save(_beside(hopeful, sets, "set").mapInArrow(_confirmed(num, den), "a long, b long").distinct())
-    scratch.drop(hopeful)
-    return found
+    return scratch.save(_beside(pairs, sets, "set").mapInArrow(_confirmed(num, den), "a long, b long").distinct())
 
 
 def near_duplicates(
@@ -213,22 +238,32 @@ def near_duplicates(
     tried = scratch.save(
         stars.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     )
-    links = _links(tried, reps, sets, scratch, num, den)
+    hopeful = _beside(tried, reps, "n", "registers").mapInArrow(_hopeful(num / den), "a long, b long").distinct()
+    links = _links(scratch.save(hopeful), sets, scratch, num, den)
     labels = components(links, scratch)
 
     placed = scratch.save(
         members.join(labels.withColumnRenamed("node", "id"), "id", "left")
         .select("key", "id", "n", "own", F.coalesce("label", "id").alias("label"))
     )
-    mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    split = scratch.save(placed.join(mixed, "key", "left_semi"))
-    other = split.select("key", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "own", "label")])
-    shared = "least(n - own, n_b - own_b)"
-    across = (
-        split.join(other, "key").where(f"id < id_b AND label <> label_b AND {den} * {shared} >= {num} * (n + n_b - {shared})")
-        .select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    mixed = placed.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.mode("label", deterministic=True).alias("main"),
+        F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"),
+    ).where("low < high").select("key", "main", "blocks")
+    split = (
+        placed.join(mixed, "key").join(reps.select("id", "registers"), "id")
+        .withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+    )
+    split = scratch.save(split)
+    blob = "id binary, n binary, own binary, label binary, registers binary"
+    every = split.groupBy("key", "block").applyInArrow(packed, f"key long, {blob}")
+    apart = split.where("label <> main").groupBy("key", "block").applyInArrow(packed, f"key long, {blob}")
+    columns = ("id", "n", "own", "label", "registers")
+    tiles = apart.select("key", *[F.col(c).alias(f"{c}_a") for c in columns]).join(
+        every.select("key", *[F.col(c).alias(f"{c}_b") for c in columns]), "key"
     )
-    more = _links(across, reps, sets, scratch, num, den)
+    across = tiles.mapInArrow(_across(num, den), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
+    more = _links(scratch.save(across), sets, scratch, num, den)
     joined = components(links.union(more), scratch)
     scratch.drop(met, sets, members, tried, placed, split, reps)
 
