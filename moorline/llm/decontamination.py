@@ -77,7 +77,7 @@ class Shard:
 
     def __init__(self, block: dict):
         self.block = block
-        self.least = int(block["lengths"].min())
+        self.least = int(block["lengths"].min(initial=1 << 30))
         self.clear()
 
     def clear(self):

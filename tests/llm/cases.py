@@ -1,0 +1,46 @@
+"""Awkward rows that every operator on documents has to take."""
+
+import random
+
+import pyarrow as pa
+
+# Names that the operators use inside.
+CLASHING = {
+    "id": "long", "n": "string", "row": "string", "found": "string", "items": "string", "score": "double", "kept": "string",
+    "label": "string", "site": "string", "doc": "string", "n_removed": "string", "key": "string", "first": "string",
+}
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` {t}" for n, t in CLASHING.items())
+
+
+def sentence(seed, words=40):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(words))
+
+
+def awkward_rows():
+    long = "\n".join(sentence(1000 + i, 60) for i in range(400))
+    base = sentence(1, 120)
+    near = base.replace(base.split()[60], "other", 1)
+    texts = [
+        (1, base), (2, base), (3, near), (4, None), (5, ""), (6, " \n\t "), (7, "one two"), (8, "One TWO"), (9, long), (10, long + " tail"),
+        (11, "héllo wörld ñandú 你好 \U0001F600"), (12, "12 34 ... !!"), (None, base), (None, None), (13, sentence(5)), (13, sentence(5)), (13, sentence(6)),
+        (14, "\x00\x01 \x1f a"), (15, "x" * 5000),
+    ]
+    return [(i, t, None if i in (7, None) else ("en", "de")[i % 2], None if i == 8 else f"s{(i or 0) % 3}", len(t or "")) for i, t in texts]
+
+
+def awkward(spark):
+    rows = [(*r, *(0 if t == "long" else 0.5 if t == "double" else "c" for t in CLASHING.values())) for r in awkward_rows()]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def arrow(texts):
+    return pa.array(texts, pa.string())
