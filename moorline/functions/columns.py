@@ -9,8 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampType
 
-# Fixed value: longest error text a run-log status keeps.
-ERROR_CHARS = 500
+# Fixed value: how much of the error a run-log status shows; the log keeps the whole text beside it.
+STATUS_ERROR_CHARS = 500
 
 
 def iso_text(column: Column | str, dtype: DataType) -> Column:
@@ -61,11 +61,14 @@ def value_or_default(settings: Column | str, key: str, default: str | None) -> C
 
 
 def run_key(job_id: Column | str, run_id: Column | str, attempt: Column | str) -> Column:
-    """Run id that a retry of the same attempt finds again."""
-    return F.sha2(F.concat_ws("|", job_id, run_id, attempt), 256)
+    """Run id that a retry of the same attempt finds again; other values, nulls too, give another id."""
+    parts = [F.col(c) if isinstance(c, str) else c for c in (job_id, run_id, attempt)]
+    named = F.struct(*[part.cast("string").alias(name) for part, name in zip(parts, ("job_id", "run_id", "attempt"))])
+    return F.sha2(F.to_json(named, {"ignoreNullFields": "false"}), 256)
 
 
 def run_status(state: Column | str, error: Column | str) -> Column:
-    """``Started``, ``Completed``, or ``Failed: …`` with the error text cut."""
+    """``Started``, ``Completed``, or ``Failed: …`` with the start of the error, if there is one."""
     state = F.col(state) if isinstance(state, str) else state
-    return F.when(state == "Failed", F.concat(F.lit("Failed: "), F.left(error, F.lit(ERROR_CHARS)))).otherwise(state)
+    error = F.coalesce(F.col(error) if isinstance(error, str) else error, F.lit(""))
+    return F.when(state == "Failed", F.concat(F.lit("Failed: "), F.left(error, F.lit(STATUS_ERROR_CHARS)))).otherwise(state)

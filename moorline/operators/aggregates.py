@@ -8,12 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moorline.operators.keys import key_columns, null_safe
 from moorline.operators.latest import latest_per_key
-from moorline.session import materialize
-
-RECORDS_PER_ARRAY = 100_000
-BROADCAST_KEYS = 100_000
 
 
 def total_count(df: DataFrame, name: str = "row_count") -> DataFrame:
@@ -56,73 +51,40 @@ def grouped_measures(
     return grouped if having is None else grouped.where(having)
 
 
-def collect_records(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    per_array: int = RECORDS_PER_ARRAY,
-    total: int | None = None,
-) -> DataFrame:
-    """Child rows per key as sorted arrays of records: ``keys, part, records``.
+def collect_records(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], parts: int) -> DataFrame:
+    """Child rows per key as arrays of records: ``keys, part, records``.
 
-    A key with up to ``per_array`` children gets one row, ``part`` 0. A larger key gets
-    several rows of about that many records each, every child in exactly one of them, so
-    no array and no task grows with the largest key. A counting job on the key columns
-    finds the large keys first; where there are none, one grouping is the whole plan. The
-    job is left out when ``total``, the known row count of ``df``, leaves no room for one.
+    ``parts`` is how many arrays a key may have, at every size of the data. A child goes to
+    the part that its content hashes to, and each array is sorted by ``order_by`` and then the
+    other columns; there is no order from one part to the next. The rows of ``df`` are the
+    result that always holds; arrays are for consumers that want them, so choose ``parts`` for
+    the largest key.
     """
     rest = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]
-    record = F.struct(*rest)
-
-    def whole(rows: DataFrame) -> DataFrame:
-        one = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(record)).alias("records"))
-        return one.select(*keys, F.lit(0).alias("part"), "records")
-
-    if total is not None and total <= per_array:
-        return whole(df)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > per_array)
-    large, n_large = materialize(
-        sizes.select(*keys, F.ceil(F.col("size") / per_array).cast("int").alias("parts")), "large-keys"
-    )
-    if n_large == 0:
-        return whole(df)
-
-    # At most rows / per_array keys; broadcast within a checked count, shuffled beyond it.
-    side = large.select(*key_columns(keys), "parts")
-    side = F.broadcast(side) if n_large <= BROADCAST_KEYS else side
-    matched = null_safe(df, side, keys)
-    small = whole(df.join(side, matched, "left_anti"))
-
-    # Exact copies are counted before the shuffle and cut into slices, so that a group of
-    # copies spreads over the parts like any other rows.
-    pairs = df.join(side, matched, "inner").select(*[df[c] for c in df.columns], side["parts"])
-    copies = pairs.groupBy(*df.columns, "parts").agg(F.count(F.lit(1)).alias("copies"))
-    step = max(1, per_array // 10)
-    slices = copies.withColumn("slice", F.explode(F.sequence(F.lit(0), ((F.col("copies") - 1) / step).cast("int"))))
-    held = F.least(F.lit(step), F.col("copies") - F.col("slice") * step).cast("int")
-    spread = slices.withColumn("part", F.pmod(F.xxhash64(*rest, "slice"), F.col("parts")).cast("int"))
-    big = spread.groupBy(*keys, "part").agg(
-        F.sort_array(F.flatten(F.collect_list(F.array_repeat(record, held)))).alias("records")
-    )
-    return small.unionByName(big)
+    part = F.pmod(F.xxhash64(*rest), F.lit(parts)).cast("int")
+    return df.groupBy(*keys, part.alias("part")).agg(F.sort_array(F.collect_list(F.struct(*rest))).alias("records"))
 
 
 def settings_maps(
     rows: DataFrame,
     group: Sequence[str],
+    parts: int,
     key: str = "param_key",
     value: str = "param_value",
     order_by: Sequence[str] = (),
-    per_map: int = RECORDS_PER_ARRAY,
 ) -> DataFrame:
-    """Key/value rows folded into maps: ``group, part, settings``.
+    """Key/value rows folded into maps: ``group, part, settings``, ``parts`` of them per group at most.
 
-    The latest value of a repeated key wins. A group with more than ``per_map`` keys
-    comes in several parts, see :func:`collect_records`.
+    The latest value of a repeated key wins. Rows without a key fit no map; see
+    :func:`without_key`.
     """
-    one = latest_per_key(rows, [*group, key], [*order_by, value]).select(*group, key, value)
-    parts = collect_records(one, group, [key], per_map)
-    return parts.select(*group, "part", F.map_from_entries("records").alias("settings"))
+    one = latest_per_key(rows.where(F.col(key).isNotNull()), [*group, key], [*order_by, value]).select(*group, key, value)
+    return collect_records(one, group, [key], parts).select(*group, "part", F.map_from_entries("records").alias("settings"))
+
+
+def without_key(rows: DataFrame, key: str = "param_key") -> DataFrame:
+    """The rows that :func:`settings_maps` leaves out: those whose key is null."""
+    return rows.where(F.col(key).isNull())
 
 
 def settings_columns(rows: DataFrame, group: Sequence[str], wanted: Mapping[str, str | None],

@@ -12,18 +12,18 @@ from moorline.operators.keys import row_struct, without_partner
 from moorline.operators.latest import latest_per_key
 
 
-def _guard(ok: Column, keys: Sequence[str], value: Column) -> Column:
+def _guard(ok: Column, keys: Sequence[str]) -> Column:
+    """A filter that holds or raises; every plan over the rows keeps it, whatever it selects."""
     told = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
     message = F.concat(F.lit(f"duplicate key ({', '.join(keys)}): "), told)
-    return F.when(ok, value).otherwise(F.raise_error(message))
+    return F.when(ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
 
 
 def unique_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The frame itself; a key with more than one row raises when the rows are read."""
     rest = [c for c in df.columns if c not in keys]
     one = df.groupBy(*keys).agg(F.any_value(row_struct(rest)).alias("row"), F.count(F.lit(1)).alias("copies"))
-    checked = one.select(*keys, _guard(F.col("copies") == 1, keys, F.col("row")).alias("row"))
-    return checked.select(*[c if c in keys else F.col(f"row.`{c}`") for c in df.columns])
+    return one.where(_guard(F.col("copies") == 1, keys)).select(*[c if c in keys else F.col(f"row.`{c}`") for c in df.columns])
 
 
 def upsert(
@@ -60,7 +60,8 @@ def detect_changes(
     null = F.lit(None)
     old = previous.select(*keys, row_struct(compared if partial_load else payload).alias("old"), null.alias("new"))
     new = current.select(*keys, null.alias("old"), row_struct(payload).alias("new"))
-    both = old.unionByName(new).groupBy(*keys).agg(
+    # Dealt out by key first: unique keys leave a partial aggregate nothing to reduce, and one sort is enough.
+    both = old.unionByName(new).repartition(*keys).groupBy(*keys).agg(
         F.any_value("old", True).alias("old"),
         F.any_value("new", True).alias("new"),
         F.count("old").alias("n_old"),
@@ -70,7 +71,7 @@ def detect_changes(
     kind = F.when(F.col("n_old") == 0, "I").when(F.col("n_new") == 0, "D").when(differs, "U").otherwise("N")
     single = (F.col("n_old") <= 1) & (F.col("n_new") <= 1)
     row = F.col("new") if partial_load else F.coalesce("new", "old")
-    changes = both.select(*keys, row.alias("row"), _guard(single, keys, kind).alias("change_type")).select(
+    changes = both.where(_guard(single, keys)).select(*keys, row.alias("row"), kind.alias("change_type")).select(
         *[c if c in keys else F.col(f"row.`{c}`").alias(c) for c in current.columns],
         "change_type",
         F.when(F.col("change_type") == "N", "N").otherwise("Y").alias("change_indicator"),

@@ -7,43 +7,42 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, StringType, StructType, TimestampType
+from pyspark.sql.types import StructType
 
 from moorline.functions.columns import json_context, json_is_malformed, run_duration, run_key, run_status
-from moorline.operators.aggregates import RECORDS_PER_ARRAY, collect_records
 from moorline.operators.latest import first_per_key, latest_per_key
 from moorline.operators.project import iso_record
-from moorline.session import materialize
 
 
-def _table(required: str, texts: str = "", **others) -> StructType:
-    schema = StructType()
-    for name in required.split():
-        schema.add(name, others.pop(name, StringType()), False)
-    for name in texts.split():
-        schema.add(name, others.pop(name, StringType()), True)
-    return schema
-
-
-# The five control tables; the first list of names is the key. Run events
-# are the rows the execution log is derived from.
-JOB_MASTER = _table("job_id job_name", "context_params script_path comments")
-PROCESS_CONTROL = _table(
-    "entity source_system biz_dt",
-    "process_from_date process_to_date run_indicator run_id updated_at change_indicator",
-    biz_dt=DateType(), process_from_date=DateType(), process_to_date=DateType(), updated_at=TimestampType(),
+# The five control tables, each with its key first, which can't be null. Run
+# events are the rows the execution log is derived from.
+JOB_MASTER = (
+    StructType().add("job_id", "string", False).add("job_name", "string", False)
+    .add("context_params", "string").add("script_path", "string").add("comments", "string")
+)
+PROCESS_CONTROL = (
+    StructType().add("entity", "string", False).add("source_system", "string", False).add("biz_dt", "date", False)
+    .add("process_from_date", "date").add("process_to_date", "date").add("run_indicator", "string").add("run_id", "string")
+    .add("updated_at", "timestamp").add("change_indicator", "string")
 )
-JOB_DEPENDENCY = _table("dependent_job_name dependent_job_id", "parent_job_name parent_job_id")
-SYS_PARAMS = _table("param_key environment key_name", "param_value updated_at", updated_at=TimestampType())
-EXECUTION_LOG = _table(
-    "job_id", "id run_id job_name status start_time end_time spark_app_id",
-    start_time=TimestampType(), end_time=TimestampType(),
+JOB_DEPENDENCY = (
+    StructType().add("dependent_job_name", "string", False).add("dependent_job_id", "string", False)
+    .add("parent_job_name", "string").add("parent_job_id", "string")
 )
-RUN_EVENT = _table(
-    "job_id run_id attempt", "job_name spark_app_id state error event_time",
-    attempt=IntegerType(), event_time=TimestampType(),
+SYS_PARAMS = (
+    StructType().add("param_key", "string", False).add("environment", "string", False).add("key_name", "string", False)
+    .add("param_value", "string").add("updated_at", "timestamp")
+)
+EXECUTION_LOG = (
+    StructType().add("job_id", "string", False).add("id", "string").add("run_id", "string").add("job_name", "string")
+    .add("status", "string").add("start_time", "timestamp").add("end_time", "timestamp").add("spark_app_id", "string")
+)
+RUN_EVENT = (
+    StructType().add("job_id", "string", False).add("run_id", "string", False).add("attempt", "integer", False)
+    .add("job_name", "string").add("spark_app_id", "string").add("state", "string").add("error", "string").add("event_time", "timestamp")
 )
 REQUEST = ["env", "entity", "source_system", "job_name"]
+DOCUMENT = [*REQUEST, "job_id"]
 
 
 def environment_settings(sys_params: DataFrame, environments: Sequence[str]) -> DataFrame:
@@ -70,78 +69,90 @@ def missing_rows(requests: DataFrame, job_master: DataFrame, process_control: Da
     return no_job.unionByName(no_date.select(*REQUEST, F.lit("process_control").alias("missing")))
 
 
+def resolved_jobs(requests: DataFrame, job_master: DataFrame, process_control: DataFrame) -> DataFrame:
+    """Every job of each request that has a process row: the request, ``job_id`` and the job's fields.
+
+    A name that several jobs bear gives one document for each of them.
+    """
+    dates = process_control.select("entity", "source_system").distinct()
+    ready = requests.select(*REQUEST).distinct().join(dates, ["entity", "source_system"], "left_semi")
+    return ready.join(job_master.select(*JOB_MASTER.fieldNames()), "job_name")
+
+
 def resolve_parameters(
     requests: DataFrame,
     job_master: DataFrame,
     job_dependency: DataFrame,
     process_control: DataFrame,
     sys_params: DataFrame,
-    per_array: int = RECORDS_PER_ARRAY,
 ) -> DataFrame:
-    """One nested parameter document per requested ``(env, entity, source_system, job_name)``.
-
-    A job and at least one process row are required (see :func:`missing_rows` for the
-    requests without); dependencies and settings may be empty. Process rows come newest
-    first. Settings are those of the requested environment. The child rows of all three
-    tables go through one grouping; a document with more than ``per_array`` children
-    comes in several parts that repeat its head.
+    """The parameter documents of ``(env, entity, source_system, job_name, job_id)``, one row per child.
+
+    A row has the document's key, its ``section``, and the child as a struct in the column of
+    that name; the columns of other sections are null. Section ``job_master`` has one child, so
+    every document has a row. A job and at least one process row are required (see
+    :func:`missing_rows` for the requests without); dependencies and settings may be missing.
+    Settings are those of the requested environment. The same plan at every size: the children
+    are joined to narrow keys, and the job's own fields stay in their one row.
     """
-    master = first_per_key(job_master, ["job_name"], ["job_id"])
-    dates = process_control.select("entity", "source_system").distinct()
-    ready = requests.select(*REQUEST).distinct().join(dates, ["entity", "source_system"], "left_semi")
-    metadata = F.struct("env", "entity", "source_system", "job_name", "job_id").alias("metadata")
-    jobs, _ = materialize(
-        ready.join(master, "job_name").select(metadata, F.struct(*JOB_MASTER.fieldNames()).alias("job_master")), "jobs"
-    )
+    jobs = resolved_jobs(requests, job_master, process_control)
+    keys = jobs.select(*DOCUMENT)
 
-    def children(name: str, table: DataFrame, keys: dict[str, str], rank: Sequence[str]) -> DataFrame:
+    def children(name: str, table: DataFrame, on: dict[str, str]) -> DataFrame:
         rows = iso_record(table)
-        record = F.struct(*rank, *[c for c in rows.columns if c not in rank]).alias(name)
-        links = jobs.select("metadata", *[F.col(f"metadata.{field}").alias(key) for key, field in keys.items()])
-        return links.join(rows.select(*keys, record), list(keys)).select("metadata", name)
+        record = F.struct(*rows.columns).alias(name)
+        side = rows.select(record, *[F.col(theirs).alias(ours) for ours, theirs in on.items()])
+        return keys.join(side, list(on)).select(*DOCUMENT, F.lit(name).alias("section"), name)
 
+    heads = jobs.select(*DOCUMENT, F.lit("job_master").alias("section"), F.struct(*JOB_MASTER.fieldNames()).alias("job_master"))
     sections = [
-        children("job_dependency", job_dependency, {"dependent_job_id": "job_id"}, ["parent_job_id"]),
-        children("process_control", process_control, {"entity": "entity", "source_system": "source_system"},
-                 ["biz_dt", "updated_at", "run_id"]),
-        children("sys_params", sys_params, {"environment": "env", "key_name": "job_name"}, ["param_key"]),
+        heads,
+        children("job_dependency", job_dependency, {"job_id": "dependent_job_id"}),
+        children("process_control", process_control, {"entity": "entity", "source_system": "source_system"}),
+        children("sys_params", sys_params, {"env": "environment", "job_name": "key_name"}),
     ]
-    names = [section.columns[-1] for section in sections]
-    # Written once: the rows are counted per document, and then gathered.
-    rows, total = materialize(
-        reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), sections), "children"
-    )
-    parts = collect_records(rows, ["metadata"], names, per_array, total).join(jobs, "metadata")
-
-    def section(name: str) -> Column:
-        return F.transform(F.filter("records", lambda r: r[name].isNotNull()), lambda r: r[name])
-
-    newest_first = F.reverse(section("process_control"))
-    return parts.select(
-        "metadata",
-        "job_master",
-        "part",
-        section("job_dependency").alias("job_dependency"),
-        newest_first.alias("process_control"),
-        section("sys_params").alias("sys_params"),
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), sections)
+
+
+def parameter_documents(children: DataFrame, parts: int) -> DataFrame:
+    """The rows of :func:`resolve_parameters` as nested documents of up to ``parts`` parts each.
+
+    A part has an array per section, each sorted: process rows newest first, settings and
+    dependencies by key. Nothing is said about order from part to part. ``job_master`` is null
+    in all parts but one.
+    """
+    names = ["job_dependency", "process_control", "sys_params"]
+    lists = {name: F.collect_list(name) for name in names}
+    part = F.pmod(F.xxhash64("section", *names), F.lit(parts)).cast("int").alias("part")
+    grouped = children.groupBy(*DOCUMENT, part).agg(
+        F.first("job_master", True).alias("job_master"), *[rows.alias(name) for name, rows in lists.items()]
     )
+    ranks = {"job_dependency": ["parent_job_id"], "process_control": ["biz_dt", "updated_at", "run_id"], "sys_params": ["param_key"]}
+
+    def ordered(name: str) -> Column:
+        fields = [f.name for f in children.schema[name].dataType.fields]
+        lead = [f for f in ranks[name] if f in fields]
+        ranked = F.transform(name, lambda r: F.struct(*[r[f].alias(f) for f in [*lead, *[f for f in fields if f not in lead]]]))
+        return F.sort_array(ranked, name != "process_control").alias(name)
+
+    return grouped.select(*DOCUMENT, "part", "job_master", *[ordered(name) for name in names])
 
 
-def flatten_parameters(documents: DataFrame) -> DataFrame:
+def flatten_parameters(requests: DataFrame, job_master: DataFrame, process_control: DataFrame) -> DataFrame:
     """One flat row per document, with the latest process row; absent fields are null.
 
-    Works part by part and keeps the latest over all parts of a document.
+    The latest row of each entity and source system is picked before it meets the requests, so
+    neither other process rows nor arrays are made.
     """
-    latest = F.get("process_control", F.lit(0))
+    latest = latest_per_key(process_control, ["entity", "source_system"], ["biz_dt", "updated_at", "run_id"])
+    # The process fields of a flat document.
     fields = ["biz_dt", "process_from_date", "process_to_date", "run_indicator", "run_id", "change_indicator"]
-    rows = documents.select("metadata.*", "job_master.script_path", "job_master.comments",
-                            F.col("job_master.context_params").alias("context_text"), latest.alias("latest"))
-    ids = ["env", "entity", "source_system", "job_name", "job_id"]
-    one = latest_per_key(rows, ids, ["latest"])
-    return one.select(
-        *ids, "script_path", "comments", *[F.col("latest").getField(f).alias(f) for f in fields],
-        json_context("context_text").alias("context_params"),
-        (~json_is_malformed("context_text")).alias("context_ok"),
+    dates = iso_record(latest.select("entity", "source_system", *fields))
+    jobs = requests.select(*REQUEST).distinct().join(job_master.select(*JOB_MASTER.fieldNames()), "job_name")
+    return jobs.join(dates, ["entity", "source_system"]).select(
+        *DOCUMENT, "script_path", "comments", *fields,
+        json_context("context_params").alias("context_params"),
+        (~json_is_malformed("context_params")).alias("context_ok"),
     )
 
 
@@ -154,7 +165,7 @@ def run_events(events: DataFrame) -> DataFrame:
 
 
 def run_states(log: DataFrame) -> DataFrame:
-    """Latest state of each run: its status, start, end and duration in microseconds.
+    """Latest state of each run: its status, whole error, start, end and duration in microseconds.
 
     A run has ended when an event other than ``Started`` is its latest. Other columns of
     the log, such as the job name, come from the latest event.
@@ -162,7 +173,7 @@ def run_states(log: DataFrame) -> DataFrame:
     started = F.col("status") == "Started"
     rank = F.struct("event_time", F.when(started, 0).otherwise(1), "status")
     run = ["id", "job_id", "run_id", "attempt"]
-    others = [c for c in log.columns if c not in (*run, "state", "error", "status", "event_time")]
+    others = [c for c in log.columns if c not in (*run, "state", "status", "event_time")]
     runs = log.groupBy(*run).agg(
         *[F.max_by(c, rank).alias(c) for c in others],
         F.max_by("status", rank).alias("status"),

@@ -7,11 +7,20 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moorline.session import materialize
+from moorline.session import drop_tables, materialize
 
 ROUNDS_PER_PLAN = 32
 
 
+class CycleError(ValueError):
+    """A dependency cycle; ``members`` has every job that is on it or waits on it."""
+
+    def __init__(self, members: DataFrame, count: int):
+        self.members = members
+        folder = members.inputFiles()[0].rsplit("/", 1)[0]
+        super().__init__(f"dependency cycle; {count} jobs are on it or wait on it, listed in {folder}")
+
+
 def direct_dependencies(edges: DataFrame, job_id: str, child: str = "dependent_job_id") -> DataFrame:
     """Edges that start at one job."""
     return edges.where(F.col(child) == F.lit(job_id))
@@ -22,11 +31,17 @@ def _links(edges: DataFrame, child: str, parent: str) -> DataFrame:
     return edges.where(linked).select(F.col(child).alias("child"), F.col(parent).alias("parent")).distinct()
 
 
-def _compact(rounds: list[DataFrame]) -> list[DataFrame]:
-    """Write the rounds so far as one table, so that a deep graph does not grow a deep plan."""
+def _compact(rounds: list[DataFrame], written: list[DataFrame]) -> list[DataFrame]:
+    """Write the rounds so far as one table, so that a deep graph does not grow a deep plan.
+
+    The tables ``written`` for them are dropped then, and the list becomes the new one.
+    """
     if len(rounds) < ROUNDS_PER_PLAN:
         return rounds
-    return [materialize(reduce(DataFrame.union, rounds), "rounds")[0]]
+    whole = materialize(reduce(DataFrame.union, rounds), "rounds")[0]
+    drop_tables(*written)
+    written[:] = [whole]
+    return [whole]
 
 
 def dependency_levels(
@@ -37,21 +52,23 @@ def dependency_levels(
     An edge stays open as long as its parent has an open edge itself, so the edge table
     shrinks from round to round, and a node's level is the number of rounds in which it
     has an open edge. Each round is one semi join, however many paths lead to a node. A
-    cycle raises and names jobs that wait on it.
+    cycle raises a :class:`CycleError` with the jobs that wait on it.
     """
     open_edges, n_open = materialize(_links(edges, child, parent), "edges")
     levels = [edges.select(F.col(child).alias(node)), open_edges.select(F.col("parent").alias(node))]
     levels = [nodes.where(F.col(node).isNotNull()).withColumn("level", F.lit(0)) for nodes in levels]
+    written = [open_edges]
     level = 0
     while n_open:
         level += 1
-        levels = _compact([*levels, open_edges.select(F.col("child").alias(node), F.lit(level).alias("level"))])
+        levels = [*levels, open_edges.select(F.col("child").alias(node), F.lit(level).alias("level"))]
         waiting = open_edges.select(F.col("child").alias("waiting")).distinct()
         left, n_left = materialize(open_edges.join(waiting, F.col("parent") == F.col("waiting"), "left_semi"), "edges")
         if n_left == n_open:
-            stuck = [str(row[0]) for row in left.select("child").distinct().orderBy("child").limit(10).collect()]
-            raise ValueError(f"dependency cycle; waiting on it: {', '.join(stuck)}")
+            raise CycleError(*materialize(left.select(F.col("child").alias(node)).distinct(), "cycle"))
+        levels = _compact(levels, written)
         open_edges, n_open = left, n_left
+        written.append(open_edges)
     return reduce(DataFrame.union, levels).groupBy(node).agg(F.max("level").alias("level"))
 
 
@@ -64,11 +81,15 @@ def dependency_closure(
     start = links.where(F.col("child") == F.lit(job_id)).select(F.col("parent").alias(node)).where(other)
     frontier, found = materialize(start, "frontier")
     distance, rounds = 1, [frontier.withColumn("distance", F.lit(1))]
+    written = [frontier]
     while found:
         distance += 1
         step = links.join(frontier, F.col("child") == F.col(node), "left_semi").select(F.col("parent").alias(node))
         seen = reduce(DataFrame.union, rounds).select(F.col(node).alias("seen"))
         fresh = step.where(other).distinct().join(seen, F.col(node) == F.col("seen"), "left_anti")
         frontier, found = materialize(fresh, "frontier")
-        rounds = _compact([*rounds, frontier.withColumn("distance", F.lit(distance))])
+        rounds = _compact(rounds, written)
+        rounds = [*rounds, frontier.withColumn("distance", F.lit(distance))]
+        written.append(frontier)
+    drop_tables(links)
     return reduce(DataFrame.union, rounds)

@@ -71,10 +71,11 @@ def require_values(df: DataFrame, columns: Sequence[str] = ("biz_dt",)) -> DataF
     """The frame itself; a row without a value in one of ``columns`` raises when it is read."""
 
     def checked(name: str) -> Column:
-        missing = F.raise_error(F.lit(f"missing required parameter: {name}"))
-        return F.when(F.col(name).isNull(), missing).otherwise(F.col(name)).cast(df.schema[name].dataType)
+        missing = F.raise_error(F.lit(f"missing required parameter: {name}")).cast("boolean")
+        return F.when(F.col(name).isNotNull(), F.lit(True)).otherwise(missing)
 
-    return df.withColumns({name: checked(name) for name in columns})
+    # A filter, not a column: a plan that reads none of the columns keeps it.
+    return df.where(reduce(Column.__and__, [checked(name) for name in columns]))
 
 
 def require_params(params: Mapping, names: Sequence[str] = ("biz_dt",)) -> None:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moorline.operators.project import json_record
+
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows and nulls per column in one pass: a single row, one column each."""
@@ -24,24 +25,32 @@ def validate_non_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return profile.select(F.inline(rows)).withColumn("passed", F.col("null_count") == 0)
 
 
-def verify_tables(spark: SparkSession, tables: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
-    """Row count and schema per table; one that cannot be opened reports its error instead."""
+REPORT = "table_name STRING, row_count BIGINT, table_schema STRING, sample ARRAY<STRING>, error STRING"
+
+
+def verify_tables(
+    spark: SparkSession,
+    tables: Mapping[str, Callable[[], DataFrame]],
+    sample: int = 5,
+    order_by: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """Row count, schema and the first ``sample`` rows as JSON of each table.
 
-    def check(name: str, load: Callable[[], DataFrame]) -> DataFrame:
+    Each table is counted by a job of its own, and whatever goes wrong with one, when it is
+    opened or when it is read, is its ``error`` and leaves the others alone. Name columns in
+    ``order_by`` for a table whose sample must be the same each time.
+    """
+
+    def check(name: str, load: Callable[[], DataFrame]) -> tuple:
         try:
             table = load()
-        except AnalysisException as error:
-            cause = error.getCondition() or str(error)
-            return spark.range(1).select(
-                F.lit(name).alias("table_name"), F.lit(None).cast("bigint").alias("row_count"),
-                F.lit(None).cast("string").alias("table_schema"), F.lit(cause).alias("error"),
-            )
-        return table.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count",
-            F.lit(table.schema.simpleString()).alias("table_schema"), F.lit(None).cast("string").alias("error"),
-        )
-
-    return reduce(DataFrame.unionByName, [check(name, load) for name, load in tables.items()])
+            rows = json_record(table_sample(table, sample, (order_by or {}).get(name, ()))).collect()
+            return name, table.count(), table.schema.simpleString(), [row[0] for row in rows], None
+        except Exception as error:
+            cause = (error.getCondition() if isinstance(error, PySparkException) else None) or type(error).__name__
+            return name, None, None, None, cause
+
+    return spark.createDataFrame([check(name, load) for name, load in tables.items()], REPORT)
 
 
 def table_sample(df: DataFrame, n: int = 5, order_by: Sequence[str] = ()) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from datetime import date
 from decimal import Decimal
 
@@ -29,7 +29,8 @@ NAME = re.compile(r"[A-Za-z_]\w*(\.[A-Za-z_]\w*)*")
 
 
 class _Parameters:
-    def __init__(self, params: Mapping):
+    def __init__(self, params: Mapping, plain: Iterable[str] = ()):
+        self.plain = {name.lower() for name in plain}
         self.values: dict[str, object] = {}
         for name, value in params.items():
             if name.lower() in self.values:
@@ -85,18 +86,19 @@ class _Parameters:
         return (typed or "") + INNER.sub(inside, token)
 
     def is_placeholder(self, match: re.Match) -> bool:
-        """Inside quotes ``context.x`` may be plain text; a braced name never is."""
-        return match["dotted"] is None or match["dotted"].lower() in self.values
+        """Inside quotes ``context.x`` is plain text only if it was declared so."""
+        return match["dotted"] is None or match["dotted"].lower() not in self.plain
 
 
-def bind_template(text: str, params: Mapping | None = None) -> tuple[str, dict[str, object]]:
+def bind_template(text: str, params: Mapping | None = None, plain: Iterable[str] = ()) -> tuple[str, dict[str, object]]:
     """Statement with named parameters, and their values, for ``spark.sql(text, args)``.
 
     One pass over the text, so a value is never scanned again and a name never matches
     the start of a longer one. Names match ignoring case. A placeholder without a value
-    raises, outside comments.
+    raises, outside comments. Names in ``plain`` are none: inside quotes ``context.name``
+    then stays as it is.
     """
-    bound = _Parameters(params or {})
+    bound = _Parameters(params or {}, plain)
 
     def replace(match: re.Match) -> str:
         if match["comment"] is not None:

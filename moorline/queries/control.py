@@ -17,6 +17,7 @@ from moorline.operators.control import (
     environment_settings,
     flatten_parameters,
     missing_rows,
+    parameter_documents,
     resolve_parameters,
     run_events,
     run_states,
@@ -59,16 +60,11 @@ def dependencies_of_job(t):
     return direct_dependencies(_edges(t), 100)
 
 
-@query("""
-    SELECT o_custkey, count(*) AS children, min(o_orderkey) AS first_child, max(o_orderkey) AS last_child
-    FROM orders GROUP BY o_custkey""")
+@query("SELECT o_custkey, o_orderkey, o_orderdate, o_orderpriority, o_orderstatus, o_totalprice FROM orders")
 def child_records(t):
-    arrays = collect_records(t.orders, ["o_custkey"], ["o_orderkey"])
-    return arrays.groupBy("o_custkey").agg(
-        F.sum(F.size("records")).alias("children"),
-        F.min(F.get("records", F.lit(0))["o_orderkey"]).alias("first_child"),
-        F.max(F.element_at("records", -1)["o_orderkey"]).alias("last_child"),
-    )
+    """Every child of every array, one row each."""
+    arrays = collect_records(t.orders, ["o_custkey"], ["o_orderkey"], parts=16)
+    return arrays.select("o_custkey", F.inline("records"))
 
 
 SETTINGS = """
@@ -87,7 +83,7 @@ def _registry(t):
     SELECT p_brand AS key_name, p_name AS param_key, CAST(p_size AS VARCHAR) AS param_value
     FROM part QUALIFY row_number() OVER (PARTITION BY p_brand, p_name ORDER BY p_partkey DESC) = 1""")
 def kv_to_map_lookup(t):
-    maps = settings_maps(_registry(t), ["key_name"], order_by=["updated_at"])
+    maps = settings_maps(_registry(t), ["key_name"], parts=16, order_by=["updated_at"])
     return maps.select("key_name", F.explode("settings").alias("param_key", "param_value"))
 
 
@@ -157,8 +153,9 @@ def _control(t):
     """Requests and the four control tables of :data:`CONTROL`."""
     entity = F.concat(F.lit("CUST_"), "c_custkey")
     env = F.when(F.col("c_acctbal") < 0, "DEV").otherwise("PROD")
-    requests = t.customer.select(env.alias("env"), entity.alias("entity"), F.lit("1-URGENT").alias("source_system"),
-                                 F.col("c_name").alias("job_name"))
+    pairs = t.orders.select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("source_system")).distinct()
+    requests = t.customer.join(pairs, "c_custkey").select(
+        env.alias("env"), entity.alias("entity"), "source_system", F.col("c_name").alias("job_name"))
     quoted = F.concat(F.lit('{"segment": "'), "c_mktsegment", F.lit('"}'))
     context = F.when(F.col("c_acctbal") < 0, '{"segment": ').otherwise(quoted)
     master = t.customer.select(
@@ -184,24 +181,45 @@ def _control(t):
 
 
 @query(f"""
-    WITH {EDGES}, {CONTROL}
-    SELECT j.job_id, j.job_name, j.script_path,
-           (SELECT count(*) FROM edges e WHERE e.child = j.c_custkey) AS dependencies,
-           (SELECT count(*) FROM dates d WHERE d.entity = j.entity AND d.source_system = '1-URGENT') AS process_rows,
-           (SELECT strftime(max(biz_dt), '%Y-%m-%d') FROM dates d
-            WHERE d.entity = j.entity AND d.source_system = '1-URGENT') AS latest_biz_dt,
-           (SELECT count(*) FROM params p WHERE p.key_name = j.job_name AND p.environment = j.env) AS settings,
-           (SELECT min(param_key) FROM params p WHERE p.key_name = j.job_name AND p.environment = j.env) AS first_setting
-    FROM jobs j WHERE EXISTS (SELECT 1 FROM dates d WHERE d.entity = j.entity AND d.source_system = '1-URGENT')""")
+    WITH {EDGES}, {CONTROL}, documents AS (
+        SELECT DISTINCT j.env, j.entity, d.source_system, j.job_name, j.job_id, j.script_path, j.c_custkey
+        FROM jobs j JOIN dates d ON d.entity = j.entity)
+    SELECT job_id, source_system, 'job_master' AS section, script_path AS child, NULL AS value FROM documents
+    UNION ALL SELECT job_id, source_system, 'job_dependency', 'JOB_' || e.parent, NULL
+        FROM documents d JOIN edges e ON e.child = d.c_custkey
+    UNION ALL SELECT d.job_id, d.source_system, 'process_control', strftime(p.biz_dt, '%Y-%m-%d'), p.run_id
+        FROM documents d JOIN dates p ON p.entity = d.entity AND p.source_system = d.source_system
+    UNION ALL SELECT d.job_id, d.source_system, 'sys_params', p.param_key, p.param_value
+        FROM documents d JOIN params p ON p.key_name = d.job_name AND p.environment = d.env""")
 def nested_params(t):
-    documents = resolve_parameters(*_control(t))
-    return documents.groupBy("metadata.job_id", "metadata.job_name", "job_master.script_path").agg(
-        F.sum(F.size("job_dependency")).alias("dependencies"),
-        F.sum(F.size("process_control")).alias("process_rows"),
-        F.max(F.get("process_control", F.lit(0))["biz_dt"]).alias("latest_biz_dt"),
-        F.sum(F.size("sys_params")).alias("settings"),
-        F.min(F.get("sys_params", F.lit(0))["param_key"]).alias("first_setting"),
-    )
+    """Every child of every document."""
+    child = F.coalesce("job_master.script_path", "job_dependency.parent_job_id", "process_control.biz_dt", "sys_params.param_key")
+    return resolve_parameters(*_control(t)).select(
+        "job_id", "source_system", "section", child.alias("child"),
+        F.coalesce("process_control.run_id", "sys_params.param_value").alias("value"))
+
+
+@query(f"""
+    WITH {EDGES}, {CONTROL}, documents AS (
+        SELECT DISTINCT j.env, j.entity, d.source_system, j.job_name, j.job_id, j.c_custkey FROM jobs j JOIN dates d ON d.entity = j.entity)
+    SELECT job_id, source_system,
+           (SELECT string_agg('JOB_' || e.parent, ',' ORDER BY 'JOB_' || e.parent) FROM edges e WHERE e.child = d.c_custkey) AS needs,
+           (SELECT string_agg(p.run_id, ',' ORDER BY p.biz_dt DESC) FROM dates p
+            WHERE p.entity = d.entity AND p.source_system = d.source_system) AS runs,
+           (SELECT string_agg(p.param_key || '=' || p.param_value, ',' ORDER BY p.param_key) FROM params p
+            WHERE p.key_name = d.job_name AND p.environment = d.env) AS settings
+    FROM documents d""")
+def parameter_arrays(t):
+    """The same documents with an array per section, in one part each."""
+    documents = parameter_documents(resolve_parameters(*_control(t)), parts=1)
+
+    def listed(items):
+        return F.nullif(F.array_join(items, ","), F.lit(""))
+
+    return documents.select(
+        "job_id", "source_system", listed(F.col("job_dependency.parent_job_id")).alias("needs"),
+        listed(F.col("process_control.run_id")).alias("runs"),
+        listed(F.transform("sys_params", lambda r: F.concat(r["param_key"], F.lit("="), r["param_value"]))).alias("settings"))
 
 
 @query(f"""
@@ -211,16 +229,18 @@ def nested_params(t):
            strftime(d.process_to_date, '%Y-%m-%d') AS process_to_date, d.run_indicator, d.run_id, d.change_indicator,
            CASE WHEN j.env = 'PROD' THEN json_extract_string(j.context_params, '$.segment') END AS segment,
            j.env = 'PROD' AS context_ok
-    FROM jobs j JOIN dates d ON d.entity = j.entity AND d.source_system = '1-URGENT'
-    QUALIFY row_number() OVER (PARTITION BY j.job_id ORDER BY d.biz_dt DESC) = 1""")
+    FROM jobs j JOIN dates d ON d.entity = j.entity
+    QUALIFY row_number() OVER (PARTITION BY j.job_id, d.source_system ORDER BY d.biz_dt DESC) = 1""")
 def flattened_params(t):
-    flat = flatten_parameters(resolve_parameters(*_control(t)))
+    requests, master, _, dates, _ = _control(t)
+    flat = flatten_parameters(requests, master, dates)
     return flat.withColumn("segment", F.try_element_at("context_params", F.lit("segment"))).drop("context_params")
 
 
 @query(f"""
     WITH {CONTROL}, requests AS (
-        SELECT env, entity, '1-URGENT' AS source_system, job_name FROM jobs
+        SELECT DISTINCT j.env, j.entity, d.source_system, j.job_name FROM jobs j JOIN dates d ON d.entity = j.entity
+        UNION ALL SELECT env, entity, 'NO-PRIORITY', job_name FROM jobs
         UNION ALL SELECT 'PROD', 'CUST_' || s_suppkey, '1-URGENT', s_name FROM supplier)
     SELECT env, entity, source_system, job_name,
            CASE WHEN job_name NOT IN (SELECT job_name FROM jobs) THEN 'job_master' ELSE 'process_control' END AS missing
@@ -230,7 +250,13 @@ def missing_control_rows(t):
     requests, master, _, dates, _ = _control(t)
     suppliers = t.supplier.select(F.lit("PROD").alias("env"), F.concat(F.lit("CUST_"), "s_suppkey").alias("entity"),
                                   F.lit("1-URGENT").alias("source_system"), F.col("s_name").alias("job_name"))
-    return missing_rows(requests.unionByName(suppliers), master, dates)
+    unknown = requests.select("env", "entity", F.lit("NO-PRIORITY").alias("source_system"), "job_name").distinct()
+    customers = t.customer.select(F.col("c_name").alias("job_name"))
+    undated = customers.join(unknown, "job_name", "left_anti").join(master, "job_name").select(
+        F.when(F.col("context_params") == '{"segment": ', "DEV").otherwise("PROD").alias("env"),
+        F.regexp_replace("job_id", "JOB_", "CUST_").alias("entity"), F.lit("NO-PRIORITY").alias("source_system"), "job_name")
+    wanted = requests.unionByName(suppliers).unionByName(unknown).unionByName(undated)
+    return missing_rows(wanted, master, dates)
 
 
 def _run_log(t):
@@ -239,18 +265,20 @@ def _run_log(t):
     return run_events(t.events.select(
         F.col("user_id").cast("string").alias("job_id"), F.date_format("ts", "yyyyMMdd").alias("run_id"),
         F.lit(1).alias("attempt"), F.coalesce(state, F.lit("Started")).alias("state"),
-        F.repeat("props", F.lit(60)).alias("error"), F.col("ts").alias("event_time")))
+        F.when(F.col("event_id") % 3 != 0, F.repeat("props", F.lit(60))).alias("error"), F.col("ts").alias("event_time")))
 
 
 @query("""
     WITH log AS (
         SELECT CAST(user_id AS VARCHAR) AS job_id, strftime(ts, '%Y%m%d') AS run_id, ts,
+               CASE WHEN event_id % 3 <> 0 THEN repeat(props, 60) END AS error,
                CASE event_type WHEN 'purchase' THEN 'Completed'
-                    WHEN 'error' THEN 'Failed: ' || left(repeat(props, 60), 500) ELSE 'Started' END AS status FROM events),
+                    WHEN 'error' THEN 'Failed: ' || coalesce(left(error, 500), '') ELSE 'Started' END AS status FROM events),
     runs AS (
-        SELECT job_id, run_id, arg_max(status, ts) AS status, min(ts) FILTER (status = 'Started') AS start_time,
+        SELECT job_id, run_id, arg_max(status, ts) AS status, arg_max_null(error, ts) AS error, min(ts) FILTER (status = 'Started') AS start_time,
                max(ts) FILTER (status <> 'Started') AS last_end FROM log GROUP BY job_id, run_id)
-    SELECT sha256(concat_ws('|', job_id, run_id, '1')) AS id, job_id, run_id, CAST(1 AS INTEGER) AS attempt, status, start_time,
+    SELECT sha256('{"job_id":"' || job_id || '","run_id":"' || run_id || '","attempt":"1"}') AS id, job_id, run_id,
+           CAST(1 AS INTEGER) AS attempt, status, error, start_time,
            CASE WHEN status <> 'Started' THEN last_end END AS end_time,
            CASE WHEN status <> 'Started' THEN epoch_us(last_end) - epoch_us(start_time) END AS duration_micros FROM runs""")
 def run_log_duration(t):

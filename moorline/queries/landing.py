@@ -21,6 +21,7 @@ from moorline.operators import (
     null_profile,
     partition_breakdown,
     repeated_keys,
+    require_values,
     split_by_status,
     star_join,
     table_sample,
@@ -34,6 +35,7 @@ from moorline.operators import (
     with_derived,
 )
 from moorline.queries.registry import query
+from moorline.session import apply_profile, materialize
 
 # Business status of an order code; other codes are residual.
 OUTPUTS = {"ACTIVE": ["o"], "EXPIRED": ["f"]}
@@ -291,13 +293,49 @@ def non_null_validation(t):
     return validate_non_null(documents, ["doc_id", "quality", "toxic"])
 
 
-CORE = "region nation customer supplier part orders lineitem events"
+# Each given table with the columns that order its sample.
+TABLES = {
+    "region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"], "part": ["p_partkey"],
+    "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"], "documents": ["doc_id"],
+    "embeddings": ["vec_id"], "pages": ["page_id"], "benchmark": ["item_id"], "labels": ["doc_id"], "conversations": ["conv_id", "turn"],
+}
 
 
 @query(
-    " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count, true AS opened FROM {n}" for n in CORE.split())
-    + " UNION ALL SELECT 'archive', NULL, false"
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count,"
+        f" (SELECT string_agg(column_name, ',' ORDER BY column_name) FROM duckdb_columns() WHERE table_name = '{name}') AS table_columns,"
+        f" (SELECT string_agg(k, ',' ORDER BY n) FROM (SELECT {keys[0]} AS k, row_number() OVER (ORDER BY {', '.join(keys)}) AS n FROM {name})"
+        f" WHERE n <= 5) AS sample_keys, NULL AS error FROM {name}"
+        for name, keys in TABLES.items()
+    ) + " UNION ALL SELECT 'archive', NULL, NULL, NULL, 'PATH_NOT_FOUND'"
 )
 def table_verification(t):
-    report = verify_tables(t.spark, {n: lambda n=n: getattr(t, n) for n in [*CORE.split(), "archive"]})
-    return report.select("table_name", "row_count", F.col("error").isNull().alias("opened"))
+    report = verify_tables(t.spark, {n: lambda n=n: getattr(t, n) for n in [*TABLES, "archive"]}, order_by=TABLES)
+    keys = F.create_map(*[F.lit(x) for name, columns in TABLES.items() for x in (name, f"$.{columns[0]}")])
+    columns = F.array_sort(F.transform(F.split(F.regexp_extract("table_schema", r"^struct<(.*)>$", 1), ",(?=[a-z_]+:)"), lambda f: F.split_part(f, F.lit(":"), F.lit(1))))
+    return report.withColumn("key", F.try_element_at(keys, "table_name")).select(
+        "table_name", "row_count", F.array_join(columns, ",").alias("table_columns"),
+        F.expr("array_join(transform(sample, r -> get_json_object(r, key)), ',')").alias("sample_keys"), "error",
+    )
+
+
+@query("SELECT o_orderkey, o_orderdate FROM orders")
+def required_values(t):
+    """Rows pass if none lacks a required value."""
+    return require_values(t.orders, ["o_orderdate", "o_custkey"]).select("o_orderkey", "o_orderdate")
+
+
+@query("SELECT o_orderstatus, count(*) AS row_count, 100 AS width FROM orders GROUP BY o_orderstatus")
+def profiled_count(t):
+    """An aggregate written under a profile, whose settings are put back afterwards."""
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
+             "spark.sql.adaptive.forceOptimizeSkewedJoin"]
+    before = {name: t.spark.conf.get(name, None) for name in names}
+    try:
+        width = apply_profile(t.spark, "small")
+        counts = t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("row_count"), F.lit(width).alias("width"))
+        return materialize(counts, "profiled")[0]
+    finally:
+        for name, value in before.items():
+            t.spark.conf.unset(name) if value is None else t.spark.conf.set(name, value)

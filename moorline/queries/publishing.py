@@ -9,6 +9,7 @@ from moorline.queries.registry import query
 from moorline.session import scratch_path
 from moorline.sinks import (
     atomic_publish,
+    create_database,
     create_external_table,
     partition_counts,
     published_partitions,
@@ -54,11 +55,11 @@ def dynamic_overwrite(t):
     return read_orc(t.spark, path, contracts.schema)
 
 
-@query(f"WITH {LANDED} SELECT * FROM landed WHERE biz_status <> 'RESIDUAL'")
+@query(f"WITH {LANDED} SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM landed")
 def staged_publish(t):
     path, contracts = scratch_path(t.spark, "published"), _contracts(t)
     atomic_publish(contracts, path, fmt="orc", partitionBy=PARTITIONS)
-    atomic_publish(contracts.where("biz_status <> 'RESIDUAL'"), path, fmt="orc", partitionBy=PARTITIONS)
+    atomic_publish(contracts.withColumn("o_totalprice", F.col("o_totalprice") + 1), path, fmt="orc", partitionBy=PARTITIONS)
     return read_orc(t.spark, path, contracts.schema)
 
 
@@ -92,16 +93,12 @@ def lookup_publish(t):
     return landed.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("row_count"), F.lit(written).cast("bigint").alias("written"))
 
 
-@query("""
-    SELECT * FROM orders WHERE (o_orderdate, o_orderstatus) NOT IN (SELECT l_shipdate, l_linestatus FROM lineitem)""", name="skip_published")
-def skip_published_partitions(t):
-    shipped = t.lineitem.select(F.col("l_shipdate").alias("o_orderdate"), F.col("l_linestatus").alias("o_orderstatus"))
-    return skip_published(t.orders, shipped, ["o_orderdate", "o_orderstatus"])
-
-
-def _catalog_table(t):
-    name = f"landing_{uuid.uuid4().hex}"
-    create_external_table(t.spark, name, _contracts(t).schema, _landed(t), PARTITIONS)
+def _catalog_table(t, only="true"):
+    """A table in a database of its own over the landed contracts that ``only`` picks."""
+    create_database(t.spark, "landing_zone")
+    name, path = f"landing_zone.landing_{uuid.uuid4().hex}", scratch_path(t.spark, "landing")
+    write_orc(_contracts(t).where(only), path, mode="overwrite", partitionBy=PARTITIONS)
+    create_external_table(t.spark, name, _contracts(t).schema, path, PARTITIONS)
     repair_table(t.spark, name)
     return name
 
@@ -116,6 +113,18 @@ def catalog_partitions(t):
     return published_partitions(t.spark, _catalog_table(t), PARTITIONS)
 
 
-@query(f"WITH {LANDED} SELECT * FROM landed WHERE biz_dt = '1996' AND biz_status = 'ACTIVE'")
+@query(f"WITH {LANDED} SELECT * FROM landed WHERE biz_status <> 'ACTIVE' OR biz_dt >= '1998'", name="skip_published")
+def skip_published_partitions(t):
+    """What is still to be landed, by the partitions that the catalog has."""
+    table = _catalog_table(t, "biz_status = 'ACTIVE' AND biz_dt < '1998'")
+    return skip_published(_contracts(t), published_partitions(t.spark, table, PARTITIONS), PARTITIONS)
+
+
+@query(f"WITH {LANDED} SELECT * FROM landed")
 def catalog_scan(t):
+    return read_catalog(t.spark, _catalog_table(t))
+
+
+@query(f"WITH {LANDED} SELECT * FROM landed WHERE biz_dt = '1996' AND biz_status = 'ACTIVE'")
+def catalog_pruned_scan(t):
     return read_catalog(t.spark, _catalog_table(t)).where("biz_dt = '1996' AND biz_status = 'ACTIVE'")

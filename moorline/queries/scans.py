@@ -1,5 +1,8 @@
 """Source queries: each format is written by Spark from a given table and scanned back."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moorline.queries.registry import query
@@ -87,9 +90,15 @@ def key_value_scan(t):
     return read_key_values(t.spark, chosen, fmt="parquet", location=t.path("part"), key="p_name", value="p_type")
 
 
-@query("SELECT * FROM supplier")
+@query(" UNION ALL ".join(f"SELECT *, '{fmt}' AS fmt FROM supplier" for fmt in ("csv", "json", "orc", "parquet")))
 def extension_dispatch(t):
-    return read_any(t.spark, t.path("supplier"))
+    """The same rows behind each suffix."""
+    frames = []
+    for fmt in ("csv", "json", "orc", "parquet"):
+        path = f"{scratch_path(t.spark, fmt)}.{fmt}"
+        write_df(t.supplier, path, mode="overwrite", fmt=fmt, opts={"header": "true"} if fmt == "csv" else None)
+        frames.append(read_any(t.spark, path, t.supplier.schema).withColumn("fmt", F.lit(fmt)))
+    return reduce(DataFrame.unionByName, frames)
 
 
 # Order lines as text: residual orders have a bad amount, low priority ones a field too
@@ -99,12 +108,12 @@ LINES = """
            CASE WHEN o_orderstatus = 'P' THEN ',n/a' WHEN o_orderpriority = '5-LOW' THEN ''
                 WHEN o_orderpriority = '1-URGENT' THEN ',' || CAST(floor(o_totalprice) AS BIGINT) || ',extra'
                 ELSE ',' || CAST(floor(o_totalprice) AS BIGINT) END AS line,
-           o_orderkey, o_totalprice, o_orderstatus <> 'P' AND o_orderpriority NOT IN ('5-LOW', '1-URGENT') AS good
+           o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderstatus <> 'P' AND o_orderpriority NOT IN ('5-LOW', '1-URGENT') AS good
     FROM orders"""
 LINE_SCHEMA = "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, amount BIGINT"
 
 QUARANTINE = f"""
-    SELECT o_orderkey, CASE WHEN good THEN CAST(floor(o_totalprice) AS BIGINT) END AS amount,
+    SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN good THEN CAST(floor(o_totalprice) AS BIGINT) END AS amount,
            CASE WHEN NOT good THEN line END AS raw FROM ({LINES})"""
 
 
@@ -116,8 +125,9 @@ def _line_scan(t):
 
 
 def _both_sides(good, bad):
-    good = good.select("o_orderkey", "amount", F.lit(None).cast("string").alias("raw"))
-    return good.unionByName(bad.select("o_orderkey", F.lit(None).cast("bigint").alias("amount"), F.col(BAD_RECORD).alias("raw")))
+    head = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    good = good.select(*head, "amount", F.lit(None).cast("string").alias("raw"))
+    return good.unionByName(bad.select(*head, F.lit(None).cast("bigint").alias("amount"), F.col(BAD_RECORD).alias("raw")))
 
 
 @query(QUARANTINE)
@@ -128,3 +138,22 @@ def bad_row_split(t):
 @query(QUARANTINE)
 def bad_row_quarantine(t):
     return _both_sides(*write_with_quarantine(_line_scan(t), scratch_path(t.spark, "quarantine")))
+
+
+# The same for JSON: residual orders are cut off in the middle.
+JSON_LINES = """
+    SELECT '{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus ||
+           CASE WHEN o_orderstatus = 'P' THEN '' ELSE '"}' END AS line, o_orderkey, o_orderstatus FROM orders"""
+
+
+@query(f"""
+    SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS o_orderkey,
+           CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS o_orderstatus,
+           CASE WHEN o_orderstatus = 'P' THEN line END AS raw FROM ({JSON_LINES})""")
+def json_quarantine(t):
+    t.orders.createOrReplaceTempView("order_rows")
+    lines = t.spark.sql(JSON_LINES.replace("FROM orders", "FROM order_rows")).select("line")
+    rows = read_quarantined(t.spark, _landed(t, lines, "text"), "o_orderkey BIGINT, o_orderstatus STRING", fmt="json")
+    good, bad = write_with_quarantine(rows, scratch_path(t.spark, "quarantine"))
+    empty = [F.lit(None).cast("bigint").alias("o_orderkey"), F.lit(None).cast("string").alias("o_orderstatus")]
+    return good.withColumn("raw", F.lit(None).cast("string")).unionByName(bad.select(*empty, F.col(BAD_RECORD).alias("raw")))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,18 +35,11 @@ def apply_profile(spark: SparkSession, profile: str = "medium", input_bytes: int
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor can reach, as the cluster names it.
-
-    Only a local session without the setting falls back to a temporary folder.
-    """
+    """Folder that every executor can reach, as the cluster names it in ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not base:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="moorline-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    return base.rstrip("/")
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -86,3 +78,15 @@ def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     rows, counter = counted(df)
     rows.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), counter.get["rows"]
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete tables that :func:`materialize` wrote, once nothing reads them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        base = hadoop_path(spark, shared_dir(spark))
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            fs, target = hadoop_path(spark, folder)
+            if not target.toUri().getPath().startswith(base[1].toUri().getPath() + "/"):
+                raise ValueError(f"{folder} is no scratch table")
+            fs.delete(target, True)

@@ -8,5 +8,5 @@ from moorline.sinks.catalog import (
     repair_table,
     show_partitions,
 )
-from moorline.sinks.publish import atomic_publish, skip_published, upsert_into
+from moorline.sinks.publish import atomic_publish, finish_upsert, skip_published, upsert_into
 from moorline.sinks.write import partition_columns, write_counted, write_df, write_orc

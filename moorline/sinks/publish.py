@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moorline.operators.changes import upsert
 from moorline.operators.keys import with_partner, without_partner
-from moorline.session import hadoop_path, materialize
+from moorline.session import drop_tables, hadoop_path, materialize
 from moorline.sinks.write import partition_columns, write_counted, write_df
 
 
@@ -75,6 +76,9 @@ def skip_published(requested: DataFrame, published: DataFrame, partitions: Seque
     return without_partner(requested, published, partitions)
 
 
+PENDING = "_upsert"
+
+
 def upsert_into(
     spark: SparkSession,
     path: str,
@@ -84,40 +88,56 @@ def upsert_into(
     schema,
     order_by: Sequence[str] | None = None,
     fmt: str = "orc",
+    opts: Mapping | None = None,
 ) -> int:
     """Upsert into a partitioned dataset, reading and rewriting only the partitions it touches.
 
     Touched are the partitions of the updates and, unless the partition columns belong
-    to the key, those where an updated key lives now. The new content is staged first,
-    since a plan cannot overwrite the folder it reads. Returns the rows rewritten.
+    to the key, those where an updated key lives now. Their whole new content is staged in the
+    dataset's own ``_upsert`` folder, which scans pass over, and then written in place. A run
+    that stops on the way is finished by the next call, or by :func:`finish_upsert`, from what
+    is staged; one that stops before that has changed nothing. Returns the rows rewritten.
     """
-    columns = partition_columns(partitionBy)
+    path, columns = path.rstrip("/"), partition_columns(partitionBy)
+    finish_upsert(spark, path, columns, schema, fmt, opts)
     base = spark.read.schema(schema).format(fmt).load(path)
     touched = updates.select(*columns).distinct()
     if not set(columns) <= set(keys):
         touched = touched.union(with_partner(base, updates, keys).select(*columns)).distinct()
     touched, _ = materialize(touched, "touched")
-
-    # Partition names only, as many as Spark's own file listing holds.
-    present = [folder for folder in _partition_folders(touched, path, columns) if _exists(spark, folder)]
-    scan = spark.read.schema(schema).format(fmt).option("basePath", path)
-    affected = scan.load(present) if present else spark.createDataFrame([], base.schema)
-    staged, rows = materialize(upsert(affected, updates, keys, order_by), "upsert")
-    write_df(staged, path, mode="overwrite", fmt=fmt, partitionBy=columns)
-
-    # A dynamic overwrite leaves a partition alone when all its rows have moved away.
-    for folder in _partition_folders(without_partner(touched, staged, columns), path, columns):
-        fs, target = hadoop_path(spark, folder)
-        fs.delete(target, True)
+    # Equal values prune the base at run time; a null partition value needs its own comparison.
+    whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+    affected = base.join(touched.where(whole), columns, "left_semi").select(*base.columns)
+    affected = affected.union(with_partner(base.where(~whole), touched.where(~whole), columns).select(*base.columns))
+    rows = write_counted(upsert(affected, updates, keys, order_by), f"{path}/{PENDING}/rows", mode="overwrite")
+    staged = spark.read.schema(base.schema).parquet(f"{path}/{PENDING}/rows")
+    write_df(without_partner(touched, staged, columns), f"{path}/{PENDING}/emptied", mode="overwrite")
+    drop_tables(touched)
+    fs, ready = hadoop_path(spark, f"{path}/{PENDING}/_READY")
+    fs.create(ready, True).close()
+    finish_upsert(spark, path, columns, schema, fmt, opts)
     return rows
 
 
-def _partition_folders(partitions: DataFrame, path: str, columns: Sequence[str]) -> list[str]:
-    names = partitions.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    rows = partitions.select(*[F.col(c).cast("string") for c in columns]).toLocalIterator()
-    return ["/".join([path.rstrip("/"), *[names.getPartitionPathString(c, row[c]) for c in columns]]) for row in rows]
-
+def finish_upsert(spark: SparkSession, path: str, partitionBy, schema, fmt: str = "orc", opts: Mapping | None = None) -> bool:
+    """Bring a staged upsert into place, however often it was begun; drop one that isn't fully staged.
 
-def _exists(spark: SparkSession, folder: str) -> bool:
-    fs, target = hadoop_path(spark, folder)
-    return fs.exists(target)
+    The staged rows are the whole content of their partitions, so writing them again gives the
+    same dataset. Partitions that all rows have left are removed one by one as their names
+    stream in. Returns whether there was a staged upsert.
+    """
+    path, columns = path.rstrip("/"), partition_columns(partitionBy)
+    fs, pending = hadoop_path(spark, f"{path}/{PENDING}")
+    _, ready = hadoop_path(spark, f"{path}/{PENDING}/_READY")
+    found = fs.exists(ready)
+    if found:
+        declared = spark.read.schema(schema).format(fmt).load(path).schema
+        staged = spark.read.schema(declared).parquet(f"{path}/{PENDING}/rows")
+        write_df(staged, path, mode="overwrite", fmt=fmt, partitionBy=columns, opts=opts)
+        emptied = spark.read.parquet(f"{path}/{PENDING}/emptied")
+        names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        for row in emptied.select(*[F.col(c).cast("string") for c in columns]).toLocalIterator():
+            _, folder = hadoop_path(spark, "/".join([path, *[names.getPartitionPathString(c, row[c]) for c in columns]]))
+            fs.delete(folder, True)
+    fs.delete(pending, True)
+    return found

@@ -30,13 +30,15 @@ def write_df(
 ) -> None:
     """Write ``df``; a partitioned overwrite replaces only the partitions it brings.
 
-    Ask for ``partitionOverwriteMode=static`` in ``opts`` to replace the whole folder.
+    Ask for ``partitionOverwriteMode=static`` in ``opts`` to replace the whole folder. ORC
+    is compressed with snappy unless ``opts`` says otherwise.
     Partitioned writes are rebalanced on the partition columns, so the file count does
     not grow as tasks times partitions; adaptive execution splits a partition that holds
     most of the rows over many tasks. Turn it off when a load has only a few partitions.
     """
     columns = partition_columns(partitionBy)
-    options = {"partitionOverwriteMode": "dynamic", **(opts or {})} if columns else dict(opts or {})
+    defaults = ({"partitionOverwriteMode": "dynamic"} if columns else {}) | ({"compression": "snappy"} if fmt == "orc" else {})
+    options = {**defaults, **(opts or {})}
     if columns and rebalance:
         df = df.hint("rebalance", *[F.col(c) for c in columns])
     writer = df.write.mode(mode).format(fmt).options(**options)
@@ -52,7 +54,7 @@ def write_orc(
     rebalance: bool = True,
 ) -> None:
     """ORC with snappy compression unless ``opts`` says otherwise."""
-    write_df(df, path, mode, "orc", partitionBy, {"compression": "snappy", **(opts or {})}, rebalance)
+    write_df(df, path, mode, "orc", partitionBy, opts, rebalance)
 
 
 def write_counted(df: DataFrame, path: str, **write_args) -> int:

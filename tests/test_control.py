@@ -13,6 +13,7 @@ from moorline.operators.control import (
     environment_settings,
     flatten_parameters,
     missing_rows,
+    parameter_documents,
     resolve_parameters,
     run_events,
     run_states,
@@ -47,10 +48,13 @@ def test_schemas():
 
 
 def test_document(spark, control):
-    docs = resolve_parameters(requests(spark, ("PROD", "HARBOUR", "LEDGER", "landing")), *control).collect()
+    children = resolve_parameters(requests(spark, ("PROD", "HARBOUR", "LEDGER", "landing")), *control)
+    sections = [r.section for r in children.collect()]
+    assert sorted(sections) == ["job_dependency"] * 2 + ["job_master"] + ["process_control"] * 3 + ["sys_params"] * 3
+    docs = parameter_documents(children, 1).collect()
     assert len(docs) == 1
     doc = docs[0].asDict(recursive=True)
-    assert doc["metadata"] == {"env": "PROD", "entity": "HARBOUR", "source_system": "LEDGER", "job_name": "landing", "job_id": "J1"}
+    assert [doc[k] for k in ("env", "entity", "source_system", "job_name", "job_id")] == ["PROD", "HARBOUR", "LEDGER", "landing", "J1"]
     assert doc["job_master"]["script_path"] == "/s"
     assert [d["parent_job_id"] for d in doc["job_dependency"]] == ["P1", "P2"]
     assert [d["biz_dt"] for d in doc["process_control"]] == ["2026-01-27", "2026-01-26", "2026-01-25"]
@@ -59,37 +63,32 @@ def test_document(spark, control):
         ("cores", "cores-PROD"), ("memory", "memory-PROD"), ("none", None)]
 
 
-def test_document_in_parts_is_the_same_document(spark, control):
-    wanted = requests(spark, ("PROD", "HARBOUR", "LEDGER", "landing"))
-    whole, parts = resolve_parameters(wanted, *control).first(), resolve_parameters(wanted, *control, per_array=2).collect()
-    assert len(parts) > 1
+@pytest.mark.parametrize("parts", [2, 7])
+def test_document_in_parts_has_the_same_children(spark, control, parts):
+    children = resolve_parameters(requests(spark, ("PROD", "HARBOUR", "LEDGER", "landing")), *control)
+    whole, split = parameter_documents(children, 1).first(), parameter_documents(children, parts).collect()
+    assert 1 < len(split) <= parts
     for section in ("job_dependency", "process_control", "sys_params"):
-        assert sorted(map(repr, whole[section])) == sorted(repr(r) for p in parts for r in p[section])
-    assert flatten_parameters(resolve_parameters(wanted, *control, per_array=2)).first()["biz_dt"] == "2026-01-27"
+        assert sorted(map(repr, whole[section])) == sorted(repr(r) for p in split for r in p[section])
+    assert [p.job_master for p in split if p.job_master] == [whole.job_master]
 
 
 def test_flat_row(spark, control):
-    docs = resolve_parameters(requests(spark, ("DEV", "HARBOUR", "LEDGER", "landing"), ("DEV", "HARBOUR", "LEDGER", "transform")), *control)
-    flat = {r.job_name: r for r in flatten_parameters(docs).collect()}
-    landing, transform = flat["landing"], flat["transform"]
+    wanted = requests(spark, ("DEV", "HARBOUR", "LEDGER", "landing"), ("DEV", "HARBOUR", "LEDGER", "transform"))
+    flat = {r.job_id: r for r in flatten_parameters(wanted, control[0], control[2]).collect()}
+    landing, transform = flat["J1"], flat["J0"]
     assert (landing.biz_dt, landing.run_id, landing.process_from_date) == ("2026-01-27", "r27", "2026-01-01")
     assert landing.context_params == {"table": "t"} and landing.context_ok
-    assert transform.job_id == "J0" and transform.context_params is None and transform.context_ok
-    assert transform.comments is None
-
-
-def test_malformed_context_is_flagged(spark, control):
-    master, *others = control
-    docs = resolve_parameters(requests(spark, ("DEV", "HARBOUR", "LEDGER", "transform")), master.where("job_id = 'J2'"), *others)
-    flat = flatten_parameters(docs).first()
-    assert flat.context_params is None and not flat.context_ok
+    assert transform.context_params is None and transform.context_ok and transform.comments is None
+    # Another job of the same name has a document of its own; its context is malformed.
+    assert flat["J2"].context_params is None and not flat["J2"].context_ok
 
 
 def test_missing_rows(spark, control):
     wanted = requests(spark, ("P", "HARBOUR", "LEDGER", "landing"), ("P", "HARBOUR", "LEDGER", "nobody"), ("P", "HARBOUR", "X", "landing"), ("P", "Q", "X", "nobody"))
     got = sorted((r.job_name, r.source_system, r.missing) for r in missing_rows(wanted, control[0], control[2]).collect())
     assert got == [("landing", "X", "process_control"), ("nobody", "LEDGER", "job_master"), ("nobody", "X", "job_master")]
-    assert resolve_parameters(wanted, *control).count() == 1
+    assert resolve_parameters(wanted, *control).select("job_id").distinct().count() == 1
 
 
 def test_environment_settings(spark, control):

@@ -47,6 +47,7 @@ from moorline.operators import (
     upsert,
     validate_non_null,
     verify_tables,
+    without_key,
 )
 
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -264,31 +265,51 @@ def collected(df):
     return Counter((r.k, tuple(record)) for r in df.collect() for record in r.records)
 
 
-def test_records_of_small_keys_are_one_sorted_array(spark):
+def test_records_are_sorted_in_each_part(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (None, "z")], "k INT, v STRING")
-    got = {r.k: (r.part, [x.v for x in r.records]) for r in collect_records(df, ["k"], ["v"]).collect()}
+    got = {r.k: (r.part, [x.v for x in r.records]) for r in collect_records(df, ["k"], ["v"], parts=1).collect()}
     assert got == {1: (0, ["a", "a", "b"]), None: (0, ["z"])}
 
 
-def test_records_of_large_keys_come_in_parts(spark):
+@pytest.mark.parametrize("parts", [1, 8, 100])
+def test_records_of_a_hot_key_are_the_same_for_any_parts(spark, parts):
     """A hot key, a hot null key, and a hot group of copies; brute force over the same rows."""
     data = [(1, i) for i in range(3000)] + [(None, i) for i in range(1500)] + [(2, 7)] * 2500 + [(k, 0) for k in range(10, 60)]
     df = spark.createDataFrame(data, "k INT, v INT").repartition(7)
-    got = collect_records(df, ["k"], ["v"], per_array=100)
+    got = collect_records(df, ["k"], ["v"], parts)
     assert collected(got) == Counter((k, (v,)) for k, v in data)
-    sizes = [len(r.records) for r in got.collect()]
-    assert max(sizes) <= 300
-    assert {r.k: r.part for r in got.where("k >= 10").collect()} == {k: 0 for k in range(10, 60)}
+    assert max(Counter(r.k for r in got.collect()).values()) <= parts
     assert all(r.records == sorted(r.records) for r in got.collect())
 
 
 def test_settings_maps(spark):
-    data = [("g", "a", "1", 1), ("g", "a", "2", 2), ("g", "b", None, 1), ("h", "a", "3", 1)]
+    data = [("g", "a", "1", 1), ("g", "a", "2", 2), ("g", "b", None, 1), ("h", "a", "3", 1), ("h", None, "4", 1)]
     df = spark.createDataFrame(data, "g STRING, param_key STRING, param_value STRING, t INT")
-    assert {r.g: r.settings for r in settings_maps(df, ["g"], order_by=["t"]).collect()} == {"g": {"a": "2", "b": None}, "h": {"a": "3"}}
+    assert {r.g: r.settings for r in settings_maps(df, ["g"], 1, order_by=["t"]).collect()} == {"g": {"a": "2", "b": None}, "h": {"a": "3"}}
+    assert [r.param_value for r in without_key(df).collect()] == ["4"]
     wide = spark.range(500).selectExpr("'g' AS g", "cast(id AS string) AS param_key", "'v' AS param_value")
-    parts = settings_maps(wide, ["g"], per_map=50).collect()
-    assert len(parts) > 1 and sorted(int(k) for r in parts for k in r.settings) == list(range(500))
+    parts = settings_maps(wide, ["g"], 16).collect()
+    assert 1 < len(parts) <= 16 and sorted(int(k) for r in parts for k in r.settings) == list(range(500))
+
+
+def test_guards_hold_in_every_plan(spark):
+    """Counting, projecting and joining read none of the guarded columns and still raise."""
+    twice = spark.createDataFrame([(1, "a", 0), (1, "b", 0)], KEYED)
+    once = spark.createDataFrame([(1, "a", 0)], KEYED)
+    holes = spark.createDataFrame([(1, None), (2, "d")], "x INT, biz_dt STRING")
+    frames = {
+        "duplicate key": [unique_per_key(twice, ["k"]), upsert(once, twice, ["k"]), detect_changes(once, twice, ["k"]), detect_changes(twice, once, ["k"])],
+        "missing required": [require_values(holes)],
+    }
+    for message, guarded in frames.items():
+        for df in guarded:
+            first = df.columns[0]
+            other = spark.range(5).select(F.col("id").cast("int").alias(first))
+            for plan in (df.select(F.lit(1)), df.groupBy().count(), df.select(first), df.select(first).join(other, first), df.limit(5)):
+                with pytest.raises(Exception, match=message):
+                    plan.collect()
+            with pytest.raises(Exception, match=message):
+                df.count()
 
 
 # Quality
@@ -298,10 +319,17 @@ def test_validate_non_null(spark):
     assert rows(validate_non_null(df, ["a", "b"])) == [("a", 0, True), ("b", 1, False)]
 
 
-def test_verify_tables_contains_errors(spark):
-    report = verify_tables(spark, {"good": lambda: spark.range(4), "absent": lambda: spark.table("no_such_table")})
-    got = {r.table_name: (r.row_count, r.table_schema, r.error) for r in report.collect()}
-    assert got == {"good": (4, "struct<id:bigint>", None), "absent": (None, None, "TABLE_OR_VIEW_NOT_FOUND")}
+def test_verify_tables_contains_errors(spark, tmp_path):
+    (tmp_path / "part-0.parquet").write_bytes(b"no parquet at all")
+    broken = str(tmp_path)
+    report = verify_tables(spark, {
+        "good": lambda: spark.range(4), "absent": lambda: spark.table("no_such_table"), "broken": lambda: spark.read.parquet(broken),
+        "declared": lambda: spark.read.schema("a INT").parquet(broken), "last": lambda: spark.range(1),
+    }, sample=2, order_by={"good": ["id"]})
+    got = {r.table_name: (r.row_count, r.table_schema, r.sample, r.error) for r in report.collect()}
+    assert got["good"] == (4, "struct<id:bigint>", ['{"id":0}', '{"id":1}'], None) and got["last"][0] == 1
+    assert got["absent"] == (None, None, None, "TABLE_OR_VIEW_NOT_FOUND")
+    assert all(got[name][:3] == (None, None, None) and got[name][3] for name in ("broken", "declared"))
 
 
 def test_table_sample(spark):

@@ -3,12 +3,13 @@
 import pytest
 
 from __spark_entry__ import queries
+from moorline.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 # Queries that run jobs of their own before they return their plan.
 EAGER = {
-    "dependency_levels", "dependency_closure", "nested_params", "flattened_params", "kv_to_map_lookup", "child_records",
-    "partition_upsert", "counted_write", "lookup_publish", "landing_job",
+    "dependency_levels", "dependency_closure", "partition_upsert", "counted_write", "lookup_publish", "landing_job",
+    "multi_source_job", "multi_source_breakdown", "table_verification", "profiled_count",
 }
 
 
@@ -23,7 +24,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
 def test_no_python_no_nested_loops(spark, name):
     text = plan(queries()[name](spark, FOLDER))
     for operator in ("BatchEvalPython", "ArrowEvalPython", "BroadcastNestedLoopJoin", "CartesianProduct", "MapInPandas", "Window "):
@@ -74,3 +75,12 @@ def test_shuffles(spark, name, exchanges):
 @pytest.mark.parametrize("name", ["latest_per_key", "change_detection", "run_log_duration", "settings_with_defaults", "partition_breakdown"])
 def test_aggregates_before_the_shuffle(spark, name):
     assert "partial_" in plan(queries()[name](spark, FOLDER))
+
+
+def test_flat_documents_build_no_arrays(spark):
+    assert "collect_list" not in plan(queries()["flattened_params"](spark, FOLDER))
+
+
+def test_changes_sort_each_load_once(spark):
+    text = plan(queries()["change_detection"](spark, FOLDER))
+    assert text.count("Sort [") == text.count("Exchange hashpartitioning") == 1

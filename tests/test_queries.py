@@ -2,6 +2,7 @@ import pytest
 
 import oracle
 from __spark_entry__ import entry, oracle_sql, queries
+from moorline.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -11,7 +12,7 @@ def duck():
     return oracle.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, duck, name):
     assert oracle.compare(queries()[name](spark, FOLDER), duck, oracle_sql()[name]) > 0
 

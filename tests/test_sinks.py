@@ -215,14 +215,13 @@ class Session:
         self.conf, self.sparkContext = Settings(conf), type("Context", (), {"master": master})
 
 
-def test_shared_folder(monkeypatch, tmp_path):
+def test_shared_folder():
     named = {"spark.checkpoint.dir": "hdfs://host/shared/"}
     assert shared_dir(Session("yarn", **named)) == "hdfs://host/shared"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Session("yarn"))
-    monkeypatch.setattr("tempfile.mkdtemp", lambda prefix: str(tmp_path / prefix))
-    local = Session("local[2]")
-    assert shared_dir(local) == shared_dir(local) == str(tmp_path / "moorline-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session("local[2]"))
 
 
 def test_materialize_writes_under_the_shared_folder(spark):
