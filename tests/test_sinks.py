@@ -228,3 +228,62 @@ def test_materialize_writes_under_the_shared_folder(spark):
     table, rows = materialize(spark.range(5), "probe")
     assert rows == table.count() == 5
     assert all(shared_dir(spark) in f for f in table.inputFiles())
+
+
+def landed(spark, path, schema):
+    return sorted(tuple(r) for r in spark.read.schema(schema).orc(path).collect())
+
+
+def codecs(path):
+    """Compression of the ORC files under a folder."""
+    import glob
+
+    import pyarrow.orc as orc
+
+    return {orc.ORCFile(f).compression.lower() for f in glob.glob(f"{path}/**/*.orc", recursive=True)}
+
+
+@pytest.mark.parametrize("stop_at", ["rows", "emptied", "ready", "overwrite", "delete"])
+def test_upsert_that_stops_is_finished_by_the_next(spark, tmp_path, monkeypatch, stop_at):
+    """Stopped at any step, a rerun gives the rows of one that was not."""
+    from moorline.sinks import publish
+
+    schema, path = "k INT, v STRING, p STRING", str(tmp_path / "data")
+    base = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "c", "y"), (4, "d", None)], schema)
+    updates = spark.createDataFrame([(3, "C", "x"), (4, "D", "z"), (9, "n", "x")], schema)
+    want = [(1, "a", "x"), (2, "b", "x"), (3, "C", "x"), (4, "D", "z"), (9, "n", "x")]
+    write_df(base, path, mode="overwrite", fmt="orc", partitionBy=["p"])
+    write, path_of = publish.write_df, publish.hadoop_path
+
+    def stopping_write(df, target, *args, **kwargs):
+        if stop_at == "emptied" and target.endswith("emptied"):
+            raise KeyboardInterrupt
+        write(df, target, *args, **kwargs)
+        if stop_at == "overwrite" and target == path:
+            raise KeyboardInterrupt
+
+    def stopping_path(session, target):
+        if stop_at == "ready" and target.endswith("_READY") and (tmp_path / "data/_upsert/emptied").exists():
+            raise KeyboardInterrupt
+        if stop_at == "delete" and "p=" in target:
+            raise KeyboardInterrupt
+        return path_of(session, target)
+
+    def stopping_count(*args, **kwargs):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(publish, "write_df", stopping_write)
+    monkeypatch.setattr(publish, "hadoop_path", stopping_path)
+    if stop_at == "rows":
+        monkeypatch.setattr(publish, "write_counted", stopping_count)
+    with pytest.raises(KeyboardInterrupt):
+        upsert_into(spark, path, updates, ["k"], ["p"], schema)
+    monkeypatch.undo()
+    upsert_into(spark, path, updates, ["k"], ["p"], schema)
+    assert landed(spark, path, schema) == want
+    assert not (tmp_path / "data/_upsert").exists() and codecs(path) == {"snappy"}
+
+
+def test_published_orc_is_snappy(spark, tmp_path):
+    atomic_publish(spark.range(5), str(tmp_path / "out"), fmt="orc")
+    assert codecs(str(tmp_path / "out")) == {"snappy"}
