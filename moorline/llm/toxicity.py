@@ -27,6 +27,8 @@ GRAMS = (3, 4, 5)
 SAMPLE_ROWS, SAMPLE_BYTES = (3000, 1500), 1 << 15
 # A subword counts if its rates under the two labels differ by so many standard errors.
 LEAST_APART = 5.0
+# The clearest so many at most.
+MOST_ROWS = 4096
 DIMENSIONS, ROUNDS, RATE = 4, 50, 0.05
 THRESHOLD = 0.3
 
@@ -53,7 +55,6 @@ def subwords(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
 class Bags:
     """Texts as bags of distinct words, and the words as bags of subwords."""
 
-    hashes: np.ndarray    # of the distinct words
     rows: np.ndarray      # subword table rows, word by word
     bounds: np.ndarray    # of words among them
     words: np.ndarray     # word numbers, text by text
@@ -64,7 +65,7 @@ def bags(column: pa.Array) -> Iterator[Bags]:
     """Bags of each slice of a string column."""
     for part in slices(column):
         words = split_words(part, PLAIN)
-        hashes, first, number = np.unique(words.hashes, return_index=True, return_inverse=True)
+        _, first, number = np.unique(words.hashes, return_index=True, return_inverse=True)
         # Distinct words side by side, with a blank around each.
         low, high = words.starts[first], words.ends[first]
         sizes = high - low
@@ -73,7 +74,7 @@ def bags(column: pa.Array) -> Iterator[Bags]:
         data = np.full(int(ends[-1]) + 1 if len(ends) else 1, 0x20, np.uint8)
         data[_ranges(starts, sizes)] = LOWER[part.data[_ranges(low, sizes)]]
         rows, bounds = subwords(data, starts, ends)
-        yield Bags(hashes, rows, bounds, number, words.bounds)
+        yield Bags(rows, bounds, number, words.bounds)
 
 
 def means(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -101,92 +102,97 @@ def _ranges(low: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
 
 
-def merged(parts: list[Bags]) -> Bags:
-    """One bag of all texts; a word that several slices have is taken once."""
-    hashes, first, number = np.unique(np.concatenate([p.hashes for p in parts]), return_index=True, return_inverse=True)
-    counts = np.concatenate([np.diff(p.bounds) for p in parts])[first]
-    shift = np.cumsum([0, *(len(p.rows) for p in parts)])
-    low = np.concatenate([p.bounds[:-1] + s for p, s in zip(parts, shift)])[first]
-    slots = np.cumsum([0, *(len(p.hashes) for p in parts)])
-    words = np.concatenate([number[p.words + s] for p, s in zip(parts, slots)])
-    ends = np.cumsum([0, *(p.texts[-1] for p in parts)])
-    texts = np.concatenate([[0], *(p.texts[1:] + e for p, e in zip(parts, ends))])
-    rows = np.concatenate([p.rows for p in parts])[_ranges(low, counts)]
-    return Bags(hashes, rows, np.concatenate([[0], np.cumsum(counts)]), words, texts)
+def _words_of_texts(bag: Bags) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, distinct word and its share of the text's words, for each pair that occurs."""
+    text = np.repeat(np.arange(len(bag.texts) - 1), np.diff(bag.texts))
+    words = len(bag.bounds) - 1
+    pair, count = np.unique(text * words + bag.words, return_counts=True)
+    text, word = pair // max(words, 1), pair % max(words, 1)
+    return text, word, count / np.diff(bag.texts)[text]
+
+
+def telling(column: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, float]:
+    """Table rows whose rates under the two labels differ clearly, and the usual subwords of a text."""
+    seen, sizes, subwords_in_all, first = np.zeros((2, BUCKETS)), np.ones(2), 0, 0
+    for bag in bags(column):
+        text, word, _ = _words_of_texts(bag)
+        per_word = np.diff(bag.bounds)
+        subwords_in_all += per_word[word].sum()
+        for k in (0, 1):
+            own = np.bincount(word[labels[first + text] == k], minlength=len(per_word))
+            seen[k] += np.bincount(bag.rows, np.repeat(own, per_word), BUCKETS)
+            sizes[k] += own.sum()
+        first += len(bag.texts) - 1
+    both = seen.sum(axis=0) / sizes.sum()
+    spread = np.sqrt(both * (1 - both) * (1 / sizes).sum())
+    apart = np.abs(seen[1] / sizes[1] - seen[0] / sizes[0]) / np.where(spread > 0, spread, 1)
+    best = np.argsort(-apart, kind="stable")[:MOST_ROWS]
+    return np.sort(best[apart[best] >= LEAST_APART]), subwords_in_all / max(len(labels), 1)
+
+
+def inputs(column: pa.Array, chosen: np.ndarray) -> np.ndarray:
+    """Weight of each chosen table row in each text's mean (texts x rows)."""
+    place = np.full(BUCKETS, -1)
+    place[chosen] = np.arange(len(chosen))
+    out = []
+    for bag in bags(column):
+        text, word, value = _words_of_texts(bag)
+        at = place[bag.rows]
+        kept = np.concatenate([[0], np.cumsum(at >= 0)])[bag.bounds]
+        counts = np.diff(kept)[word]
+        take = np.flatnonzero(at >= 0)[_ranges(kept[:-1][word], counts)]
+        weight = np.repeat(value / np.diff(bag.bounds)[word], counts)
+        cell = np.repeat(text, counts) * len(chosen) + at[take]
+        rows = len(bag.texts) - 1
+        out.append(np.bincount(cell, weight, rows * len(chosen)).astype(np.float32).reshape(rows, len(chosen)))
+    return np.concatenate(out)
 
 
 def train(column: pa.Array, labels: np.ndarray, share: float, seed: int = 7) -> SubwordModel:
     """Vectors and softmax together, by Adam on the weighted log loss of all texts.
 
     Classes are weighted so that label 1 has the share ``share``, whatever the sample holds.
-    Every fifth text only watches: the round with the least loss on those is kept.
+    Subwords that don't tell the labels apart keep the zero vector. Every fifth text only
+    watches: the round with the least loss on those is kept.
     """
-    n = len(labels)
-    ones = labels.sum()
+    n, ones = len(labels), labels.sum()
+    constant = SubwordModel(np.zeros(BUCKETS), float(np.log((ones + 1) / (n - ones + 1))))
     if not 0 < ones < n:
-        return SubwordModel(np.zeros(BUCKETS), float(np.log((ones + 1) / (n - ones + 1))))
+        return constant
+    chosen, usual = telling(column, labels)
+    if not len(chosen):
+        return constant
     share = min(max(share, 1e-4), 1 - 1e-4)
     weight = np.where(labels == 1, share / ones, (1 - share) / (n - ones))
-    bag = merged(list(bags(column)))
-    text = np.repeat(np.arange(n), np.diff(bag.texts))
-    pair, count = np.unique(text * len(bag.hashes) + bag.words, return_counts=True)
-    text, word = (pair // len(bag.hashes)).astype(np.int32), (pair % len(bag.hashes)).astype(np.int32)
-    del pair
-    value = count / np.diff(bag.texts)[text]
-    # Subwords that one label doesn't have clearly more often than the other are left at zero.
-    per_word = np.diff(bag.bounds)
-    subword_word = np.repeat(np.arange(len(per_word), dtype=np.int32), per_word)
-    seen = [np.bincount(bag.rows, np.bincount(word[labels[text] == k], minlength=len(per_word))[subword_word], BUCKETS) for k in (0, 1)]
-    sizes = [max((labels[text] == k).sum(), 1) for k in (0, 1)]
-    both = (seen[0] + seen[1]) / sum(sizes)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        apart = np.abs(seen[1] / sizes[1] - seen[0] / sizes[0]) / np.sqrt(both * (1 - both) * (1 / sizes[0] + 1 / sizes[1]))
-    common = apart[bag.rows] >= LEAST_APART
-    subword_word, rows = subword_word[common], bag.rows[common]
-    used = np.unique(rows)
-    column_of = np.searchsorted(used, rows).astype(np.int32)
-    del bag.rows, bag.words, rows, common
-    inputs = (1 / per_word)[subword_word]
     # Inputs are scaled so that a rare subword can act within the rounds there are.
-    scale = np.sqrt(np.bincount(text, minlength=n).mean() * per_word.mean())
-    inputs *= scale
-
-    def pool(lines: np.ndarray) -> np.ndarray:
-        """Text vectors (texts x dimensions) of table columns (dimensions x rows)."""
-        vectors = [np.bincount(subword_word, inputs * line[column_of], len(per_word)) for line in lines]
-        return np.stack([np.bincount(text, value * line[word], n) for line in vectors], axis=1)
-
+    scale = np.float32(np.sqrt(usual))
+    texts = inputs(column, chosen) * scale
     random = np.random.default_rng(seed)
-    table = random.normal(0, 0.1, (DIMENSIONS, len(used)))
-    softmax = random.normal(0, 1, (DIMENSIONS, 2))
-    bias = np.log(np.array([1 - share, share]))
-    target = np.stack([labels == 0, labels == 1], axis=1).astype(float)
-    watching = np.arange(n) % 5 == 4
-    teaching = weight * ~watching
+    table = random.normal(0, 0.1, (len(chosen), DIMENSIONS)).astype(np.float32)
+    softmax = random.normal(0, 1, (DIMENSIONS, 2)).astype(np.float32)
+    bias = np.log(np.array([1 - share, share], np.float32))
     params = [table, softmax, bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    pooled = pool(table)
-    best = (np.inf, table.copy(), softmax.copy(), bias.copy())
-    for step in range(ROUNDS):
+    target = np.stack([labels == 0, labels == 1], axis=1).astype(np.float32)
+    watching = np.arange(n) % 5 == 4
+    best = (np.inf, *[p.copy() for p in params])
+    for step in range(1, ROUNDS + 1):
+        pooled = texts @ table
         logits = pooled @ softmax + bias
         logits -= logits.max(axis=1, keepdims=True)
         chance = np.exp(logits)
         chance /= chance.sum(axis=1, keepdims=True)
         loss = -(weight * np.log(np.maximum((chance * target).sum(axis=1), 1e-12)))[watching].sum()
         if loss < best[0]:
-            best = (loss, table.copy(), softmax.copy(), bias.copy())
-        error = (chance - target) * teaching[:, None]
-        back = [np.bincount(word, value * line[text], len(per_word)) for line in (error @ softmax.T).T]
-        slope = np.stack([np.bincount(column_of, inputs * line[subword_word], len(used)) for line in back])
-        grads = [slope, pooled.T @ error, error.sum(axis=0)]
-        for p, g, m, v in zip(params, grads, first, second):
+            best = (loss, *[p.copy() for p in params])
+        error = ((chance - target) * (weight * ~watching)[:, None]).astype(np.float32)
+        for p, g, m, v in zip(params, [texts.T @ (error @ softmax.T), pooled.T @ error, error.sum(axis=0)], first, second):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
-            p -= RATE * (m / (1 - 0.9 ** (step + 1))) / (np.sqrt(v / (1 - 0.99 ** (step + 1))) + 1e-9)
-        pooled = pool(table)
+            p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
     _, table, softmax, bias = best
     values = np.zeros(BUCKETS)
-    values[used] = scale * (softmax[:, 1] - softmax[:, 0]) @ table
+    values[chosen] = scale * (table @ (softmax[:, 1] - softmax[:, 0]))
     return SubwordModel(values, float(bias[1] - bias[0]))
 
 
