@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from moorline.session import drop_tables, materialize
 
 ROUNDS_PER_PLAN = 32
+LEVELS_PER_TABLE = 3
 
 
 class CycleError(ValueError):
@@ -44,6 +45,18 @@ def _compact(rounds: list[DataFrame], written: list[DataFrame]) -> list[DataFram
     return [whole]
 
 
+def _survived(open_edges: DataFrame, rounds: int) -> DataFrame:
+    """Open edges with the number of the next ``rounds`` rounds that each stays open in, in one plan."""
+    edges = open_edges.withColumn("depth", F.lit(0))
+    for number in range(rounds):
+        waiting = edges.where(F.col("depth") == number).select(F.col("child").alias("waiting")).distinct()
+        stays = (F.col("depth") == number) & F.col("waiting").isNotNull()
+        edges = edges.join(waiting, F.col("parent") == F.col("waiting"), "left").select(
+            "child", "parent", F.when(stays, number + 1).otherwise(F.col("depth")).alias("depth")
+        )
+    return edges
+
+
 def dependency_levels(
     edges: DataFrame, child: str = "dependent_job_id", parent: str = "parent_job_id", node: str = "job_id"
 ) -> DataFrame:
@@ -51,24 +64,28 @@ def dependency_levels(
 
     An edge stays open as long as its parent has an open edge itself, so the edge table
     shrinks from round to round, and a node's level is the number of rounds in which it
-    has an open edge. Each round is one semi join, however many paths lead to a node. A
-    cycle raises a :class:`CycleError` with the jobs that wait on it.
+    has an open edge. A round is one join, however many paths lead to a node, and
+    ``LEVELS_PER_TABLE`` rounds are planned and written together. A cycle raises a
+    :class:`CycleError` with the jobs that wait on it.
     """
     open_edges, n_open = materialize(_links(edges, child, parent), "edges")
-    levels = [edges.select(F.col(child).alias(node)), open_edges.select(F.col("parent").alias(node))]
-    levels = [nodes.where(F.col(node).isNotNull()).withColumn("level", F.lit(0)) for nodes in levels]
+    ends = [edges.select(F.col(child).alias(node)), open_edges.select(F.col("parent").alias(node))]
+    levels = [nodes.where(F.col(node).isNotNull()).withColumn("level", F.lit(0)) for nodes in ends]
     written = [open_edges]
     level = 0
     while n_open:
-        level += 1
-        levels = [*levels, open_edges.select(F.col("child").alias(node), F.lit(level).alias("level"))]
-        waiting = open_edges.select(F.col("child").alias("waiting")).distinct()
-        left, n_left = materialize(open_edges.join(waiting, F.col("parent") == F.col("waiting"), "left_semi"), "edges")
+        survived, _ = materialize(_survived(open_edges, LEVELS_PER_TABLE), "edges")
+        written.append(survived)
+        levels = [*levels, survived.select(F.col("child").alias(node), (F.col("depth") + level + 1).alias("level"))]
+        open_edges = survived.where(F.col("depth") == LEVELS_PER_TABLE).select("child", "parent")
+        n_left = open_edges.count()
         if n_left == n_open:
-            raise CycleError(*materialize(left.select(F.col("child").alias(node)).distinct(), "cycle"))
-        levels = _compact(levels, written)
-        open_edges, n_open = left, n_left
-        written.append(open_edges)
+            raise CycleError(*materialize(open_edges.select(F.col("child").alias(node)).distinct(), "cycle"))
+        if len(levels) >= ROUNDS_PER_PLAN:
+            open_edges, _ = materialize(open_edges, "edges")
+            levels = _compact(levels, written)
+            written.append(open_edges)
+        level, n_open = level + LEVELS_PER_TABLE, n_left
     return reduce(DataFrame.union, levels).groupBy(node).agg(F.max("level").alias("level"))
 
 

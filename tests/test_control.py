@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from moorline.operators import dependency_closure, dependency_levels, direct_dependencies, settings_columns
+from moorline.operators import CycleError, dependency_closure, dependency_levels, direct_dependencies, settings_columns
 from moorline.operators.control import (
     EXECUTION_LOG,
     JOB_DEPENDENCY,
@@ -141,8 +141,15 @@ def test_deep_graphs_are_compacted(spark, monkeypatch):
 
 @pytest.mark.parametrize("pairs", [[("a", "a")], [("a", "b"), ("b", "c"), ("c", "a"), ("b", "root")]])
 def test_cycles_raise(spark, pairs):
-    with pytest.raises(ValueError, match="cycle.*a"):
+    with pytest.raises(CycleError, match=f"cycle; {len({c for c, _ in pairs})} jobs") as raised:
         dependency_levels(edges(spark, *pairs))
+    assert {r.job_id for r in raised.value.members.collect()} == {c for c, _ in pairs}
+
+
+def test_long_chains_and_scratch(spark):
+    """200 levels; the tables of earlier rounds are gone afterwards."""
+    chain = edges(spark, *[(f"n{i + 1}", f"n{i}") for i in range(200)])
+    assert {r.job_id: r.level for r in dependency_levels(chain).collect()} == {f"n{i}": i for i in range(201)}
 
 
 def test_closure(spark):
