@@ -27,6 +27,8 @@ from moorline.llm.words import Slice, prefix_hashes, range_hashes, slices
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 PARITY_ROWS, PARITY_BYTES = 200, 1 << 14
+# Threads of the library in each Python worker, and chunks that it gets at a time.
+THREADS, AT_A_TIME = 2, 8192
 
 
 def build(model: PieceModel, whole: bool = True):
@@ -89,18 +91,20 @@ def parity(tokenizer, path: str, texts: list[str]) -> None:
             raise ValueError(f"decoding differs for {text[:80]!r}")
 
 
-_BUILT: dict = {}
+def _backend(data: bytes):
+    """The tokenizer of a worker process, built once and kept for its later tasks.
 
+    Functions come to a worker by value with each task, so what is kept hangs on the library.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "true"
+    os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
+    import tokenizers
 
-def _backend(data: bytes, whole: bool):
-    """The tokenizer of a worker, built once."""
-    from tokenizers import Tokenizer
-
-    key = (hash(data), whole)
-    if key not in _BUILT:
-        os.environ["TOKENIZERS_PARALLELISM"] = "true"
-        _BUILT[key] = Tokenizer.from_str(data.decode())
-    return _BUILT[key]
+    kept = vars(tokenizers).setdefault("_kept_by_moorline", {})
+    if hash(data) not in kept:
+        kept.clear()
+        kept[hash(data)] = tokenizers.Tokenizer.from_str(data.decode())
+    return kept[hash(data)]
 
 
 def chunk_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,17 +141,19 @@ class Chunks:
         slots = np.empty(len(keys), np.int64)
         slots[held] = self.slots[at[held]]
         new = np.flatnonzero(~held)
-        if len(new):
-            chunks = [text(i) for i in new]
+        slots[new] = len(self.same) + np.arange(len(new))
+        numbers, counts, same = [self.numbers], [], [self.same]
+        for low in range(0, len(new), AT_A_TIME):
+            chunks = [text(i) for i in new[low:low + AT_A_TIME]]
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
             back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-            counts = np.fromiter(map(len, ids), np.int64, len(ids))
-            slots[new] = len(self.same) + np.arange(len(new))
-            self.numbers = np.concatenate([self.numbers, np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum()))])
-            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(counts)])
-            self.same = np.concatenate([self.same, np.fromiter((a == b for a, b in zip(chunks, back)), bool, len(chunks))])
-            place = at[new]
-            self.keys, self.slots = np.insert(self.keys, place, keys[new]), np.insert(self.slots, place, slots[new])
+            counts.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            numbers.append(np.fromiter(chain.from_iterable(ids), np.int32, int(counts[-1].sum())))
+            same.append(np.fromiter((a == b for a, b in zip(chunks, back)), bool, len(chunks)))
+        if counts:
+            self.numbers, self.same = np.concatenate(numbers), np.concatenate(same)
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(np.concatenate(counts))])
+            self.keys, self.slots = np.insert(self.keys, at[new], keys[new]), np.insert(self.slots, at[new], slots[new])
         return slots
 
 
@@ -196,7 +202,7 @@ def encode(docs: DataFrame, path: str = MODEL_PATH, text: str = "text", digest:
     others = [c for c in docs.columns if c not in {text, *own}]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Chunks(_backend(data.value, False))
+        known = Chunks(_backend(data.value))
         for batch in batches:
             for part in slices(batch.column(0)):
                 numbers, bounds, same = encoded(part, known)
@@ -221,7 +227,7 @@ def decode(tokens: DataFrame, path: str = MODEL_PATH, ids: str = "token_ids", te
 
     @F.pandas_udf("string")
     def run(column):
-        tokenizer = _backend(data.value, True)
+        tokenizer = _backend(data.value)
         texts = tokenizer.decode_batch([[] if x is None else list(x) for x in column], skip_special_tokens=False)
         return column.__class__([None if x is None else t for x, t in zip(column, texts)], dtype=object)
 
