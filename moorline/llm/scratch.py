@@ -29,7 +29,3 @@ class Scratch:
             self.paths.pop(path)
             fs, target = hadoop_path(self.spark, path)
             fs.delete(target, True)
-
-
-def hashed_width(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
