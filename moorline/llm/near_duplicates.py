@@ -156,7 +156,12 @@ def packed(key: tuple, group: pa.Table) -> pa.Table:
 
 
 def _across(num: int, den: int):
-    """Pairs of two blocks, of different components, that may be similar enough."""
+    """Pairs of two blocks, of different components, that may be similar enough.
+
+    A pair that shares several bands meets in each of their buckets, and is passed on in the
+    first of them alone. That one is tiled as well: the two are in it and in different components.
+    """
+    width = band_width(num / den)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,10 +172,14 @@ def _across(num: int, den: int):
                 shared = np.minimum((a["n"] - a["own"])[:, None], b["n"] - b["own"])
                 bounded = den * shared >= num * (a["n"][:, None] + b["n"] - shared)
                 x, y = np.nonzero(bounded & (a["label"][:, None] != b["label"]))
+                keys = [band_keys(m, width) for m in marks]
                 for low in range(0, len(x), PAIR_ROWS):
                     i, j = x[low:low + PAIR_ROWS], y[low:low + PAIR_ROWS]
                     keep = plausible(marks[0][i], marks[1][j], a["n"][i].astype(float), b["n"][j].astype(float), num / den)
-                    one, two = a["id"][i[keep]], b["id"][j[keep]]
+                    i, j = i[keep], j[keep]
+                    first = (keys[0][i] == keys[1][j]).argmax(axis=1)
+                    here = keys[0][i, first] == row["key"]
+                    one, two = a["id"][i[here]], b["id"][j[here]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"])
 
     return run
