@@ -159,7 +159,8 @@ def _across(num: int, den: int):
     """Pairs of two blocks, of different components, that may be similar enough.
 
     A pair that shares several bands meets in each of their buckets, and is passed on in the
-    first of them alone. That one is tiled as well: the two are in it and in different components.
+    first of them alone. That one is tiled as well: both are in it and in different components,
+    and if they are all that is in it, they have met before.
     """
     width = band_width(num / den)
 
@@ -255,10 +256,11 @@ def near_duplicates(
         members.join(labels.withColumnRenamed("node", "id"), "id", "left")
         .select("key", "id", "n", "own", F.coalesce("label", "id").alias("label"))
     )
+    # In a bucket of two, one has led the other already.
     mixed = placed.groupBy("key").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.mode("label", deterministic=True).alias("main"),
-        F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"),
-    ).where("low < high").select("key", "main", "blocks")
+        F.count(F.lit(1)).alias("size"),
+    ).where("low < high AND size > 2").select("key", "main", F.ceil(F.col("size") / BLOCK_ROWS).alias("blocks"))
     split = (
         placed.join(mixed, "key").join(reps.select("id", "registers"), "id")
         .withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
