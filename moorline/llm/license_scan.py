@@ -1,23 +1,26 @@
-"""License scans by MinHash bands over overlapping text windows (operator 9), in DataFrame functions only.
+"""License scans over overlapping text windows with exact containment (operator 9), in DataFrame functions only.
 
 A template is a run of words; its shingles are its runs of ``WIDTH`` words. In a text only the
-shingles that some template has are of interest. They fall into overlapping windows, each at
-least twice as long as the longest template, so that every occurrence lies whole in one. A
-window's MinHash values over its known shingles go into bands; windows that share a band with a
-template retrieve it, and exact containment of the template's shingles in the window decides.
-
-Beside other known shingles a window resembles a template less than a copy does, so the bands
-are set for that: a similarity of 0.2 is found with a chance of over 0.999.
+shingles that some template has are of interest. Each joins the templates that have it, and falls
+into two overlapping windows of each. Windows are twice as long as the longest template of the
+same length class, so that every occurrence lies whole in one, and a short notice isn't put
+together from words that lie a whole licence text apart.
+
+Templates are few, so their shingles are counted in every window that has one. MinHash bands in
+front of that count would save nothing and lose notices: beside other known shingles a window
+may resemble a template in it as little as you like.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from moorline.llm.scratch import Scratch
+
 WIDTH = 3
-# One value per band: a window of similarity s to a template meets it with 1 - (1 - s)^BANDS.
-BANDS = 32
+# Template lengths in words up to which the length classes reach; the last class has all longer ones.
+CLASSES = (32, 256, 2048)
 # Up to so many known shingles are put into the plan; more are joined.
 LISTED = 5000
 
@@ -59,13 +62,6 @@ def _shingles(words: F.Column) -> F.Column:
     )
 
 
-def _bands(frame: DataFrame, *keys: str) -> DataFrame:
-    """``(keys, band, value)``: least hash of each group's shingles under each band's seed."""
-    least = [F.min(F.xxhash64(F.col("shingle"), F.lit(seed))).alias(f"m{seed}") for seed in range(BANDS)]
-    made = frame.groupBy(*keys).agg(*least)
-    return made.select(*keys, F.posexplode(F.array(*[f"m{seed}" for seed in range(BANDS)])).alias("band", "value"))
-
-
 def license_scan(
     docs: DataFrame, templates: DataFrame, num: int = 19, den: int = 20, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -74,40 +70,39 @@ def license_scan(
     Texts are lower-cased; words are runs of a-z, 0-9 and other alphabets. A template is contained where a
     window has ``num`` of ``den`` of its distinct shingles or more; ``shared`` is the largest
     such number of any window, ``first_word`` the place of the first shared shingle there. A
-    template of fewer than WIDTH words matches nothing, and null, empty and shorter texts
-    contain nothing. Null keys and null template ids take no part; rows that repeat a key count
-    as one text, as do templates that repeat an id. Other columns are not read.
+    window has twice as many words as the longest template of the same class of ``CLASSES``, and
+    the next one starts halfway. A template of fewer than WIDTH words matches nothing, and null,
+    empty and shorter texts contain nothing. Null keys and null template ids take no part; rows
+    that repeat a key count as one text, as do templates that repeat an id. Other columns are
+    not read.
 
     Templates are few beside texts; their shingles are listed in the plan up to ``LISTED`` of
-    them, which is counted, and joined beyond that.
+    them, which is counted, and joined alone beyond that.
     """
+    scratch = Scratch(docs.sparkSession, "license-scan")
     parts = templates.where("license_id IS NOT NULL").select("license_id", F.explode(_shingles(_words(F.col("text")))).alias("part"))
-    known = parts.select("license_id", "part.at", "part.shingle")
-    sizes = known.groupBy("license_id").agg(F.countDistinct("shingle").alias("n_shingles"), (F.max("at") + WIDTH).alias("length"))
+    own = parts.groupBy("license_id").agg(F.collect_set("part.shingle").alias("own"), (F.max("part.at") + WIDTH).alias("length"))
+    kind = sum((F.when(F.col("length") > bound, 1).otherwise(0) for bound in CLASSES), F.lit(0))
+    # Written, so that its size is known where it is joined.
+    known = scratch.save(
+        own.select("license_id", "own", F.max("length").over(Window.partitionBy(kind)).cast("long").alias("stride"))
+        .select("license_id", F.size("own").cast("long").alias("n_shingles"), "stride", F.explode("own").alias("shingle"))
+    )
     listed = [row[0] for row in known.select("shingle").distinct().limit(LISTED + 1).collect()]
-    longest = (sizes.agg(F.max("length")).first()[0] or WIDTH)
-    stride = int(longest)
 
     found = _shingles(F.col("words"))
     if 0 < len(listed) <= LISTED:
         found = F.filter(found, lambda x: x["shingle"].isin(listed))
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), _words(F.col(text)).alias("words"))
-    hits = rows.select("id", F.explode(found).alias("hit")).select("id", "hit.at", "hit.shingle")
-    if len(listed) > LISTED:
-        hits = hits.join(known.select("shingle").distinct(), "shingle", "left_semi")
-    number = F.floor(F.col("at") / stride)
-    windows = hits.select("id", F.explode(F.array(number - 1, number)).alias("window"), "at", "shingle")
-
-    retrieved = (
-        _bands(windows, "id", "window").join(_bands(known, "license_id"), ["band", "value"])
-        .select("id", "window", "license_id").distinct()
-    )
+    hits = rows.select("id", F.explode(found).alias("hit")).select("id", "hit.at", "hit.shingle").join(known, "shingle")
+    number = F.floor(F.col("at") / F.col("stride"))
     shared = (
-        windows.join(retrieved, ["id", "window"]).join(known.select("license_id", "shingle").distinct(), ["license_id", "shingle"])
-        .groupBy("id", "window", "license_id").agg(F.countDistinct("shingle").alias("shared"), F.min("at").alias("first_word"))
+        hits.select("id", "license_id", "n_shingles", F.explode(F.array(number - 1, number)).alias("window"), "at", "shingle")
+        .groupBy("id", "window", "license_id", "n_shingles")
+        .agg(F.countDistinct("shingle").alias("shared"), F.min("at").alias("first_word"))
     )
     return (
-        shared.join(sizes, "license_id").where(F.col("shared") * den >= F.col("n_shingles") * num)
+        shared.where(F.col("shared") * den >= F.col("n_shingles") * num)
         .groupBy("id", "license_id", "n_shingles")
         .agg(F.max(F.struct("shared", -F.col("first_word"))).alias("best"))
         .select(F.col("id").alias(key), "license_id", F.col("best.shared").alias("shared"), "n_shingles",

@@ -81,6 +81,19 @@ def test_licenses_match_brute_force(spark, monkeypatch, listed):
     assert {(r.doc_id, r.license_id, r.shared, r.n_shingles) for r in found} == set(merged.values()) and len(found) == len(merged)
 
 
+@pytest.mark.parametrize("listed", [licenses.LISTED, 3])
+def test_short_notices_beside_other_known_text(spark, monkeypatch, listed):
+    monkeypatch.setattr(licenses, "LISTED", listed)
+    short, long = "released under the moor license", sentence(3, 3000)
+    templates = spark.createDataFrame([("short", short), ("long", long)], "license_id string, text string")
+    # Each text has a short notice amid words of the long template; the last has its words far apart.
+    words = long.split()
+    rows = [(i, " ".join([*words[40 * i:40 * i + 1400], short, *words[40 * i + 1400:40 * i + 2800]]), "s") for i in range(30)]
+    rows.append((99, "released under the moor " + " ".join(words[:300]) + " the moor license", "s"))
+    found = license_scan(documents(spark, rows), templates).where("license_id = 'short'").collect()
+    assert {(r.doc_id, r.shared, r.first_word) for r in found} == {(i, 3, 1400) for i in range(30)}
+
+
 def test_licenses_of_awkward_rows(spark):
     assert license_scan(awkward(spark), notices(spark)).collect() == []
     assert license_scan(empty(spark), notices(spark)).collect() == []
