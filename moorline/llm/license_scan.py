@@ -13,6 +13,8 @@ may resemble a template in it as little as you like.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +50,21 @@ def notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(NOTICES, "license_id string, text string")
 
 
+# Licence texts without their appendix, one per file; and standard headers and identifier lines.
+TEXTS = Path(__file__).with_name("license_texts")
+
+
+def license_texts(spark: SparkSession) -> DataFrame:
+    """Templates of whole licence texts (``…/text``), file headers and SPDX lines.
+
+    Short ones have no more words than the longest of :data:`NOTICES`, so that scanned together
+    they leave the windows of the notices as they are.
+    """
+    rows = [(f"{path.stem}/text", path.read_text(encoding="utf-8")) for path in sorted(TEXTS.glob("*.txt"))]
+    headers = (TEXTS / "headers.tsv").read_text(encoding="utf-8").splitlines()
+    return spark.createDataFrame(rows + [tuple(line.split("\t")) for line in headers], "license_id string, text string")
+
+
 def _words(text: F.Column) -> F.Column:
     return F.filter(F.split(F.lower(text), r"[^a-z0-9\x{80}-\x{10FFFF}]+", -1), lambda w: w != "")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from moorline.llm import language_id
 from moorline.llm.decontamination import contamination
-from moorline.llm.license_scan import NOTICES, license_scan, notices
+from moorline.llm.license_scan import NOTICES, license_scan, license_texts, notices
 from moorline.llm.line_dedup import spread_dedup
 from moorline.llm.longest_match import token_counts
 from moorline.llm.near_duplicates import near_duplicates
@@ -124,9 +124,10 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 @numbered
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return license_scan(table(spark, folder, "documents"), notices(spark))
+    return license_scan(table(spark, folder, "documents"), notices(spark).union(license_texts(spark)))
 
 
+# The SQL has the short notices only; the given documents hold no other licence text.
 ORACLES["op9_license_scan"] = """
 WITH templates(license_id, text) AS (VALUES %s),
 split AS (

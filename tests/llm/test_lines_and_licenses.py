@@ -94,6 +94,21 @@ def test_short_notices_beside_other_known_text(spark, monkeypatch, listed):
     assert {(r.doc_id, r.shared, r.first_word) for r in found} == {(i, 3, 1400) for i in range(30)}
 
 
+def test_query_finds_licence_texts_headers_and_identifiers(spark, tmp_path):
+    text = {r.license_id: r.text for r in licenses.license_texts(spark).collect()}
+    rows = [
+        (1, text["MIT/text"].replace("merge", "mix")), (2, "# " + text["GPL-3.0/header"].replace(" ", "\n# ")), (3, sentence(4, 900) + text["GPL-2.0/text"] + sentence(5, 900)),
+        (4, "// SPDX-License-Identifier: LGPL-2.1-or-later"), (5, text["BSD-2-Clause/text"]), (6, text["GPL-3.0/text"]), (7, sentence(6, 3000)),
+    ]
+    documents(spark, [(i, t, "s") for i, t in rows]).write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["op9_license_scan"](spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.license_id) for r in found} == {
+        (1, "MIT/text"), (2, "GPL-3.0/header"), (3, "GPL-2.0/text"), (4, "LGPL-2.1/spdx"), (5, "BSD-2-Clause/text"), (5, "BSD-3-Clause"), (6, "GPL-3.0/text"),
+    }
+    sizes = [len(split) for split in (t.replace("-", " ").replace(".", " ").split() for n, t in text.items() if n.endswith("/spdx"))]
+    assert max(sizes) <= max(len(t.split()) for _, t in licenses.NOTICES)
+
+
 def test_licenses_of_awkward_rows(spark):
     assert license_scan(awkward(spark), notices(spark)).collect() == []
     assert license_scan(empty(spark), notices(spark)).collect() == []
