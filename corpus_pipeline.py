@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moorline.llm.decontamination import decontaminate
-from moorline.llm.line_dedup import spread_dedup
+from moorline.llm.line_dedup import passage_dedup, spread_dedup
 from moorline.llm.near_duplicates import near_duplicates
 from moorline.llm.pieces import encode
 from moorline.llm.toxicity import fit, without_toxic
@@ -22,6 +22,12 @@ def _counted_again(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def _kept(cut: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of documents after a cut of lines, but for those that lost all they had."""
+    emptied = (F.col("n_removed") > 0) & (F.btrim("text", F.lit(" \t\r\n")) == "")
+    return _counted_again(cut.where(~F.coalesce(emptied, F.lit(False))).select(columns))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the trained model rejects go; unlabelled, empty and null texts are scored too."""
     return without_toxic(docs, fit(docs, _table(spark, sf_dir, "labels")))
@@ -29,15 +35,18 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines on many sites stay in one document; a document that loses all it had goes."""
-    cut = spread_dedup(docs)
-    emptied = (F.col("n_removed") > 0) & (F.btrim("text", F.lit(" \t\r\n")) == "")
-    return _counted_again(cut.where(~F.coalesce(emptied, F.lit(False))).select(docs.columns))
+    return _kept(spread_dedup(docs), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the least id."""
+    """One document of each group of near duplicates stays: the one with the least id.
+
+    Lines of over 50 words that the others still share, on however few sites, stay in one of them.
+    """
     found = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    path = scratch_path(spark, "apart")
+    docs.join(found, "doc_id", "left_anti").select(docs.columns).write.parquet(path)
+    return _kept(passage_dedup(spark.read.schema(docs.schema).parquet(path)), docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

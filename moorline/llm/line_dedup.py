@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from moorline.llm.scratch import Scratch
 
 LEAST_SITES = 10
+# A line of more words is a passage.
+PASSAGE_WORDS = 50
 LOG_REGISTERS = 12
 # Three standard errors of such a sketch, 1.04 / sqrt(2^12) each.
 MARGIN = 3 * 1.04 / 2 ** (LOG_REGISTERS / 2)
@@ -60,12 +62,35 @@ def spread_dedup(
     named ``n_removed`` gives way.
     """
     scratch = Scratch(docs.sparkSession, "line-dedup")
-    rows = docs.select(F.col(key).alias("id"), F.col(site).cast("string").alias("site"), F.explode(_lines(F.col(text))).alias("line"))
+    hashed = scratch.save(_hashed(docs, key, F.col(site).cast("string"), text))
+    return _without(docs, hashed, scratch.save(widespread_lines(hashed, least_sites, scratch)), key, text)
+
+
+def passage_dedup(docs: DataFrame, words: int = PASSAGE_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with repeated lines of more than ``words`` words cut, and ``n_removed`` lines each.
+
+    Such a line in two documents or more, on one site or many, stays in the one with the least
+    key. Words are runs of other characters than white space. All else is as in
+    :func:`spread_dedup`.
+    """
+    scratch = Scratch(docs.sparkSession, "passage-dedup")
+    hashed = scratch.save(_hashed(docs, key, F.lit(None).cast("string"), text, words))
+    ends = hashed.groupBy("hi", "lo").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    return _without(docs, hashed, scratch.save(ends.where("first <> last").select("hi", "lo", "first")), key, text)
+
+
+def _hashed(docs: DataFrame, key: str, site: F.Column, text: str, words: int = 0) -> DataFrame:
+    """``(id, site, hi, lo)`` of each line of more than ``words`` words."""
+    rows = docs.select(F.col(key).alias("id"), site.alias("site"), F.explode(_lines(F.col(text))).alias("line"))
     line = _line(F.col("line"))
-    hashed = scratch.save(
-        rows.where(line.isNotNull()).select("id", "site", F.xxhash64(line).alias("hi"), F.xxhash64(F.lit(1), line).alias("lo"))
-    )
-    wide = scratch.save(widespread_lines(hashed, least_sites, scratch))
+    rows = rows.where(line.isNotNull())
+    if words:
+        rows = rows.where(F.size(F.split(line, r"\s+", -1)) > words)
+    return rows.select("id", "site", F.xxhash64(line).alias("hi"), F.xxhash64(F.lit(1), line).alias("lo"))
+
+
+def _without(docs: DataFrame, hashed: DataFrame, wide: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` without the lines of ``wide``, but for the rows with the key that keeps them."""
     cuts = (
         hashed.where("id IS NOT NULL").join(wide, ["hi", "lo"]).where("id <> first")
         .groupBy("id").agg(F.collect_set("hi").alias("cut_lines"))

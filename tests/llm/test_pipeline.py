@@ -82,3 +82,10 @@ def test_repeats_and_copies(spark):
     rows = [(i, sentence(7, 80), f"s{i % 3}") for i in (5, 3, 9)] + [(11, sentence(8, 80), "s1")]
     kept = corpus_pipeline.near_dedup(spark, documents(spark, rows), FOLDER)
     assert sorted(texts(kept)) == [3, 11]
+
+
+def test_long_passages_on_few_sites_stay_once(spark):
+    passage, line = sentence(20, 60), sentence(21, 50)
+    rows = [(i, f"{sentence(30 + i, 300)}\n {passage}\n{line}\n{sentence(60 + i, 300)}", "s1" if i < 8 else "s2") for i in range(12)]
+    kept = texts(corpus_pipeline.near_dedup(spark, documents(spark, rows), FOLDER))
+    assert kept == {i: t if i == 0 else t.replace(f" {passage}\n", "") for i, t, _ in rows}
