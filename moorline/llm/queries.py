@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from moorline.llm import language_id
 from moorline.llm.decontamination import contamination
+from moorline.llm.exact_dedup import exact_duplicates
 from moorline.llm.license_scan import NOTICES, license_scan, license_texts, notices
 from moorline.llm.line_dedup import spread_dedup
 from moorline.llm.longest_match import token_counts
@@ -161,3 +162,18 @@ SELECT doc_id, license_id, shared, n_shingles, CAST(first_word AS BIGINT) AS fir
 @numbered
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"))
+
+
+@numbered
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_duplicates(table(spark, folder, "documents"))
+
+
+ORACLES["op13_exact_dedup"] = """
+WITH texts AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS normal FROM documents
+), groups AS (
+    SELECT normal, min(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY normal
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(normal) AS text_sha256 FROM texts JOIN groups USING (normal)
+"""
