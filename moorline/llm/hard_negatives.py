@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -265,7 +266,7 @@ def hard_negatives(
     sample = rows.where("asked").where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(step)) == 0).select("dim", "codes").toArrow()
     count, centres = min(CENTROIDS, math.ceil(m / CLUSTER_ROWS)), {}
     for dim in set(sample["dim"].to_pylist()):
-        own = sample.filter(pa.compute.equal(sample["dim"], dim))["codes"].to_pylist()
+        own = sample.filter(pc.equal(sample["dim"], dim))["codes"].to_pylist()
         centres[dim] = centroids(unit(np.frombuffer(b"".join(own), np.int32).reshape(-1, dim))[0], count)
     members = rows.where("asked").drop("asked").mapInArrow(assigned(centres), "id long, label long, dim int, codes binary, cluster long")
     members = scratch.save(members)

@@ -16,6 +16,7 @@ from moorline.llm.line_dedup import spread_dedup
 from moorline.llm.longest_match import token_counts
 from moorline.llm.near_duplicates import near_duplicates
 from moorline.llm.pieces import encode
+from moorline.llm.prefix_trie import prefix_trie
 from moorline.llm.toxicity import fit, toxicity
 from moorline.llm.vector_search import nearest
 from moorline.llm.warc import round_trip
@@ -165,6 +166,54 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"))
 
 
+@numbered
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    conv = F.col("conv_id")
+    head = F.crc32(conv.cast("string").cast("binary")) % 9
+    return prefix_trie(table(spark, folder, "conversations"), conv - conv % 5, head, most_head=8)
+
+
+# The first list is the table of the checksum, made from its polynomial.
+ORACLES["op11_prefix_trie"] = """
+WITH crc AS (
+    SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, 3988292384 * (a & 1))) ORDER BY n) AS t FROM range(256) AS r(n)
+), ordered AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                                    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 9 AS h
+    FROM (SELECT DISTINCT conv_id FROM ordered), crc
+), heads AS (
+    SELECT c.conv_id, o.pos AS d, role, text FROM convs c JOIN ordered o ON o.conv_id = c.conv_id - c.conv_id % 5 AND o.pos <= h
+), taken AS (
+    SELECT conv_id, h, coalesce(n, 0) AS n FROM convs LEFT JOIN (SELECT conv_id, count(*) AS n FROM heads GROUP BY conv_id) USING (conv_id)
+), rebuilt AS (
+    SELECT * FROM heads UNION ALL SELECT conv_id, pos - h + n, role, text FROM ordered JOIN taken USING (conv_id) WHERE pos > h
+), paths AS (
+    SELECT conv_id, d, strlen(text) AS bytes, string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY conv_id ORDER BY d) AS path FROM rebuilt
+    UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), nodes AS (
+    SELECT path, left(path, length(path) - 128) AS parent, any_value(d) AS depth, any_value(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n_convs
+    FROM paths GROUP BY path
+), children AS (
+    SELECT parent AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent
+), whole AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path)
+), sums AS (
+    SELECT p.path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * u.bytes) AS saved_tokens
+    FROM whole u JOIN paths p ON p.conv_id = u.conv_id AND p.d <= u.depth GROUP BY p.path
+), ends AS (
+    SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+    FROM (SELECT conv_id, path FROM paths QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY d DESC) = 1) GROUP BY path
+)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM whole w JOIN sums USING (path) LEFT JOIN ends USING (path) LEFT JOIN nodes p ON p.path = w.parent AND w.depth > 0
+"""
+
+
 @numbered
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")
