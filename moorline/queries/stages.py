@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from moorline.operators import merge_layers, partition_breakdown, union_outputs
 from moorline.operators.control import JOB_MASTER, flatten_parameters
-from moorline.plans import Stage, land, run_stage, run_stages
+from moorline.plans import Stage, StageCounts, land, run_stage, run_stages
 from moorline.queries.registry import query
 from moorline.session import scratch_path
 from moorline.sinks import write_df
@@ -170,9 +170,9 @@ def _main_params(t):
     return {row.param_key: row.param_value for row in layers.collect()}
 
 
-def _main_landed(t):
+def _main_landed(t, counts=None):
     path = scratch_path(t.spark, "main-job")
-    land(t.spark, _sources(t), [_in_file(t, stage) for stage in MAIN_JOB], path, _main_params(t))
+    land(t.spark, _sources(t), [_in_file(t, stage) for stage in MAIN_JOB], path, _main_params(t), counts=counts)
     return read_orc(t.spark, path, MAIN_SCHEMA)
 
 
@@ -205,3 +205,49 @@ def multi_source_job(t):
 def multi_source_breakdown(t):
     """Rows per partition and output of the same job, counted over what it wrote."""
     return partition_breakdown(_main_landed(t), ["biz_dt"], "biz_status", ["ACTIVE", "EXPIRED", "RESIDUAL"])
+
+
+@query("""
+    WITH priced_contracts AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
+    joined_data AS (
+        SELECT count(*) OVER (PARTITION BY l_orderkey, l_partkey) AS transactions, n_name, p_brand, o_orderstatus, strftime(o_orderdate, '%Y') AS year,
+               row_number() OVER (PARTITION BY l_orderkey, l_partkey) AS n
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+        JOIN nation ON n_nationkey = c_nationkey JOIN part ON p_partkey = l_partkey),
+    aggregated_data AS (
+        SELECT n_name FROM joined_data WHERE n = 1 GROUP BY n_name, p_brand, o_orderstatus, year HAVING sum(transactions) >= 2)
+    SELECT CAST(place AS INTEGER) AS place, stage, CASE place
+        WHEN 1 THEN (SELECT count(*) FROM priced_contracts) WHEN 2 THEN (SELECT count(*) FROM joined_data WHERE n = 1)
+        ELSE (SELECT count(*) FROM aggregated_data) END AS rows
+    FROM (VALUES (1, 'priced_contracts'), (2, 'joined_data'), (3, 'aggregated_data'), (4, 'transformed_data'), (5, 'landed_data')) AS s(place, stage)""")
+def stage_counts(t):
+    """Rows of all five stages of the main job, from the write of the last one."""
+    counts = StageCounts()
+    _main_landed(t, counts)
+    return counts.table(t.spark)
+
+
+@query("""
+    WITH big AS (SELECT * FROM orders WHERE o_totalprice > 100000),
+    totals AS (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS total FROM big GROUP BY o_custkey)
+    SELECT CAST(place AS INTEGER) AS place, stage, CASE place
+        WHEN 1 THEN (SELECT count(*) FROM big) WHEN 2 THEN (SELECT count(*) FROM totals) WHEN 3 THEN (SELECT count(*) FROM big)
+        WHEN 4 THEN (SELECT count(*) FROM big WHERE o_orderstatus = 'O') WHEN 5 THEN (SELECT count(*) FROM big WHERE o_orderstatus = 'F') END AS rows
+    FROM (VALUES (1, 'big'), (2, 'totals'), (3, 'shares'), (4, 'active'), (5, 'expired'), (6, 'unread')) AS s(place, stage)""")
+def shared_stage_counts(t):
+    """Stages that several later ones read count once; one that leads to no output has no count."""
+    _views(t)
+    stages = [
+        Stage("big", sql="SELECT * FROM contracts WHERE o_totalprice > ${least}"),
+        Stage("totals", sql="SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS total FROM big GROUP BY o_custkey"),
+        Stage("shares", sql="SELECT o_orderkey, o_orderstatus, CAST(o_totalprice / total AS DOUBLE) AS share FROM big JOIN totals USING (o_custkey)"),
+        Stage("active", sql="SELECT * FROM shares WHERE o_orderstatus = 'O'"),
+        Stage("expired", sql="SELECT * FROM shares WHERE o_orderstatus = 'F'"),
+        Stage("unread", sql="SELECT * FROM shares WHERE o_orderstatus = 'P'"),
+    ]
+    counts = StageCounts()
+    frames = run_stages(t.spark, stages, {"least": 100000}, counts)
+    written = union_outputs([frames["active"], frames["expired"]])
+    write_df(written, scratch_path(t.spark, "shares"), mode="overwrite")
+    counts.settle(written)
+    return counts.table(t.spark)

@@ -9,7 +9,7 @@ FOLDER = "/root/testdata/sf0.001"
 # Queries that run jobs of their own before they return their plan.
 EAGER = {
     "dependency_levels", "dependency_closure", "partition_upsert", "counted_write", "lookup_publish", "landing_job",
-    "multi_source_job", "multi_source_breakdown", "table_verification", "profiled_count",
+    "multi_source_job", "multi_source_breakdown", "table_verification", "profiled_count", "stage_counts", "shared_stage_counts",
 }
 
 
