@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from moorline.plans.templates import bind_template
+from moorline.session import observed
 from moorline.sources.tables import literal_rows
 
 
@@ -43,11 +44,12 @@ class StageCounts:
     def settle(self, written: DataFrame) -> None:
         """Take the counts from the action that has read ``written``; call it once after that.
 
-        A stage that ``written`` doesn't use was never run and has no count.
+        A stage that ``written`` doesn't use, or that the planner could leave out, was never run and
+        has no count.
         """
         plan = written._jdf.queryExecution().analyzed().toString()
         used = {stage: counter for stage, counter in self._counters.items() if counter._name in plan}
-        self._rows = {stage: used[stage].get.get("rows") if stage in used else None for stage in self._counters}
+        self._rows = {stage: observed(used[stage]).get("rows") if stage in used else None for stage in self._counters}
 
     @property
     def rows(self) -> dict[str, int | None]:

@@ -8,16 +8,21 @@ from moorline.operators import label_status, lookup_join
 from moorline.queries.registry import query
 from moorline.session import scratch_path
 from moorline.sinks import (
+    Published,
     atomic_publish,
     create_database,
     create_external_table,
     partition_counts,
+    publish_version,
     published_partitions,
+    read_version,
     repair_table,
     skip_published,
     upsert_into,
+    upsert_version,
     write_counted,
     write_orc,
+    write_registered,
 )
 from moorline.sources import literal_rows, read_catalog, read_orc
 
@@ -128,3 +133,54 @@ def catalog_scan(t):
 @query(f"WITH {LANDED} SELECT * FROM landed WHERE biz_dt = '1996' AND biz_status = 'ACTIVE'")
 def catalog_pruned_scan(t):
     return read_catalog(t.spark, _catalog_table(t)).where("biz_dt = '1996' AND biz_status = 'ACTIVE'")
+
+
+def _published(t, keys=()):
+    create_database(t.spark, "landing_zone")
+    name, root = f"landing_zone.published_{uuid.uuid4().hex}", scratch_path(t.spark, "published")
+    return Published(name, root, _contracts(t).schema, tuple(PARTITIONS), keys)
+
+
+@query(f"""
+    WITH {LANDED}
+    SELECT 1 AS version, * FROM landed WHERE biz_dt < '1998'
+    UNION ALL SELECT 2, * REPLACE (o_totalprice + 1 AS o_totalprice) FROM landed""")
+def versioned_publish(t):
+    """Two versions behind one name; a frame planned on the first still reads all of it after the switch."""
+    to, contracts = _published(t), _contracts(t)
+    publish_version(contracts.where("biz_dt < '1998'"), to)
+    before = read_version(t.spark, to)
+    publish_version(contracts.withColumn("o_totalprice", F.col("o_totalprice") + 1), to)
+    after = read_version(t.spark, to)
+    return before.select(F.lit(1).alias("version"), "*").union(after.select(F.lit(2).alias("version"), "*"))
+
+
+@query(f"""
+    WITH {LANDED}
+    SELECT * REPLACE (CASE WHEN biz_dt = '1996' AND biz_status = 'RESIDUAL' THEN 'EXPIRED' ELSE biz_status END AS biz_status)
+    FROM landed WHERE o_orderkey >= 0
+    UNION ALL SELECT -o_orderkey - 1, o_custkey, o_totalprice, biz_dt, 'NEW' FROM landed WHERE biz_dt = '1997'""")
+def indexed_upsert(t):
+    """Keys that change their partition and new ones, in a new version that takes the untouched partitions over."""
+    to, contracts = _published(t, ("o_orderkey",)), _contracts(t)
+    publish_version(contracts, to)
+    moved = contracts.where("biz_dt = '1996' AND biz_status = 'RESIDUAL'").withColumn("biz_status", F.lit("EXPIRED"))
+    new = contracts.where("biz_dt = '1997'").withColumns({"o_orderkey": -F.col("o_orderkey") - 1, "biz_status": F.lit("NEW")})
+    upsert_version(moved.union(new), to)
+    return read_version(t.spark, to)
+
+
+@query(f"""
+    WITH {LANDED}
+    SELECT biz_dt, biz_status, count(*) AS row_count FROM landed
+    WHERE biz_dt >= '1996' AND NOT (biz_dt = '1997' AND biz_status = 'EXPIRED') GROUP BY biz_dt, biz_status""")
+def registered_partitions(t):
+    """Loads that register what they wrote, without a look at the folders; an emptied partition leaves the catalog."""
+    create_database(t.spark, "landing_zone")
+    name, path = f"landing_zone.registered_{uuid.uuid4().hex}", scratch_path(t.spark, "registered")
+    contracts = _contracts(t)
+    create_external_table(t.spark, name, contracts.schema, path, PARTITIONS)
+    write_registered(contracts.where("biz_dt >= '1996' AND biz_dt < '1999'"), name, path, PARTITIONS)
+    later = contracts.where("biz_dt >= '1999' OR (biz_dt = '1997' AND biz_status <> 'EXPIRED')")
+    write_registered(later, name, path, PARTITIONS, emptied=[("1997", "EXPIRED")])
+    return partition_counts(t.spark, name, PARTITIONS)

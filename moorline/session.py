@@ -59,7 +59,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """The frame with a row counter; ``counter.get["rows"]`` has the count once it was written.
+    """The frame with a row counter; ``observed(counter)["rows"]`` has the count once it was written.
 
     The count comes with the action that reads the frame, so nothing is computed twice.
     """
@@ -67,6 +67,11 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(counter, F.count(F.lit(1)).alias("rows")), counter
 
 
+def observed(counter: Observation) -> dict:
+    """What the action has told; empty where the planner dropped the frame as one that can't have rows."""
+    return counter.get if counter._jo.getRow().schema() is not None else {}
+
+
 def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Cut lineage with a written table; returns it with its row count.
 
@@ -77,7 +82,7 @@ def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     path = scratch_path(spark, label)
     rows, counter = counted(df)
     rows.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), counter.get["rows"]
+    return spark.read.schema(df.schema).parquet(path), observed(counter).get("rows", 0)
 
 
 def drop_tables(*tables: DataFrame) -> None:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from moorline.sinks.write import partition_columns
+from moorline.sinks.write import Written, partition_columns, write_partitions
+
+# Partitions that one statement names.
+STATEMENT_PARTITIONS = 500
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
@@ -82,3 +85,51 @@ def published_partitions(spark: SparkSession, name: str, partitionBy: str | Sequ
 def partition_counts(spark: SparkSession, name: str, partitionBy: str | Sequence[str]) -> DataFrame:
     """Rows per partition of a catalog table."""
     return spark.table(name).groupBy(*partition_columns(partitionBy)).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _literal(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _spec(columns: Sequence[str], values: Sequence[str | None]) -> str:
+    return "PARTITION (" + ", ".join(f"{_quoted(c)}={_literal(v)}" for c, v in zip(columns, values)) + ")"
+
+
+def add_partitions(
+    spark: SparkSession, name: str, partitionBy: str | Sequence[str], partitions: Sequence[Sequence[str | None]],
+    folders: Sequence[str] | None = None,
+) -> None:
+    """Register partitions by value, where they aren't yet; ``folders`` says where each one lies."""
+    columns = partition_columns(partitionBy)
+    places = [f" LOCATION {_literal(f)}" for f in folders] if folders is not None else [""] * len(partitions)
+    specs = [_spec(columns, values) + place for values, place in zip(partitions, places)]
+    for low in range(0, len(specs), STATEMENT_PARTITIONS):
+        spark.sql(f"ALTER TABLE {_quoted(name)} ADD IF NOT EXISTS " + " ".join(specs[low:low + STATEMENT_PARTITIONS]))
+
+
+def drop_partitions(
+    spark: SparkSession, name: str, partitionBy: str | Sequence[str], partitions: Sequence[Sequence[str | None]]
+) -> None:
+    """Take partitions out of the catalog; the files of an external table stay."""
+    columns = partition_columns(partitionBy)
+    specs = [_spec(columns, values) for values in partitions]
+    for low in range(0, len(specs), STATEMENT_PARTITIONS):
+        spark.sql(f"ALTER TABLE {_quoted(name)} DROP IF EXISTS " + ", ".join(specs[low:low + STATEMENT_PARTITIONS]))
+
+
+def write_registered(
+    df: DataFrame, name: str, path: str, partitionBy: str | Sequence[str], emptied: Sequence[Sequence[str | None]] = (),
+    fmt: str = "orc", opts: Mapping | None = None, rebalance: bool = True,
+) -> Written:
+    """Replace the partitions that ``df`` brings in the table over ``path``, and register just those.
+
+    The write tells which they are, so no folder is listed, however many partitions the table has.
+    ``emptied`` are partitions that a job knows to have lost all rows; they leave the catalog.
+    A partition that ``df`` brings is never one of them.
+    """
+    written = write_partitions(df, path, partitionBy, mode="overwrite", fmt=fmt, opts=opts, rebalance=rebalance)
+    spark, brought = df.sparkSession, set(written.partitions)
+    add_partitions(spark, name, partitionBy, written.partitions)
+    drop_partitions(spark, name, partitionBy, [p for p in map(tuple, emptied) if p not in brought])
+    spark.catalog.refreshTable(name)
+    return written

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from moorline.session import counted
+from moorline.session import counted, observed
 
 # Default partition columns of a landing dataset.
 LANDING_PARTITIONS = "biz_dt,biz_status"
@@ -61,4 +62,33 @@ def write_counted(df: DataFrame, path: str, **write_args) -> int:
     """Write and return the number of rows written, counted by the write itself."""
     rows, counter = counted(df)
     write_df(rows, path, **write_args)
-    return counter.get["rows"]
+    return observed(counter).get("rows", 0)
+
+
+@dataclass(frozen=True)
+class Written:
+    """What a write brought: its rows, and the values of its partitions as text, null for none."""
+
+    rows: int
+    partitions: list[tuple[str | None, ...]]
+
+
+def write_partitions(df: DataFrame, path: str, partitionBy: str | Sequence[str], **write_args) -> Written:
+    """Write a partitioned dataset; rows and partitions are told by the write itself.
+
+    Nothing is listed or counted afterwards. One short text per partition of this write comes to
+    the driver. An empty text is stored as no value, as Spark's writers do.
+    """
+    columns, seen = partition_columns(partitionBy), Observation()
+    values = F.struct(*[F.nullif(F.col(c).cast("string"), F.lit("")).alias(f"p{i}") for i, c in enumerate(columns)])
+    told = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(values).alias("partitions"))
+    write_df(told, path, partitionBy=columns, **write_args)
+    found = {"rows": 0, "partitions": []} | observed(seen)
+    order = lambda values: [(v is not None, v or "") for v in values]
+    return Written(found["rows"], sorted((tuple(p) for p in found["partitions"]), key=order))
+
+
+def partition_folder(spark: SparkSession, path: str, columns: Sequence[str], values: Sequence[str | None]) -> str:
+    """The folder under ``path`` that Spark's writers use for these partition values."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join([path.rstrip("/"), *[names.getPartitionPathString(c, v) for c, v in zip(columns, values)]])
