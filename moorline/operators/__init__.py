@@ -10,7 +10,7 @@ from moorline.operators.aggregates import (
     without_key,
 )
 from moorline.operators.changes import detect_changes, unique_per_key, upsert
-from moorline.operators.graph import CycleError, dependency_closure, dependency_levels, direct_dependencies
+from moorline.operators.graph import CycleError, dependency_closure, dependency_cycles, dependency_levels, direct_dependencies
 from moorline.operators.joins import Dimension, lookup_join, repeated_keys, star_join, typed_keys, unmatched
 from moorline.operators.latest import first_per_key, latest_per_key, merge_layers
 from moorline.operators.project import (

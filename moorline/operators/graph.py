@@ -7,19 +7,20 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moorline.session import drop_tables, materialize
+from moorline.session import drop_tables, materialize, materialize_with
 
 ROUNDS_PER_PLAN = 32
-LEVELS_PER_TABLE = 3
+# Steps along the edges that are planned and written together; of labels, whose plans grow faster.
+STEPS_PER_TABLE, LABELS_PER_TABLE = 5, 3
 
 
 class CycleError(ValueError):
-    """A dependency cycle; ``members`` has every job that is on it or waits on it."""
+    """A dependency cycle; ``members`` has the jobs on cycles, and no others, each with its cycle."""
 
     def __init__(self, members: DataFrame, count: int):
         self.members = members
         folder = members.inputFiles()[0].rsplit("/", 1)[0]
-        super().__init__(f"dependency cycle; {count} jobs are on it or wait on it, listed in {folder}")
+        super().__init__(f"dependency cycle; {count} jobs are on one, listed in {folder}")
 
 
 def direct_dependencies(edges: DataFrame, job_id: str, child: str = "dependent_job_id") -> DataFrame:
@@ -45,16 +46,14 @@ def _compact(rounds: list[DataFrame], written: list[DataFrame]) -> list[DataFram
     return [whole]
 
 
-def _survived(open_edges: DataFrame, rounds: int) -> DataFrame:
-    """Open edges with the number of the next ``rounds`` rounds that each stays open in, in one plan."""
-    edges = open_edges.withColumn("depth", F.lit(0))
-    for number in range(rounds):
-        waiting = edges.where(F.col("depth") == number).select(F.col("child").alias("waiting")).distinct()
-        stays = (F.col("depth") == number) & F.col("waiting").isNotNull()
-        edges = edges.join(waiting, F.col("parent") == F.col("waiting"), "left").select(
-            "child", "parent", F.when(stays, number + 1).otherwise(F.col("depth")).alias("depth")
-        )
-    return edges
+def _steps(links: DataFrame, start: DataFrame, source: str, target: str, first: int, number: str) -> list[DataFrame]:
+    """Distinct nodes that are 1 to ``STEPS_PER_TABLE`` edges from ``start``, a frame each with its step."""
+    found, at = [], start
+    for step in range(first, first + STEPS_PER_TABLE):
+        at = links.join(at.select(F.col("node").alias("from_node")), F.col(source) == F.col("from_node"), "left_semi")
+        at = at.select(F.col(target).alias("node")).distinct()
+        found.append(at.withColumn(number, F.lit(step)))
+    return found
 
 
 def dependency_levels(
@@ -62,51 +61,145 @@ def dependency_levels(
 ) -> DataFrame:
     """Level of every node: 0 without parents, else one more than its deepest parent.
 
-    An edge stays open as long as its parent has an open edge itself, so the edge table
-    shrinks from round to round, and a node's level is the number of rounds in which it
-    has an open edge. A round is one join, however many paths lead to a node, and
-    ``LEVELS_PER_TABLE`` rounds are planned and written together. A cycle raises a
-    :class:`CycleError` with the jobs that wait on it.
+    A node has level k or more if one of its parents has k - 1 or more, so each round keeps the
+    children of those that the last one kept: one semi join, however many paths lead to a node.
+    ``STEPS_PER_TABLE`` rounds are planned and written together. Rounds that keep all nodes
+    there were have found a cycle; it raises a :class:`CycleError` with the jobs on it.
     """
-    open_edges, n_open = materialize(_links(edges, child, parent), "edges")
-    ends = [edges.select(F.col(child).alias(node)), open_edges.select(F.col("parent").alias(node))]
-    levels = [nodes.where(F.col(node).isNotNull()).withColumn("level", F.lit(0)) for nodes in ends]
-    written = [open_edges]
-    level = 0
-    while n_open:
-        survived, _ = materialize(_survived(open_edges, LEVELS_PER_TABLE), "edges")
-        written.append(survived)
-        levels = [*levels, survived.select(F.col("child").alias(node), (F.col("depth") + level + 1).alias("level"))]
-        open_edges = survived.where(F.col("depth") == LEVELS_PER_TABLE).select("child", "parent")
-        n_left = open_edges.count()
-        if n_left == n_open:
-            raise CycleError(*materialize(open_edges.select(F.col("child").alias(node)).distinct(), "cycle"))
-        if len(levels) >= ROUNDS_PER_PLAN:
-            open_edges, _ = materialize(open_edges, "edges")
-            levels = _compact(levels, written)
-            written.append(open_edges)
-        level, n_open = level + LEVELS_PER_TABLE, n_left
-    return reduce(DataFrame.union, levels).groupBy(node).agg(F.max("level").alias("level"))
+    links, _ = materialize(_links(edges, child, parent), "edges")
+    ends = [edges.select(F.col(child).alias("node")), links.select(F.col("parent").alias("node"))]
+    levels = [nodes.where(F.col("node").isNotNull()).withColumn("level", F.lit(0)) for nodes in ends]
+    written, level = [], 0
+    # At level 0 or more there is every node; what has none below it leads nowhere.
+    deep, n_deep = links.select(F.col("parent").alias("node")), -1
+    while n_deep:
+        rounds = reduce(DataFrame.union, _steps(links, deep, "parent", "child", level + 1, "level"))
+        level += STEPS_PER_TABLE
+        at_least = {f"from_{k}": F.count_if(F.col("level") == k) for k in (level - 1, level)}
+        table, told = materialize_with(rounds, "levels", **at_least)
+        n_deep = told[f"from_{level}"]
+        if n_deep and n_deep == told[f"from_{level - 1}"]:
+            deep = table.where(F.col("level") == level)
+            open_edges = links.join(deep.select(F.col("node").alias("child")), "child", "left_semi").select("child", "parent")
+            raise CycleError(*materialize(dependency_cycles(open_edges, "child", "parent", node), "cycle"))
+        written.append(table)
+        levels = _compact([*levels, table], written)
+        deep = levels[-1].where(F.col("level") == level)
+    return reduce(DataFrame.union, levels).groupBy(F.col("node").alias(node)).agg(F.max("level").alias("level"))
 
 
 def dependency_closure(
     edges: DataFrame, job_id: str, child: str = "dependent_job_id", parent: str = "parent_job_id", node: str = "job_id"
 ) -> DataFrame:
-    """Every job that ``job_id`` needs, directly or through others, with the least distance."""
+    """Every job that ``job_id`` needs, directly or through others, with the least distance.
+
+    ``STEPS_PER_TABLE`` steps are planned and written together, without those found before.
+    """
     links, _ = materialize(_links(edges, child, parent), "edges")
-    other = F.col(node) != F.lit(job_id)
-    start = links.where(F.col("child") == F.lit(job_id)).select(F.col("parent").alias(node)).where(other)
-    frontier, found = materialize(start, "frontier")
-    distance, rounds = 1, [frontier.withColumn("distance", F.lit(1))]
-    written = [frontier]
+    start = links.where(F.col("child") == F.lit(job_id)).select(F.col("child").alias("node")).distinct()
+    rounds, written, distance, found = [start.withColumn("distance", F.lit(0))], [], 0, 1
+    at = start
     while found:
-        distance += 1
-        step = links.join(frontier, F.col("child") == F.col(node), "left_semi").select(F.col("parent").alias(node))
-        seen = reduce(DataFrame.union, rounds).select(F.col(node).alias("seen"))
-        fresh = step.where(other).distinct().join(seen, F.col(node) == F.col("seen"), "left_anti")
-        frontier, found = materialize(fresh, "frontier")
-        rounds = _compact(rounds, written)
-        rounds = [*rounds, frontier.withColumn("distance", F.lit(distance))]
-        written.append(frontier)
-    drop_tables(links)
-    return reduce(DataFrame.union, rounds)
+        steps = reduce(DataFrame.union, _steps(links, at, "child", "parent", distance + 1, "distance"))
+        seen = reduce(DataFrame.union, rounds).select(F.col("node").alias("seen"))
+        nearest = steps.groupBy("node").agg(F.min("distance").alias("distance"))
+        distance += STEPS_PER_TABLE
+        last = F.count_if(F.col("distance") == distance)
+        table, told = materialize_with(nearest.join(seen, F.col("node") == F.col("seen"), "left_anti"), "steps", last=last)
+        found = told["last"]
+        written.append(table)
+        rounds = _compact([*rounds, table], written)
+        at = rounds[-1].where(F.col("distance") == distance)
+    return reduce(DataFrame.union, rounds).where("distance > 0").select(F.col("node").alias(node), "distance")
+
+
+def _spread(labels: DataFrame, links: DataFrame, source: str, target: str) -> DataFrame:
+    """Least labels after they went along the edges a few times; ``labels`` is a written ``(node, label)``."""
+    rows = labels
+    for _ in range(LABELS_PER_TABLE):
+        near = links.join(rows.select(F.col("node").alias("from_node"), "label"), F.col(source) == F.col("from_node"))
+        both = rows.select("node", "label").union(near.select(F.col(target), "label"))
+        rows = both.groupBy("node").agg(F.min("label").alias("label"))
+    return rows
+
+
+def _settled(labels: DataFrame, links: DataFrame, source: str, target: str) -> DataFrame:
+    """The least label among all nodes from which a node can be reached; a written table."""
+    while True:
+        before = labels.select(F.col("node").alias("same"), F.col("label").alias("before"))
+        stepped = _spread(labels, links, source, target).join(before, F.col("node") == F.col("same"), "left")
+        moved = F.count_if(~F.col("label").eqNullSafe(F.col("before")))
+        after, told = materialize_with(stepped, "labels", moved=moved)
+        drop_tables(labels)
+        labels = after
+        if not told["moved"]:
+            return labels.select("node", "label")
+
+
+def _between(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges with both ends among the distinct ``nodes``."""
+    inside = links.join(nodes.select(F.col("node").alias("child")), "child", "left_semi")
+    return inside.join(nodes.select(F.col("node").alias("parent")), "parent", "left_semi").select("child", "parent")
+
+
+def _endless(links: DataFrame, source: str, target: str) -> DataFrame:
+    """Distinct nodes that chains of any length lead to, so those that a cycle leads to; a written table."""
+    at, count = materialize(links.select(F.col(target).alias("node")).distinct(), "chained")
+    while count:
+        further = _steps(links, at, source, target, 1, "step")[-1].select("node")
+        after, left = materialize(further, "chained")
+        drop_tables(at)
+        at, before, count = after, count, left
+        # Every round keeps a part of the last one; one that keeps all of it keeps all for ever.
+        if left == before:
+            break
+    return at
+
+
+def _trimmed(links: DataFrame) -> tuple[DataFrame, int]:
+    """The edges between nodes that a cycle leads to and that lead to one; a written table and its rows."""
+    links, count = materialize(links, "edges")
+    for source, target in (("parent", "child"), ("child", "parent")):
+        nodes = _endless(links, source, target)
+        left, count = materialize(_between(links, nodes), "edges")
+        drop_tables(links, nodes)
+        links = left
+    return links, count
+
+
+def dependency_cycles(
+    edges: DataFrame, child: str = "dependent_job_id", parent: str = "parent_job_id", node: str = "job_id"
+) -> DataFrame:
+    """``(node, cycle_id)`` of the jobs that are on a cycle, and of no others.
+
+    Jobs that can reach each other share a ``cycle_id``, the least of them; a job that needs itself
+    is a cycle of its own. Nodes that only wait on a cycle, or are only needed by one, are trimmed
+    from both ends first. In what is left, labels go along the edges until every node has the
+    least node that reaches it. The cycle of a node that kept its own label is what it is reached
+    from within that label, found by going backwards. Cycles found are taken out, and the rest
+    starts over, so nodes between two cycles end up without one. Null ends are no edges.
+    """
+    links = _links(edges, child, parent)
+    alone = links.where(F.col("child") == F.col("parent")).select(F.col("child").alias("node"))
+    found = [alone.withColumn("label", F.col("node"))]
+    links, count = _trimmed(links.where(F.col("child") != F.col("parent")))
+    while count:
+        nodes = links.select(F.col("child").alias("node")).union(links.select(F.col("parent"))).distinct()
+        start, _ = materialize(nodes.withColumn("label", F.col("node")), "labels")
+        reached = _settled(start, links, "parent", "child")
+        of = reached.select(F.col("node").alias("child"), F.col("label").alias("of_child"))
+        inside = links.join(of, "child").join(of.select(F.col("child").alias("parent"), F.col("of_child").alias("of_parent")), "parent")
+        inside, _ = materialize(inside.where("of_child = of_parent").select("child", "parent"), "edges")
+        heads, _ = materialize(reached.where("node = label"), "labels")
+        cycles = _settled(heads, inside, "child", "parent")
+        found.append(cycles)
+        rest = nodes.join(cycles.select(F.col("node").alias("taken")), F.col("node") == F.col("taken"), "left_anti")
+        left, count = _trimmed(_between(links, rest))
+        drop_tables(links, inside, reached)
+        links = left
+    whole = reduce(DataFrame.union, found).groupBy("node").agg(F.min("label").alias("cycle_id"))
+    sized = whole.groupBy("cycle_id").agg(F.count(F.lit(1)).alias("size"))
+    itself = alone.select(F.col("node").alias("loop"))
+    return whole.join(sized, "cycle_id").join(itself, F.col("node") == F.col("loop"), "left").where(
+        "size > 1 OR loop IS NOT NULL"
+    ).select(F.col("node").alias(node), "cycle_id")

@@ -6,6 +6,7 @@ from moorline.functions import epoch_micros, micros_to_timestamp
 from moorline.operators import (
     collect_records,
     dependency_closure,
+    dependency_cycles,
     dependency_levels,
     direct_dependencies,
     latest_per_key,
@@ -55,6 +56,21 @@ def dependents_of_job(t):
     return dependency_closure(_edges(t), 1, child="parent_job_id", parent="dependent_job_id")
 
 
+@query(f"""
+    WITH RECURSIVE {EDGES},
+    links AS (
+        SELECT child, parent FROM edges WHERE parent > 0
+        UNION SELECT c_custkey // 8, c_custkey FROM customer WHERE c_custkey % 60 = 0 AND c_custkey >= 8
+        UNION SELECT c_custkey, c_custkey FROM customer WHERE c_custkey % 101 = 100),
+    reach(a, b) AS (SELECT child, parent FROM links UNION SELECT r.a, l.parent FROM reach r JOIN links l ON l.child = r.b)
+    SELECT x.a AS job_id, least(x.a, min(x.b)) AS cycle_id FROM reach x JOIN reach y ON y.a = x.b AND y.b = x.a GROUP BY x.a""", name="dependency_cycles")
+def jobs_on_cycles(t):
+    """A few jobs need one that needs them, over three steps or themselves; many more wait on those."""
+    longer = t.customer.where("c_custkey % 60 = 0 AND c_custkey >= 8").select(F.expr("c_custkey div 8"), "c_custkey")
+    itself = t.customer.where("c_custkey % 101 = 100").select("c_custkey", "c_custkey")
+    return dependency_cycles(_edges(t).where("parent_job_id > 0").union(longer).union(itself))
+
+
 @query(f"WITH {EDGES} SELECT child AS dependent_job_id, parent AS parent_job_id FROM edges WHERE child = 100", name="direct_dependencies")
 def dependencies_of_job(t):
     return direct_dependencies(_edges(t), 100)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Shuffle partitions per profile.
@@ -78,11 +78,17 @@ def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     A file in the shared folder outlives the executors, and its size is known to the
     planner when it chooses the next join. The count comes from the write itself.
     """
-    spark = df.sparkSession
+    table, told = materialize_with(df, label, rows=F.count(F.lit(1)))
+    return table, told["rows"]
+
+
+def materialize_with(df: DataFrame, label: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """As :func:`materialize`, with several counts of the rows that the write tells; 0 where there are none."""
+    spark, counter = df.sparkSession, Observation()
     path = scratch_path(spark, label)
-    rows, counter = counted(df)
-    rows.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), observed(counter).get("rows", 0)
+    df.observe(counter, *[c.alias(name) for name, c in counts.items()]).write.parquet(path)
+    told = observed(counter)
+    return spark.read.schema(df.schema).parquet(path), {name: told.get(name) or 0 for name in counts}
 
 
 def drop_tables(*tables: DataFrame) -> None:

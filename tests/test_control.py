@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from moorline.operators import CycleError, dependency_closure, dependency_levels, direct_dependencies, settings_columns
+from moorline.operators import CycleError, dependency_closure, dependency_cycles, dependency_levels, direct_dependencies, settings_columns
 from moorline.operators.control import (
     EXECUTION_LOG,
     JOB_DEPENDENCY,
@@ -139,11 +139,39 @@ def test_deep_graphs_are_compacted(spark, monkeypatch):
     assert {r.job_id: r.distance for r in dependency_closure(chain, "n7").collect()} == {f"n{7 - i}": i for i in range(1, 8)}
 
 
-@pytest.mark.parametrize("pairs", [[("a", "a")], [("a", "b"), ("b", "c"), ("c", "a"), ("b", "root")]])
-def test_cycles_raise(spark, pairs):
-    with pytest.raises(CycleError, match=f"cycle; {len({c for c, _ in pairs})} jobs") as raised:
+@pytest.mark.parametrize("pairs, on", [
+    ([("a", "a")], "a"), ([("a", "b"), ("b", "c"), ("c", "a"), ("b", "root")], "abc"), ([("a", "b"), ("b", "a"), ("w", "a"), ("a", "n")], "ab"),
+])
+def test_cycles_raise(spark, pairs, on):
+    with pytest.raises(CycleError, match=f"cycle; {len(on)} jobs") as raised:
         dependency_levels(edges(spark, *pairs))
-    assert {r.job_id for r in raised.value.members.collect()} == {c for c, _ in pairs}
+    assert {r.job_id for r in raised.value.members.collect()} == set(on)
+
+
+def cycles_of(pairs):
+    """Jobs that can reach themselves, each with the least job that it reaches and that reaches it."""
+    reach = set(pairs)
+    while (more := reach | {(a, d) for a, b in reach for c, d in pairs if b == c}) != reach:
+        reach = more
+    return {a: min(b for b in {x for pair in pairs for x in pair} if (a, b) in reach and (b, a) in reach) for a, x in reach if a == x}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_cycles_match_brute_force(spark, seed):
+    rng = random.Random(seed)
+    names = [f"n{i:02}" for i in range(30)]
+    pairs = list({(rng.choice(names), rng.choice(names)) for _ in range(rng.choice([12, 25, 40]))})
+    if seed == 3:
+        # Two long cycles, a chain between them, tails on both sides and a job that needs itself.
+        ring = lambda c, n: [(f"{c}{i}", f"{c}{(i + 1) % n}") for i in range(n)]
+        pairs = ring("p", 9) + ring("q", 7) + [("p0", "m1"), ("m1", "m2"), ("m2", "q3"), ("t1", "t0"), ("t0", "p5"), ("q1", "z0"), ("z0", "z1"), ("s", "s"), ("z1", "s")]
+    found = {r.job_id: r.cycle_id for r in dependency_cycles(edges(spark, *pairs, (None, "x"), ("x", None))).collect()}
+    assert found == cycles_of(pairs)
+
+
+def test_no_cycles(spark):
+    assert dependency_cycles(edges(spark, *[(f"n{i + 1}", f"n{i}") for i in range(12)])).collect() == []
+    assert dependency_cycles(edges(spark, (None, None))).collect() == []
 
 
 def test_long_chains_and_scratch(spark):
