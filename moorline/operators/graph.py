@@ -11,7 +11,7 @@ from moorline.session import drop_tables, materialize, materialize_with
 
 ROUNDS_PER_PLAN = 32
 # Steps along the edges that are planned and written together; of labels, whose plans grow faster.
-STEPS_PER_TABLE, LABELS_PER_TABLE = 5, 3
+STEPS_PER_TABLE, LABELS_PER_TABLE = 5, 2
 
 
 class CycleError(ValueError):
@@ -113,27 +113,25 @@ def dependency_closure(
     return reduce(DataFrame.union, rounds).where("distance > 0").select(F.col("node").alias(node), "distance")
 
 
-def _spread(labels: DataFrame, links: DataFrame, source: str, target: str) -> DataFrame:
-    """Least labels after they went along the edges a few times; ``labels`` is a written ``(node, label)``."""
-    rows = labels
-    for _ in range(LABELS_PER_TABLE):
-        near = links.join(rows.select(F.col("node").alias("from_node"), "label"), F.col(source) == F.col("from_node"))
-        both = rows.select("node", "label").union(near.select(F.col(target), "label"))
-        rows = both.groupBy("node").agg(F.min("label").alias("label"))
-    return rows
-
-
-def _settled(labels: DataFrame, links: DataFrame, source: str, target: str) -> DataFrame:
-    """The least label among all nodes from which a node can be reached; a written table."""
+def _labelled(links: DataFrame) -> DataFrame:
+    """``(node, reached_from, reaches)``: the least node that leads to each node, and that each leads to; a written table."""
+    ends = links.select(F.col("child").alias("node")).union(links.select("parent")).distinct()
+    labels, _ = materialize(ends.select("node", F.col("node").alias("reached_from"), F.col("node").alias("reaches")), "labels")
+    null = F.lit(None)
     while True:
-        before = labels.select(F.col("node").alias("same"), F.col("label").alias("before"))
-        stepped = _spread(labels, links, source, target).join(before, F.col("node") == F.col("same"), "left")
-        moved = F.count_if(~F.col("label").eqNullSafe(F.col("before")))
+        rows = labels.select("node", "reached_from", "reaches")
+        for _ in range(LABELS_PER_TABLE):
+            down = links.join(rows.select(F.col("node").alias("parent"), "reached_from"), "parent").select("child", "reached_from", null)
+            up = links.join(rows.select(F.col("node").alias("child"), "reaches"), "child").select("parent", null, "reaches")
+            rows = rows.union(down).union(up).groupBy("node").agg(F.min("reached_from").alias("reached_from"), F.min("reaches").alias("reaches"))
+        before = labels.select(F.col("node").alias("same"), F.struct("reached_from", "reaches").alias("before"))
+        stepped = rows.join(before, F.col("node") == F.col("same")).drop("same")
+        moved = F.count_if(F.struct("reached_from", "reaches") != F.col("before"))
         after, told = materialize_with(stepped, "labels", moved=moved)
         drop_tables(labels)
         labels = after
         if not told["moved"]:
-            return labels.select("node", "label")
+            return labels
 
 
 def _between(links: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -174,32 +172,25 @@ def dependency_cycles(
 
     Jobs that can reach each other share a ``cycle_id``, the least of them; a job that needs itself
     is a cycle of its own. Nodes that only wait on a cycle, or are only needed by one, are trimmed
-    from both ends first. In what is left, labels go along the edges until every node has the
-    least node that reaches it. The cycle of a node that kept its own label is what it is reached
-    from within that label, found by going backwards. Cycles found are taken out, and the rest
-    starts over, so nodes between two cycles end up without one. Null ends are no edges.
+    from both ends first. Then labels go along the edges both ways, until every node has the least
+    node that leads to it and the least that it leads to. Nodes of one cycle have the same two, so
+    edges between others are taken out, and the rest is labelled anew. Once no edge goes, both
+    labels of every node are one, and it is its cycle's. Null ends are no edges.
     """
     links = _links(edges, child, parent)
-    alone = links.where(F.col("child") == F.col("parent")).select(F.col("child").alias("node"))
-    found = [alone.withColumn("label", F.col("node"))]
+    itself = links.where(F.col("child") == F.col("parent")).select(F.col("child").alias("node"), F.col("child").alias("label"))
     links, count = _trimmed(links.where(F.col("child") != F.col("parent")))
+    labels = None
     while count:
-        nodes = links.select(F.col("child").alias("node")).union(links.select(F.col("parent"))).distinct()
-        start, _ = materialize(nodes.withColumn("label", F.col("node")), "labels")
-        reached = _settled(start, links, "parent", "child")
-        of = reached.select(F.col("node").alias("child"), F.col("label").alias("of_child"))
-        inside = links.join(of, "child").join(of.select(F.col("child").alias("parent"), F.col("of_child").alias("of_parent")), "parent")
-        inside, _ = materialize(inside.where("of_child = of_parent").select("child", "parent"), "edges")
-        heads, _ = materialize(reached.where("node = label"), "labels")
-        cycles = _settled(heads, inside, "child", "parent")
-        found.append(cycles)
-        rest = nodes.join(cycles.select(F.col("node").alias("taken")), F.col("node") == F.col("taken"), "left_anti")
-        left, count = _trimmed(_between(links, rest))
-        drop_tables(links, inside, reached)
-        links = left
-    whole = reduce(DataFrame.union, found).groupBy("node").agg(F.min("label").alias("cycle_id"))
-    sized = whole.groupBy("cycle_id").agg(F.count(F.lit(1)).alias("size"))
-    itself = alone.select(F.col("node").alias("loop"))
-    return whole.join(sized, "cycle_id").join(itself, F.col("node") == F.col("loop"), "left").where(
-        "size > 1 OR loop IS NOT NULL"
-    ).select(F.col("node").alias(node), "cycle_id")
+        labels = _labelled(links)
+        pair = F.struct("reached_from", "reaches")
+        inside = links.join(labels.select(F.col("node").alias("child"), pair.alias("of_child")), "child").join(
+            labels.select(F.col("node").alias("parent"), pair.alias("of_parent")), "parent")
+        left, n_left = materialize(inside.where("of_child = of_parent").select("child", "parent"), "edges")
+        drop_tables(links)
+        links, before, count = left, count, n_left
+        if before == count:
+            break
+        drop_tables(labels)
+    found = itself.union(labels.select("node", "reaches")) if count else itself
+    return found.groupBy(F.col("node").alias(node)).agg(F.min("label").alias("cycle_id"))
