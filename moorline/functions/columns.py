@@ -23,17 +23,44 @@ def iso_text(column: Column | str, dtype: DataType) -> Column:
     return column
 
 
+def parsed_json(text: Column | str) -> Column:
+    """JSON text as a variant, null where it does not parse; the column that the next three read."""
+    return F.try_parse_json(text)
+
+
+def context_map(parsed: Column | str) -> Column:
+    """The fields of a parsed object as texts; null for what is no object."""
+    return F.try_variant_get(parsed, "$", "map<string,string>")
+
+
+def context_field(parsed: Column | str, name: str, kind: str = "string") -> Column:
+    """One field of a parsed object with its type; null where it is absent or of another kind.
+
+    A name may have one kind of quotes, not both.
+    """
+    quote = '"' if "'" in name else "'"
+    if quote in name:
+        raise ValueError(f"no path can name the field {name!r}")
+    return F.try_variant_get(parsed, f"$[{quote}{name}{quote}]", kind)
+
+
+def malformed(text: Column | str, parsed: Column | str) -> Column:
+    """True for text that is there but did not parse."""
+    text, parsed = (F.col(c) if isinstance(c, str) else c for c in (text, parsed))
+    return F.coalesce(F.trim(text) != "", F.lit(False)) & parsed.isNull()
+
+
 def json_context(text: Column | str) -> Column:
-    """JSON object text as a string map; null when absent or malformed."""
-    return F.from_json(text, "map<string,string>")
+    """JSON object text as a string map; null when absent or malformed.
+
+    Where more than this is wanted, parse once with :func:`parsed_json`.
+    """
+    return context_map(parsed_json(text))
 
 
 def json_is_malformed(text: Column | str) -> Column:
     """True for text that is there but does not parse."""
-    text = F.col(text) if isinstance(text, str) else text
-    given = F.coalesce(F.trim(text) != "", F.lit(False))
-    # Only text that is no object is parsed a second time.
-    return given & json_context(text).isNull() & F.try_parse_json(text).isNull()
+    return malformed(text, parsed_json(text))
 
 
 def micros_to_timestamp(micros: Column | str) -> Column:

@@ -1,5 +1,6 @@
 from moorline.operators.aggregates import (
     Measure,
+    breakdown_rollup,
     collect_records,
     grouped_measures,
     partition_breakdown,

@@ -26,6 +26,20 @@ def partition_breakdown(df: DataFrame, partitions: Sequence[str], status: str, o
     return df.groupBy(*partitions).agg(F.count(F.lit(1)).alias("total_count"), *counts)
 
 
+def breakdown_rollup(df: DataFrame, levels: Sequence[str], measures: Mapping[str, Column] | None = None) -> DataFrame:
+    """Rows of each group of ``levels``, of each group one level up, and so on up to all rows, in one pass.
+
+    ``row_count`` and the ``measures`` stand beside ``depth``, the number of levels that a row is of:
+    all of them in a plain group, 0 in the overall row. Columns of the levels above are null;
+    ``depth`` tells them from groups whose value is null. Every task sends one row per group and
+    level to the only shuffle. Without rows there is only an overall row where Spark gives one.
+    """
+    extra = [column.alias(name) for name, column in (measures or {}).items()]
+    # Each bit of the number says that a column is summed over.
+    depth = F.lit(len(levels)) - F.bit_count(F.grouping_id(*levels))
+    return df.rollup(*levels).agg(F.count(F.lit(1)).alias("row_count"), *extra, depth.cast("int").alias("depth"))
+
+
 @dataclass(frozen=True)
 class Measure:
     """Count, sum, least and greatest of one column."""

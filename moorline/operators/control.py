@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from moorline.functions.columns import json_context, json_is_malformed, run_duration, run_key, run_status
+from moorline.functions.columns import context_map, malformed, parsed_json, run_duration, run_key, run_status
 from moorline.operators.latest import first_per_key, latest_per_key
 from moorline.operators.project import iso_record
 
@@ -148,11 +148,15 @@ def flatten_parameters(requests: DataFrame, job_master: DataFrame, process_contr
     # The process fields of a flat document.
     fields = ["biz_dt", "process_from_date", "process_to_date", "run_indicator", "run_id", "change_indicator"]
     dates = iso_record(latest.select("entity", "source_system", *fields))
-    jobs = requests.select(*REQUEST).distinct().join(job_master.select(*JOB_MASTER.fieldNames()), "job_name")
+    # A job's context is parsed once, before the job meets its requests.
+    parsed = job_master.select(*JOB_MASTER.fieldNames(), parsed_json("context_params").alias("parsed"))
+    master = parsed.select(
+        "job_name", "job_id", "script_path", "comments", context_map("parsed").alias("context_params"),
+        (~malformed("context_params", "parsed")).alias("context_ok"),
+    )
+    jobs = requests.select(*REQUEST).distinct().join(master, "job_name")
     return jobs.join(dates, ["entity", "source_system"]).select(
-        *DOCUMENT, "script_path", "comments", *fields,
-        json_context("context_params").alias("context_params"),
-        (~json_is_malformed("context_params")).alias("context_ok"),
+        *DOCUMENT, "script_path", "comments", *fields, "context_params", "context_ok"
     )
 
 

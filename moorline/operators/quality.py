@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moorline.operators.project import json_record
+from moorline.session import counted, observed
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -33,24 +36,34 @@ def verify_tables(
     tables: Mapping[str, Callable[[], DataFrame]],
     sample: int = 5,
     order_by: Mapping[str, Sequence[str]] | None = None,
+    at_once: int = 4,
 ) -> DataFrame:
     """Row count, schema and the first ``sample`` rows as JSON of each table.
 
-    Each table is counted by a job of its own, and whatever goes wrong with one, when it is
-    opened or when it is read, is its ``error`` and leaves the others alone. Name columns in
-    ``order_by`` for a table whose sample must be the same each time.
+    One job a table reads all of it, picks the sample and counts the rows as they pass;
+    ``at_once`` tables are read at the same time, so a small one doesn't wait for a large one to
+    end. Jobs keep the caller's job group and scheduler pool. Whatever goes wrong with a table,
+    when it is opened or when it is read, is its ``error`` and leaves the others alone. Name
+    columns in ``order_by`` for a table whose sample must be the same each time.
     """
 
     def check(name: str, load: Callable[[], DataFrame]) -> tuple:
         try:
             table = load()
-            rows = json_record(table_sample(table, sample, (order_by or {}).get(name, ()))).collect()
-            return name, table.count(), table.schema.simpleString(), [row[0] for row in rows], None
+            rows, counter = counted(table)
+            # A limit without an order, or in one that the rows have already, would stop before every
+            # row is counted; Spark knows no frame to be sorted by a struct.
+            order = F.struct(*((order_by or {}).get(name) or [F.monotonically_increasing_id()]))
+            first = json_record(rows.orderBy(order).limit(sample)).collect()
+            return name, observed(counter).get("rows", 0), table.schema.simpleString(), [row[0] for row in first], None
         except Exception as error:
             cause = (error.getCondition() if isinstance(error, PySparkException) else None) or type(error).__name__
             return name, None, None, None, cause
 
-    return spark.createDataFrame([check(name, load) for name, load in tables.items()], REPORT)
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        # A target takes over the properties that its maker has at that time.
+        waiting = [pool.submit(inheritable_thread_target(spark)(check), name, load) for name, load in tables.items()]
+        return spark.createDataFrame([found.result() for found in waiting], REPORT)
 
 
 def table_sample(df: DataFrame, n: int = 5, order_by: Sequence[str] = ()) -> DataFrame:

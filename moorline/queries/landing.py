@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from moorline.functions import json_context, json_is_malformed, split_list
+from moorline.functions import context_field, context_map, json_context, json_is_malformed, malformed, parsed_json, split_list
 from moorline.operators import (
     RESIDUAL,
     Dimension,
@@ -218,6 +218,26 @@ def json_context_values(t):
                            json_is_malformed("props").alias("malformed"))
 
 
+@query("""
+    WITH texts AS (
+        SELECT event_id, CASE event_id % 5 WHEN 0 THEN left(props, length(props) - 1) WHEN 1 THEN NULL WHEN 2 THEN ' ' WHEN 3 THEN '[' || props || ']'
+            ELSE '{"n": ' || event_id || ', "of": ' || props || '}' END AS context FROM events)
+    SELECT event_id, event_id % 5 = 4 AS has_fields, CASE event_id % 5 WHEN 4 THEN event_id END AS n,
+           CASE event_id % 5 WHEN 4 THEN CAST(event_id AS VARCHAR) END AS n_text,
+           CASE event_id % 5 WHEN 4 THEN json_extract_string(context, '$.of.k') END AS k,
+           event_id % 5 = 0 AS malformed FROM texts""")
+def variant_context(t):
+    """Contexts parsed once: typed and nested fields, the map and the flag; a fifth of them is cut short, a fifth is a list."""
+    texts = F.when(F.col("event_id") % 5 == 0, F.expr("left(props, length(props) - 1)")).when(F.col("event_id") % 5 == 1, F.lit(None)).when(
+        F.col("event_id") % 5 == 2, " ").when(F.col("event_id") % 5 == 3, F.concat(F.lit("["), "props", F.lit("]"))).otherwise(
+        F.concat(F.lit('{"n": '), "event_id", F.lit(', "of": '), "props", F.lit("}")))
+    parsed = t.events.select("event_id", texts.alias("context")).withColumn("parsed", parsed_json("context"))
+    return parsed.select(
+        "event_id", context_map("parsed").isNotNull().alias("has_fields"), context_field("parsed", "n", "bigint").alias("n"),
+        F.try_element_at(context_map("parsed"), F.lit("n")).alias("n_text"), F.try_variant_get("parsed", "$.of.k", "string").alias("k"),
+        malformed("context", "parsed").alias("malformed"))
+
+
 @query("""
     SELECT event_id, user_id, event_type, value, props,
            regexp_replace(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '\\.000000$', '') AS ts FROM events""", name="iso_record")
@@ -304,7 +324,7 @@ TABLES = {
 @query(
     " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count,"
-        f" (SELECT string_agg(column_name, ',' ORDER BY column_name) FROM duckdb_columns() WHERE table_name = '{name}') AS table_columns,"
+        f" (SELECT string_agg(column_name || ' ' || data_type, ', ' ORDER BY column_name) FROM duckdb_columns() WHERE table_name = '{name}') AS table_columns,"
         f" (SELECT string_agg(k, ',' ORDER BY n) FROM (SELECT {keys[0]} AS k, row_number() OVER (ORDER BY {', '.join(keys)}) AS n FROM {name})"
         f" WHERE n <= 5) AS sample_keys, NULL AS error FROM {name}"
         for name, keys in TABLES.items()
@@ -313,9 +333,14 @@ TABLES = {
 def table_verification(t):
     report = verify_tables(t.spark, {n: lambda n=n: getattr(t, n) for n in [*TABLES, "archive"]}, order_by=TABLES)
     keys = F.create_map(*[F.lit(x) for name, columns in TABLES.items() for x in (name, f"$.{columns[0]}")])
-    columns = F.array_sort(F.transform(F.split(F.regexp_extract("table_schema", r"^struct<(.*)>$", 1), ",(?=[a-z_]+:)"), lambda f: F.split_part(f, F.lit(":"), F.lit(1))))
+    # What the types are called in SQL.
+    names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "array<float>": "FLOAT[]"}
+    types = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    fields = F.split(F.regexp_extract("table_schema", r"^struct<(.*)>$", 1), ",(?=[a-z_]+:)")
+    columns = F.array_sort(F.transform(fields, lambda f: F.concat(
+        F.split_part(f, F.lit(":"), F.lit(1)), F.lit(" "), F.try_element_at(types, F.split_part(f, F.lit(":"), F.lit(2))))))
     return report.withColumn("key", F.try_element_at(keys, "table_name")).select(
-        "table_name", "row_count", F.array_join(columns, ",").alias("table_columns"),
+        "table_name", "row_count", F.array_join(columns, ", ").alias("table_columns"),
         F.expr("array_join(transform(sample, r -> get_json_object(r, key)), ',')").alias("sample_keys"), "error",
     )
 

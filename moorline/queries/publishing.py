@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from moorline.operators import label_status, lookup_join
+from moorline.operators import Dimension, breakdown_rollup, label_status, lookup_join, star_join
 from moorline.queries.registry import query
 from moorline.session import scratch_path
 from moorline.sinks import (
@@ -20,11 +20,13 @@ from moorline.sinks import (
     skip_published,
     upsert_into,
     upsert_version,
+    write_bucketed,
     write_counted,
+    write_indexed,
     write_orc,
     write_registered,
 )
-from moorline.sources import literal_rows, read_catalog, read_orc
+from moorline.sources import literal_rows, look_up, read_catalog, read_orc
 
 PARTITIONS = ["biz_dt", "biz_status"]
 OUTPUTS = {"ACTIVE": ["O"], "EXPIRED": ["F"]}
@@ -184,3 +186,47 @@ def registered_partitions(t):
     later = contracts.where("biz_dt >= '1999' OR (biz_dt = '1997' AND biz_status <> 'EXPIRED')")
     write_registered(later, name, path, PARTITIONS, emptied=[("1997", "EXPIRED")])
     return partition_counts(t.spark, name, PARTITIONS)
+
+
+@query(f"""
+    WITH {LANDED}
+    SELECT biz_dt, biz_status, count(*) AS row_count, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS value,
+           CAST(2 - grouping(biz_dt) - grouping(biz_status) AS INTEGER) AS depth
+    FROM landed GROUP BY ROLLUP (biz_dt, biz_status)""", name="breakdown_rollup")
+def landed_rollup(t):
+    """Per date and status, per date, and in all, from one scan of the landed rows."""
+    landed = read_orc(t.spark, _landed(t), _contracts(t).schema)
+    return breakdown_rollup(landed, PARTITIONS, {"value": F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)")})
+
+
+@query("""
+    SELECT 'o_orderkey' AS by, o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey IN (0, 7, 500, 1499, 14999, 100000007)
+    UNION ALL SELECT 'o_custkey', o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (3, 77)""")
+def indexed_lookup(t):
+    """Contracts by key out of sorted files, and by customer through the filters of the same files."""
+    path, contracts = scratch_path(t.spark, "indexed"), t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    write_indexed(contracts, path, ["o_orderkey"], ["o_custkey"])
+    wanted = {"o_orderkey": [0, 7, 500, 1499, 14999, 100000007], "o_custkey": [3, 77]}
+    by_key, by_customer = (
+        look_up(t.spark, path, contracts.schema, key, values).select(F.lit(key).alias("by"), "*") for key, values in wanted.items())
+    return by_key.union(by_customer)
+
+
+BUCKETS = 8
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, l_extendedprice, o_orderdate, c_name, n_name
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey""")
+def bucketed_star_join(t):
+    """Contracts and transactions landed in buckets of the contract; their join needs no shuffle."""
+    create_database(t.spark, "landing_zone")
+    mark = uuid.uuid4().hex
+    contracts, transactions = f"landing_zone.contracts_{mark}", f"landing_zone.transactions_{mark}"
+    write_bucketed(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), contracts, ["o_orderkey"], BUCKETS, scratch_path(t.spark, "buckets"))
+    moved = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_extendedprice")
+    write_bucketed(moved, transactions, ["o_orderkey"], BUCKETS, scratch_path(t.spark, "buckets"))
+    joined = read_catalog(t.spark, transactions).join(read_catalog(t.spark, contracts), "o_orderkey")
+    customers = Dimension(t.customer, {"o_custkey": "c_custkey"}, ["c_name", "c_nationkey"])
+    whole = star_join(joined, [customers, Dimension(t.nation, {"c_nationkey": "n_nationkey"}, ["n_name"])])
+    return whole.select(F.col("o_orderkey").alias("l_orderkey"), "l_linenumber", "l_extendedprice", "o_orderdate", "c_name", "n_name")

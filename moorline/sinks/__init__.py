@@ -21,4 +21,13 @@ from moorline.sinks.versions import (
     read_version,
     upsert_version,
 )
-from moorline.sinks.write import Written, partition_columns, write_counted, write_df, write_orc, write_partitions
+from moorline.sinks.write import (
+    Written,
+    partition_columns,
+    write_bucketed,
+    write_counted,
+    write_df,
+    write_indexed,
+    write_orc,
+    write_partitions,
+)

@@ -65,6 +65,31 @@ def write_counted(df: DataFrame, path: str, **write_args) -> int:
     return observed(counter).get("rows", 0)
 
 
+def write_indexed(df: DataFrame, path: str, keys: Sequence[str], filters: Sequence[str] = (), mode: str = "overwrite", opts: Mapping | None = None) -> None:
+    """ORC files that hold ranges of ``keys``, sorted, so a look-up by key reads a few thousand rows.
+
+    Files, stripes and row groups carry the least and greatest key, and Bloom filters over the
+    keys and the columns in ``filters``, which need not be sorted. Ranges are cut by sampling, so a
+    key with very many rows may fill several files.
+    """
+    columns = ",".join(dict.fromkeys([*keys, *filters]))
+    options = {"compression": "snappy", "orc.bloom.filter.columns": columns, "orc.bloom.filter.fpp": "0.01", **(opts or {})}
+    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(mode).format("orc").options(**options).save(path)
+
+
+def write_bucketed(
+    df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None, mode: str = "overwrite", fmt: str = "parquet"
+) -> None:
+    """A catalog table dealt out and sorted by ``keys``; two with the same buckets join and group on them without a shuffle.
+
+    One task writes a bucket, so a bucket is one sorted file. Choose ``buckets`` for the larger
+    table. A key with a large share of the rows makes one large bucket, which a join can't split;
+    land such a table with :func:`write_df`, where adaptive execution does.
+    """
+    writer = df.repartition(buckets, *keys).write.mode(mode).format(fmt).bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
 @dataclass(frozen=True)
 class Written:
     """What a write brought: its rows, and the values of its partitions as text, null for none."""

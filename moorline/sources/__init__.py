@@ -11,4 +11,4 @@ from moorline.sources.files import (
     register_sources,
 )
 from moorline.sources.quarantine import read_quarantined, split_bad_records, write_with_quarantine
-from moorline.sources.tables import literal_rows, read_catalog, read_control_table, read_key_values
+from moorline.sources.tables import literal_rows, look_up, read_catalog, read_control_table, read_key_values

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +45,15 @@ def read_key_values(
     return rows.select(F.col(key).alias("param_key"), F.col(value).alias("param_value"))
 
 
+def look_up(spark: SparkSession, path: str, schema: StructType | str, key: str, values: Sequence, fmt: str = "orc") -> DataFrame:
+    """Rows with one of the ``values``, for a set of keys that a caller names.
+
+    The keys go down to the files, which skip what can't have them; see
+    :func:`moorline.sinks.write_indexed`. Keys that are a table themselves are a join.
+    """
+    return spark.read.schema(schema).format(fmt).load(path).where(F.col(key).isin(list(values)))
+
+
 def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType | str) -> DataFrame:
     """Typed in-memory rows."""
     return spark.createDataFrame(list(rows), schema)

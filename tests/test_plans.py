@@ -8,7 +8,7 @@ from moorline.queries import QUERIES
 FOLDER = "/root/testdata/sf0.001"
 # Queries that run jobs of their own before they return their plan.
 EAGER = {
-    "dependency_levels", "dependency_closure", "dependency_cycles", "indexed_upsert", "versioned_publish", "registered_partitions", "partition_upsert", "counted_write", "lookup_publish", "landing_job",
+    "dependency_levels", "dependency_closure", "dependency_cycles", "indexed_upsert", "versioned_publish", "registered_partitions", "indexed_lookup", "bucketed_star_join", "breakdown_rollup", "partition_upsert", "counted_write", "lookup_publish", "landing_job",
     "multi_source_job", "multi_source_breakdown", "table_verification", "profiled_count", "stage_counts", "shared_stage_counts",
 }
 
