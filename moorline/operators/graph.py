@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from moorline.session import drop_tables, materialize, materialize_with
 
 ROUNDS_PER_PLAN = 32
-# Steps along the edges that are planned and written together; of labels, whose plans grow faster.
-STEPS_PER_TABLE, LABELS_PER_TABLE = 5, 2
+# Steps along the edges that are planned and written together where every one is kept, and where the last one is.
+STEPS_PER_TABLE, CHAIN_PER_TABLE = 5, 10
 
 
 class CycleError(ValueError):
@@ -46,10 +46,12 @@ def _compact(rounds: list[DataFrame], written: list[DataFrame]) -> list[DataFram
     return [whole]
 
 
-def _steps(links: DataFrame, start: DataFrame, source: str, target: str, first: int, number: str) -> list[DataFrame]:
-    """Distinct nodes that are 1 to ``STEPS_PER_TABLE`` edges from ``start``, a frame each with its step."""
+def _steps(
+    links: DataFrame, start: DataFrame, source: str, target: str, first: int, number: str, count: int = STEPS_PER_TABLE
+) -> list[DataFrame]:
+    """Distinct nodes that are 1 to ``count`` edges from ``start``, a frame each with its step."""
     found, at = [], start
-    for step in range(first, first + STEPS_PER_TABLE):
+    for step in range(first, first + count):
         at = links.join(at.select(F.col("node").alias("from_node")), F.col(source) == F.col("from_node"), "left_semi")
         at = at.select(F.col(target).alias("node")).distinct()
         found.append(at.withColumn(number, F.lit(step)))
@@ -117,20 +119,25 @@ def _labelled(links: DataFrame) -> DataFrame:
     """``(node, reached_from, reaches)``: the least node that leads to each node, and that each leads to; a written table."""
     ends = links.select(F.col("child").alias("node")).union(links.select("parent")).distinct()
     labels, _ = materialize(ends.select("node", F.col("node").alias("reached_from"), F.col("node").alias("reaches")), "labels")
-    null = F.lit(None)
+    # Whom a node tells what: children and itself what it is reached from, parents and itself what it reaches.
+    yes, no = F.lit(True), F.lit(False)
+    down, up = links.select(F.col("parent").alias("node"), F.col("child").alias("to"), yes, no), links.select("child", "parent", no, yes)
+    told = down.union(up).union(ends.select("node", F.col("node").alias("to"), yes, yes)).toDF("node", "to", "down", "up")
+    told, _ = materialize(told, "edges")
     while True:
         rows = labels.select("node", "reached_from", "reaches")
-        for _ in range(LABELS_PER_TABLE):
-            down = links.join(rows.select(F.col("node").alias("parent"), "reached_from"), "parent").select("child", "reached_from", null)
-            up = links.join(rows.select(F.col("node").alias("child"), "reaches"), "child").select("parent", null, "reaches")
-            rows = rows.union(down).union(up).groupBy("node").agg(F.min("reached_from").alias("reached_from"), F.min("reaches").alias("reaches"))
+        for _ in range(CHAIN_PER_TABLE):
+            rows = rows.join(told, "node").groupBy(F.col("to").alias("node")).agg(
+                F.min(F.when(F.col("down"), F.col("reached_from"))).alias("reached_from"), F.min(F.when(F.col("up"), F.col("reaches"))).alias("reaches")
+            )
         before = labels.select(F.col("node").alias("same"), F.struct("reached_from", "reaches").alias("before"))
         stepped = rows.join(before, F.col("node") == F.col("same")).drop("same")
         moved = F.count_if(F.struct("reached_from", "reaches") != F.col("before"))
-        after, told = materialize_with(stepped, "labels", moved=moved)
+        after, counts = materialize_with(stepped, "labels", moved=moved)
         drop_tables(labels)
         labels = after
-        if not told["moved"]:
+        if not counts["moved"]:
+            drop_tables(told)
             return labels
 
 
@@ -144,7 +151,7 @@ def _endless(links: DataFrame, source: str, target: str) -> DataFrame:
     """Distinct nodes that chains of any length lead to, so those that a cycle leads to; a written table."""
     at, count = materialize(links.select(F.col(target).alias("node")).distinct(), "chained")
     while count:
-        further = _steps(links, at, source, target, 1, "step")[-1].select("node")
+        further = _steps(links, at, source, target, 1, "step", CHAIN_PER_TABLE)[-1].select("node")
         after, left = materialize(further, "chained")
         drop_tables(at)
         at, before, count = after, count, left
