@@ -234,10 +234,10 @@ def near_duplicates(
         .groupBy("element").agg(F.min("id").alias("id"), F.max("id").alias("last")).where("id = last")
         .groupBy("id").agg(F.count(F.lit(1)).alias("own"))
     )
-    members = scratch.save(
-        met.join(own, "id", "left").select("key", "id", "n", F.coalesce("own", F.lit(0)).alias("own"))
-        .where(f"{den} * (n - own) >= {num} * n")
-    )
+    # Own shingles are of a document, so each is judged once; only bands of those that stay are joined.
+    judged = met.select("id", "n").distinct().join(own, "id", "left").select("id", "n", F.coalesce("own", F.lit(0)).alias("own"))
+    staying = scratch.save(judged.where(f"{den} * (n - own) >= {num} * n"))
+    members = scratch.save(met.join(staying, ["id", "n"]).select("key", "id", "n", "own"))
 
     # One leader has the fewest shingles of its own, the other is any; hashes settle ties.
     scrambled = F.col("id").bitwiseXOR(F.col("key"))
@@ -276,7 +276,7 @@ def near_duplicates(
     across = tiles.mapInArrow(_across(num, den), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
     more = _links(scratch.save(across), sets, scratch, num, den)
     joined = components(links.union(more), scratch)
-    scratch.drop(met, sets, members, tried, placed, split, reps)
+    scratch.drop(met, sets, staying, members, tried, placed, split, reps)
 
     rows = sketched.select("id", "n", "hi", "lo")
     return (
