@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moorline.llm.words import LOWER, PLAIN, prefix_hashes, range_hashes, slices, split_words
+from moorline.llm.words import LOWER, PLAIN, SLICE_BYTES, prefix_hashes, range_hashes, slices, split_words
 
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 # The sample: at most so many rows of label 0 and 1, of texts of at most so many bytes.
 SAMPLE_ROWS, SAMPLE_BYTES = (3000, 1500), 1 << 15
+# Bytes of the sample that the driver cuts into subwords at a time, which take a hundred times as much.
+TRAINING_SLICE = 1 << 18
 # A subword counts if its rates under the two labels differ by so many standard errors.
 LEAST_APART = 5.0
 # The clearest so many at most.
@@ -61,9 +63,9 @@ class Bags:
     texts: np.ndarray     # bounds of texts among them
 
 
-def bags(column: pa.Array) -> Iterator[Bags]:
+def bags(column: pa.Array, most_bytes: int = SLICE_BYTES) -> Iterator[Bags]:
     """Bags of each slice of a string column."""
-    for part in slices(column):
+    for part in slices(column, most_bytes):
         words = split_words(part, PLAIN)
         _, first, number = np.unique(words.hashes, return_index=True, return_inverse=True)
         # Distinct words side by side, with a blank around each.
@@ -114,7 +116,7 @@ def _words_of_texts(bag: Bags) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def telling(column: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, float]:
     """Table rows whose rates under the two labels differ clearly, and the usual subwords of a text."""
     seen, sizes, subwords_in_all, first = np.zeros((2, BUCKETS)), np.ones(2), 0, 0
-    for bag in bags(column):
+    for bag in bags(column, TRAINING_SLICE):
         text, word, _ = _words_of_texts(bag)
         per_word = np.diff(bag.bounds)
         subwords_in_all += per_word[word].sum()
@@ -135,7 +137,7 @@ def inputs(column: pa.Array, chosen: np.ndarray) -> np.ndarray:
     place = np.full(BUCKETS, -1)
     place[chosen] = np.arange(len(chosen))
     out = []
-    for bag in bags(column):
+    for bag in bags(column, TRAINING_SLICE):
         text, word, value = _words_of_texts(bag)
         at = place[bag.rows]
         kept = np.concatenate([[0], np.cumsum(at >= 0)])[bag.bounds]
