@@ -109,6 +109,34 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), num=85)
 
 
+ORACLES["op5_minhash_near_dedup"] = """
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM texts WHERE len(w) > 0)
+), sets AS (
+    SELECT doc_id, count(*) AS n, md5(string_agg(shingle, chr(10) ORDER BY shingle)) AS own FROM shingles GROUP BY doc_id
+), firsts AS (
+    SELECT own, min(doc_id) AS rep, any_value(n) AS n FROM sets GROUP BY own
+), parts AS (
+    SELECT rep, n, shingle FROM firsts JOIN shingles ON doc_id = rep
+), shared AS (
+    SELECT a.rep AS a, b.rep AS b, any_value(a.n) AS n_a, any_value(b.n) AS n_b, count(*) AS common
+    FROM parts a JOIN parts b ON a.shingle = b.shingle AND a.rep <> b.rep AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) GROUP BY a.rep, b.rep
+), links AS (
+    SELECT a, b FROM shared WHERE 100 * common >= 85 * (n_a + n_b - common)
+), reach(a, b) AS (
+    SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), least_of AS (
+    SELECT rep, least(rep, min(b)) AS label FROM firsts LEFT JOIN reach ON a = rep GROUP BY rep
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(label, doc_id) AS component_id, coalesce(label, doc_id) = doc_id AS kept
+FROM texts LEFT JOIN (SELECT doc_id, n, rep FROM sets JOIN firsts USING (own, n)) USING (doc_id) LEFT JOIN least_of USING (rep)
+"""
+
+
 @numbered
 def op6_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return encode(table(spark, folder, "documents").select("doc_id", "text"), digest=True)
@@ -125,6 +153,33 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("spans")
 
 
+ORACLES["op8_benchmark_decontamination"] = """
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w FROM benchmark
+), wanted AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS width, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS body
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), windows AS (
+    SELECT doc_id, i, width, array_to_string(w[i:i + width - 1], ' ') AS body
+    FROM (SELECT doc_id, w, width, unnest(range(1, len(w) - width + 2)) AS i FROM texts, (SELECT DISTINCT width FROM wanted) WHERE len(w) >= width)
+), hits AS (
+    SELECT doc_id, i, width, item_id FROM windows JOIN wanted USING (width, body)
+), places AS (
+    SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + width)) AS place FROM (SELECT DISTINCT doc_id, i, width FROM hits)) GROUP BY doc_id
+), found AS (
+    SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT t.doc_id, len(w) AS n_words, coalesce(p.n, 0) AS n_hit, coalesce(f.n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(p.n, 0) > 0 AS contaminated
+FROM texts t LEFT JOIN places p ON p.doc_id = t.doc_id LEFT JOIN found f ON f.doc_id = t.doc_id
+"""
+
+
 @numbered
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(table(spark, folder, "documents"), notices(spark).union(license_texts(spark)))
