@@ -26,7 +26,8 @@ from moorline.llm.piece_model import BPE, MARKER, PieceModel, read_model
 from moorline.llm.words import Slice, prefix_hashes, range_hashes, slices
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-PARITY_ROWS, PARITY_BYTES = 200, 1 << 14
+# Texts that are compared with the source library: so many up to a size, and a few longer ones up to another.
+PARITY = ((200, 1, 1 << 14), (4, (1 << 14) + 1, 1 << 20))
 # Threads of the library in each Python worker, and chunks that it gets at a time.
 THREADS, AT_A_TIME = 2, 8192
 
@@ -91,6 +92,32 @@ def parity(tokenizer, path: str, texts: list[str]) -> None:
             raise ValueError(f"decoding differs for {text[:80]!r}")
 
 
+def chunk_parity(tokenizer, path: str, texts: list[str]) -> None:
+    """Raise unless chunks, cut and put together as tasks do it, give the source library's numbers for every text."""
+    import sentencepiece
+
+    theirs, known = sentencepiece.SentencePieceProcessor(model_file=path), Chunks(tokenizer)
+    for part in slices(pa.array(texts, pa.string())):
+        numbers, bounds, _ = encoded(part, known)
+        for text, low, high in zip(texts[part.first:], bounds[:-1], bounds[1:]):
+            if theirs.encode(text) != numbers[low:high].tolist():
+                raise ValueError(f"encoding in chunks differs for {text[:80]!r}")
+
+
+def parity_sample(texts: DataFrame) -> list[str]:
+    """Texts with the least hashes of each class of ``PARITY``, the same at every run.
+
+    Tasks send hashes, however long their texts are; then the chosen texts alone are fetched.
+    """
+    hashed = texts.select("text", F.xxhash64("text").alias("hash"), F.octet_length("text").alias("size"))
+    chosen = []
+    for rows, least, most in PARITY:
+        found = hashed.where(F.col("size").between(least, most)).select("hash").orderBy("hash").limit(rows).collect()
+        chosen += [row[0] for row in found]
+    sized = hashed.where(F.col("hash").isin(list(set(chosen))) & F.col("size").between(PARITY[0][1], PARITY[-1][2]))
+    return [row[0] for row in sized.select("text").distinct().limit(sum(rows for rows, *_ in PARITY)).collect()]
+
+
 def _backend(data: bytes):
     """The tokenizer of a worker process, built once and kept for its later tasks.
 
@@ -189,15 +216,16 @@ def encode(docs: DataFrame, path: str = MODEL_PATH, text: str = "text", digest:
     ``token_ids``. An empty text has no tokens and a null one neither; its ``token_ids`` are
     empty. ``round_trip`` says that decoding gives the text again, with every marker character
     as a blank. Own columns win over columns of ``docs`` with the same name. The model file is
-    read on the driver alone; a sample of ``PARITY_ROWS`` texts of up to ``PARITY_BYTES`` bytes
-    is compared with the library the model comes from.
+    read on the driver alone; on a sample of ``PARITY`` texts, whole texts and chunks are both
+    compared with the library the model comes from.
     """
     spark = docs.sparkSession
     model = read_model(path)
     check_chunks(model)
-    sample = docs.select(F.col(text).cast("string").alias("text")).where(F.octet_length("text").between(1, PARITY_BYTES))
-    parity(build(model), path, [row[0] for row in sample.orderBy(F.xxhash64("text")).limit(PARITY_ROWS).collect()])
-    data = spark.sparkContext.broadcast(build(model, whole=False).to_str().encode())
+    sample, in_chunks = parity_sample(docs.select(F.col(text).cast("string").alias("text"))), build(model, whole=False)
+    parity(build(model), path, sample)
+    chunk_parity(in_chunks, path, sample)
+    data = spark.sparkContext.broadcast(in_chunks.to_str().encode())
     own = ["ids_sha256" if digest else "token_ids", "n_tokens", "round_trip"]
     others = [c for c in docs.columns if c not in {text, *own}]
 
