@@ -19,11 +19,10 @@ from pyspark.sql import functions as F
 from moorline.llm.words import LOWER, Slice, mix, slices
 
 GRAM = 4
-ROWS_LOG, HASHES = 17, 3
+# Hashes of an n-gram; table rows for each n-gram of the language with most of them, at least, and the least table.
+HASHES, ROWS_PER_GRAM, LEAST_ROWS_LOG = 3, 16, 17
 # The sample: so many rows of each language, of texts of at most so many bytes.
 SAMPLE_ROWS, SAMPLE_BYTES = 400, 1 << 14
-# A language's filter has its most frequent n-grams.
-GRAMS_KEPT = 4000
 UNKNOWN = "und"
 
 # Letters and bytes of other alphabets count; all else is a blank.
@@ -52,42 +51,47 @@ def grams(part: Slice) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class LanguageFilters:
-    """Languages in order, the table of bits, and each language's chance of a false positive."""
+    """Languages in order, the table of bits, and each language's chance of a false positive.
+
+    Every n-gram of the sample is in the filter of its language; the table, of 2^k rows, grows with their number.
+    """
 
     languages: list[str]
     table: np.ndarray
     chance: np.ndarray
 
     @staticmethod
-    def rows(codes: np.ndarray, k: int) -> np.ndarray:
-        return (mix(codes.astype(np.uint64) + np.uint64((k + 1) << 40)) >> np.uint64(64 - ROWS_LOG)).astype(np.int64)
+    def rows(codes: np.ndarray, k: int, log: int) -> np.ndarray:
+        return (mix(codes.astype(np.uint64) + np.uint64((k + 1) << 40)) >> np.uint64(64 - log)).astype(np.int64)
 
     @classmethod
     def fit(cls, texts: pa.Array, languages: pa.Array) -> LanguageFilters:
-        """Filters of the most frequent n-grams of each language's texts."""
+        """Filters of all n-grams of each language's texts."""
         names = sorted(set(languages.to_pylist()))
         words = max(1, -(-len(names) // 64))
-        table = np.zeros((1 << ROWS_LOG, words), np.uint64)
-        owner = np.array([names.index(x) for x in languages.to_pylist()])
+        owner, known = np.array([names.index(x) for x in languages.to_pylist()]), []
         for number in range(len(names)):
             own = texts.take(pa.array(np.flatnonzero(owner == number)))
-            codes, counts = np.unique(np.concatenate([grams(p)[0] for p in slices(own)] or [np.zeros(0, np.uint32)]), return_counts=True)
-            best = codes[np.lexsort((codes, -counts))[:GRAMS_KEPT]]
+            found = [np.unique(grams(p)[0]) for p in slices(own)]
+            known.append(np.unique(np.concatenate(found or [np.zeros(0, np.uint32)])))
+        log = max(LEAST_ROWS_LOG, (ROWS_PER_GRAM * max(map(len, known), default=0)).bit_length())
+        table = np.zeros((1 << log, words), np.uint64)
+        for number, codes in enumerate(known):
             for k in range(HASHES):
-                table[cls.rows(best, k), number // 64] |= np.uint64(1 << (number % 64))
+                table[cls.rows(codes, k, log), number // 64] |= np.uint64(1 << (number % 64))
         filled = np.array([(table[:, i // 64] >> np.uint64(i % 64) & np.uint64(1)).mean() for i in range(len(names))])
         return cls(names, table, filled**HASHES)
 
     def predict(self, part: Slice) -> tuple[np.ndarray, np.ndarray]:
         """Language number (-1: no letter) and score of each text of a slice."""
         codes, bounds = grams(part)
-        totals = np.diff(bounds)
+        totals, log = np.diff(bounds), len(self.table).bit_length() - 1
         support = np.zeros((part.rows, len(self.languages)))
         for word in range(self.table.shape[1]):
             column = self.table[:, word]
-            found = column[self.rows(codes, 0)]
+            found = column[self.rows(codes, 0, log)]
             for k in range(1, HASHES):
-                found &= column[self.rows(codes, k)]
+                found &= column[self.rows(codes, k, log)]
             for number in range(64 * word, min(64 * word + 64, len(self.languages))):
                 sums = np.concatenate([[0], np.cumsum(found >> np.uint64(number % 64) & np.uint64(1), dtype=np.int64)])
                 support[:, number] = sums[bounds[1:]] - sums[bounds[:-1]]

@@ -79,3 +79,63 @@ def test_awkward_rows_language(spark):
     untaught = language_id.language_id(docs, language_id.fit(empty(spark))).collect()
     assert {r.lang_pred for r in untaught} == {"und"}
     assert documents(spark, []).count() == 0
+
+
+def plain_grams(text):
+    data = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or chr(b).isalpha() else 32 for b in (text or "").encode())
+    return [data[i:i + 4] for i in range(len(data) - 3) if 32 not in data[i + 1:i + 3]]
+
+
+def test_language_scores_match_plain_sets():
+    """Every n-gram of the sample counts, however rare, and a text's counts are set memberships."""
+    texts = [sentence(i, 60) for i in range(12)] + ["Ölçü çığ größe", "日本語 の 文 日本語の文"]
+    names = [("aa", "bb", "cc")[i % 3] for i in range(12)] + ["dd", "ee"]
+    filters = language_id.LanguageFilters.fit(arrow(texts), arrow(names))
+    known = {n: {g for t, own in zip(texts, names) if own == n for g in plain_grams(t)} for n in filters.languages}
+    asked = [*texts, sentence(50, 80), sentence(1, 7) + " " + sentence(2, 9), "größe", "日本語", "12 .", "", None, "x" * 3]
+    got = [np.concatenate(x) for x in zip(*(filters.predict(p) for p in slices(arrow(asked), 900)))]
+    for text, best, score in zip(asked, *got):
+        found = plain_grams(text)
+        counts = [max((sum(g in known[n] for g in found) - len(found) * c) / (1 - c), 0) for n, c in zip(filters.languages, filters.chance)]
+        if not any(c.isalpha() for c in text or ""):
+            assert (best, score) == (-1, 0)
+        elif sum(counts):
+            assert best == counts.index(max(counts)) and score == pytest.approx(max(counts) / sum(counts))
+        else:
+            assert score == pytest.approx(1 / len(filters.languages))
+
+
+def test_the_table_grows_with_the_ngrams():
+    few, many = (language_id.LanguageFilters.fit(arrow([sentence(i, 300) for i in range(n)]), arrow(["aa"] * n)) for n in (2, 900))
+    assert len(many.table) > len(few.table) and max(many.chance) < 0.02
+    codes = np.concatenate([language_id.grams(p)[0] for p in slices(arrow([sentence(i, 300) for i in range(900)]))])
+    log = len(many.table).bit_length() - 1
+    assert all((many.table[many.rows(codes, k, log), 0] & np.uint64(1)).all() for k in range(language_id.HASHES))
+
+
+def plain_score(model, text):
+    """The score of one text by plain Python numbers."""
+    base, most = 0x9E3779B97F4A7C15 | 1, 1 << 64
+
+    def row(part):
+        x = sum((b + 1) * pow(base, i, most) for i, b in enumerate(part)) % most
+        for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            x = (x ^ x >> 33) * factor % most
+        return (x ^ x >> 33) % BUCKETS
+
+    data = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+    words = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in data).split()
+    means = []
+    for word in words:
+        padded = b" " + word + b" "
+        parts = [word, *(padded[i:i + n] for n in (3, 4, 5) for i in range(len(padded) - n + 1))]
+        means.append(sum(model.values[row(p)] for p in parts) / len(parts))
+    return 1 / (1 + np.exp(-((sum(means) / len(means) if means else 0) + model.bias)))
+
+
+def test_toxicity_scores_match_plain_python():
+    texts, labels = labelled()
+    model = train(arrow(texts), labels, 0.33)
+    asked = [*texts[:12], "MORONS! morons, moron-ic", "a", "é ñandú 你好", "", None, "... !!", "stupids " * 300]
+    scores = np.concatenate([model.scores(b) for b in bags(arrow(asked), 400)])
+    assert scores == pytest.approx([plain_score(model, t) for t in asked], abs=1e-9)
