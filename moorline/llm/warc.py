@@ -94,7 +94,10 @@ def parse(piece: bytes) -> tuple[int, int, dict] | None:
 
 
 def record_values(fields: dict, content: bytes) -> tuple:
-    """Page, payload bytes and digest, type, reference, and whether the digest is that of the payload."""
+    """Page, payload bytes and digest, type, reference, and whether the digest is that of the payload.
+
+    A revisit has no payload; its digest is held against its response later.
+    """
     http, _, payload = content.partition(b"\r\n\r\n")
     named = fields.get("warc-payload-digest", "").removeprefix("sha1:")
     if fields["warc-type"] == "revisit":
@@ -187,7 +190,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
     ``payload_bytes`` and ``payload_digest`` are of the full payload: counted and hashed for a
     response, as written for a revisit. ``digest_ok`` says that the written digest is the one
-    found. Bytes that no chain from a file's start reaches are no records; an empty folder has
+    found; for a revisit, that the response it refers to was read and has this digest and length. Bytes that no chain from a file's start reaches are no records; an empty folder has
     none.
     """
     scratch = Scratch(spark, "warc")
@@ -221,7 +224,16 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         raw.mapInArrow(contents, "file string, block long, at long, data binary").join(owned, ["file", "block", "at"])
         .groupBy("file", "owner").applyInArrow(reassembled, RECORD)
     )
-    return whole.union(rebuilt)
+    return _with_references(scratch.save(whole.union(rebuilt)))
+
+
+def _with_references(records: DataFrame) -> DataFrame:
+    """``records`` with ``digest_ok`` of revisits: whether the response they name is there, with their length and digest."""
+    same = ["refers_to", "payload_digest", "payload_bytes"]
+    responses = records.where("record_type = 'response' AND digest_ok").select(F.col("page_id").alias("refers_to"), *same[1:]).distinct()
+    again = records.where("record_type = 'revisit'").join(responses.withColumn("there", F.lit(True)), same, "left")
+    again = again.withColumn("digest_ok", F.coalesce("there", F.lit(False))).select(records.columns)
+    return records.where("record_type <> 'revisit'").union(again)
 
 
 def round_trip(pages: DataFrame, **options) -> DataFrame:

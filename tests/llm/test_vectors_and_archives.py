@@ -105,5 +105,22 @@ def test_bytes_after_a_broken_record_are_not_reached(spark, tmp_path):
     assert {1, 2} <= ids and not {3, 4} & ids
 
 
+def test_revisits_are_held_against_their_response(spark, tmp_path):
+    body = "HTTP/1.1 200 OK\r\nContent-Length: 5\r\n\r\nhello"
+    digest = hashlib.sha1(b"hello").hexdigest()
+
+    def record(page, kind, to=None, named=digest, size=5):
+        content = body if kind == "response" else f"HTTP/1.1 200 OK\r\nContent-Length: {size}\r\n\r\n"
+        refers = f"WARC-Refers-To: <urn:page:{to}>\r\n" if to else ""
+        return (f"{VERSION}WARC-Type: {kind}\r\nWARC-Record-ID: <urn:page:{page}>\r\nWARC-Payload-Digest: sha1:{named}\r\n{refers}"
+                f"Content-Length: {len(content)}\r\n\r\n{content}\r\n\r\n")
+
+    (tmp_path / "a.warc").write_text(record(9, "response") + record(1, "revisit", 9) + record(2, "revisit", 8) + record(3, "revisit", 9, "0" * 40)
+                                     + record(4, "revisit", 9, size=6) + record(5, "revisit") + record(6, "response", named="1" * 40), newline="")
+    (tmp_path / "b.warc").write_text(record(7, "revisit", 9) + record(8, "revisit", 6, "1" * 40), newline="")
+    found = {r.page_id: r.digest_ok for r in read_archives(spark, str(tmp_path)).collect()}
+    assert found == {9: True, 1: True, 2: False, 3: False, 4: False, 5: False, 6: False, 7: True, 8: False}
+
+
 def test_empty_pages(spark):
     assert round_trip(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
