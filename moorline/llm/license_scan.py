@@ -23,8 +23,6 @@ from moorline.llm.scratch import Scratch
 WIDTH = 3
 # Template lengths in words up to which the length classes reach; the last class has all longer ones.
 CLASSES = (32, 256, 2048)
-# Up to so many known shingles are put into the plan; more are joined.
-LISTED = 5000
 
 # Short notices of public licences.
 NOTICES = [
@@ -92,12 +90,11 @@ def license_scan(
     empty and shorter texts contain nothing. Null keys and null template ids take no part; rows
     that repeat a key count as one text, as do templates that repeat an id. Other columns are
     not read.
-
-    Templates are few beside texts; their shingles are listed in the plan up to ``LISTED`` of
-    them, which is counted, and joined alone beyond that.
     """
     scratch = Scratch(docs.sparkSession, "license-scan")
-    parts = templates.where("license_id IS NOT NULL").select("license_id", F.explode(_shingles(_words(F.col("text")))).alias("part"))
+    # Words are a column of their own, or every shingle would split its whole text again.
+    split = templates.where("license_id IS NOT NULL").select("license_id", _words(F.col("text")).alias("words"))
+    parts = split.select("license_id", F.explode(_shingles(F.col("words"))).alias("part"))
     own = parts.groupBy("license_id").agg(F.collect_set("part.shingle").alias("own"), (F.max("part.at") + WIDTH).alias("length"))
     kind = sum((F.when(F.col("length") > bound, 1).otherwise(0) for bound in CLASSES), F.lit(0))
     # Written, so that its size is known where it is joined.
@@ -105,13 +102,8 @@ def license_scan(
         own.select("license_id", "own", F.max("length").over(Window.partitionBy(kind)).cast("long").alias("stride"))
         .select("license_id", F.size("own").cast("long").alias("n_shingles"), "stride", F.explode("own").alias("shingle"))
     )
-    listed = [row[0] for row in known.select("shingle").distinct().limit(LISTED + 1).collect()]
-
-    found = _shingles(F.col("words"))
-    if 0 < len(listed) <= LISTED:
-        found = F.filter(found, lambda x: x["shingle"].isin(listed))
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), _words(F.col(text)).alias("words"))
-    hits = rows.select("id", F.explode(found).alias("hit")).select("id", "hit.at", "hit.shingle").join(known, "shingle")
+    hits = rows.select("id", F.explode(_shingles(F.col("words"))).alias("hit")).select("id", "hit.at", "hit.shingle").join(known, "shingle")
     number = F.floor(F.col("at") / F.col("stride"))
     shared = (
         hits.select("id", "license_id", "n_shingles", F.explode(F.array(number - 1, number)).alias("window"), "at", "shingle")

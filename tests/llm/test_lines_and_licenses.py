@@ -64,9 +64,7 @@ def brute_licenses(rows, templates, num=19, den=20):
     return out
 
 
-@pytest.mark.parametrize("listed", [licenses.LISTED, 3])
-def test_licenses_match_brute_force(spark, monkeypatch, listed):
-    monkeypatch.setattr(licenses, "LISTED", listed)
+def test_licenses_match_brute_force(spark):
     text = dict(licenses.NOTICES)
     rows = [
         (1, sentence(1) + "\n" + text["MIT"]), (2, text["Apache-2.0"].upper() + " " + text["GPL-3.0"]), (3, text["BSD-3-Clause"].replace(" ", "  *\n ")),
@@ -81,9 +79,7 @@ def test_licenses_match_brute_force(spark, monkeypatch, listed):
     assert {(r.doc_id, r.license_id, r.shared, r.n_shingles) for r in found} == set(merged.values()) and len(found) == len(merged)
 
 
-@pytest.mark.parametrize("listed", [licenses.LISTED, 3])
-def test_short_notices_beside_other_known_text(spark, monkeypatch, listed):
-    monkeypatch.setattr(licenses, "LISTED", listed)
+def test_short_notices_beside_other_known_text(spark):
     short, long = "released under the moor license", sentence(3, 3000)
     templates = spark.createDataFrame([("short", short), ("long", long)], "license_id string, text string")
     # Each text has a short notice amid words of the long template; the last has its words far apart.
