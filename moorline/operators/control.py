@@ -138,6 +138,57 @@ def parameter_documents(children: DataFrame, parts: int) -> DataFrame:
     return grouped.select(*DOCUMENT, "part", "job_master", *[ordered(name) for name in names])
 
 
+# Each section with the owner's columns in its table, their names in a document, and the order of its records.
+SECTIONS = {
+    "job_dependency": ({"dependent_job_id": "job_id"}, ["parent_job_id"], True),
+    "process_control": ({"entity": "entity", "source_system": "source_system"}, ["biz_dt", "updated_at", "run_id"], False),
+    "sys_params": ({"environment": "env", "key_name": "job_name"}, ["param_key"], True),
+}
+
+
+def _owned_arrays(table: DataFrame, name: str, parts: int) -> DataFrame:
+    """Records of a section as sorted arrays, once for each owner that has any, and each part."""
+    owner, lead, ascending = SECTIONS[name]
+    rows = iso_record(table)
+    first = [c for c in lead if c in rows.columns]
+    record = [*first, *[c for c in rows.columns if c not in first]]
+    part = F.pmod(F.xxhash64(*record), F.lit(parts)).cast("int").alias("part")
+    return rows.groupBy(*[F.col(theirs).alias(ours) for theirs, ours in owner.items()], part).agg(
+        F.sort_array(F.collect_list(F.struct(*record)), ascending).alias(name)
+    )
+
+
+def shared_documents(
+    requests: DataFrame,
+    job_master: DataFrame,
+    job_dependency: DataFrame,
+    process_control: DataFrame,
+    sys_params: DataFrame,
+    parts: int,
+) -> DataFrame:
+    """The documents of :func:`parameter_documents`, from arrays that are made once for all that share them.
+
+    Process rows are collected and sorted once per entity and source system, settings once per
+    environment and name, dependencies once per job; requests are handed the arrays by key. So no
+    row is repeated, shuffled or sorted for every request of its pair. ``parts`` bounds the arrays of
+    a key, as there; ``job_master`` is in part 0, and a part has a row if it has any record.
+    """
+    jobs = resolved_jobs(requests, job_master, process_control)
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
+    master = F.struct(*JOB_MASTER.fieldNames())
+    documents = jobs.select(*DOCUMENT, master.alias("master"), every)
+    for name, table in (("job_dependency", job_dependency), ("process_control", process_control), ("sys_params", sys_params)):
+        arrays = _owned_arrays(table, name, parts)
+        documents = documents.join(arrays, [*SECTIONS[name][0].values(), "part"], "left")
+        documents = documents.withColumn(name, F.coalesce(name, F.array().cast(arrays.schema[name].dataType)))
+    filled = F.col("part") == 0
+    for name in SECTIONS:
+        filled = filled | (F.size(name) > 0)
+    return documents.where(filled).select(
+        *DOCUMENT, "part", F.when(F.col("part") == 0, F.col("master")).alias("job_master"), *SECTIONS
+    )
+
+
 def flatten_parameters(requests: DataFrame, job_master: DataFrame, process_control: DataFrame) -> DataFrame:
     """One flat row per document, with the latest process row; absent fields are null.
 

@@ -18,10 +18,10 @@ from moorline.operators.control import (
     environment_settings,
     flatten_parameters,
     missing_rows,
-    parameter_documents,
     resolve_parameters,
     run_events,
     run_states,
+    shared_documents,
 )
 from moorline.queries.registry import query
 
@@ -227,7 +227,7 @@ def nested_params(t):
     FROM documents d""")
 def parameter_arrays(t):
     """The same documents with an array per section, in one part each."""
-    documents = parameter_documents(resolve_parameters(*_control(t)), parts=1)
+    documents = shared_documents(*_control(t), parts=1)
 
     def listed(items):
         return F.nullif(F.array_join(items, ","), F.lit(""))

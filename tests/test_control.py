@@ -17,6 +17,7 @@ from moorline.operators.control import (
     resolve_parameters,
     run_events,
     run_states,
+    shared_documents,
 )
 from moorline.plans import logged_run
 
@@ -73,6 +74,24 @@ def test_document_in_parts_has_the_same_children(spark, control, parts):
     assert [p.job_master for p in split if p.job_master] == [whole.job_master]
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_shared_arrays_give_the_same_documents(spark, control, parts):
+    wanted = requests(spark, ("PROD", "HARBOUR", "LEDGER", "landing"), ("DEV", "HARBOUR", "LEDGER", "landing"),
+                      ("DEV", "HARBOUR", "LEDGER", "transform"), ("DEV", "HARBOUR", "NONE", "landing"))
+    def sections(rows):
+        found = {}
+        for r in rows:
+            own = found.setdefault((r.env, r.job_name, r.job_id), {"job_master": []})
+            own["job_master"] += [repr(r.job_master)] if r.job_master else []
+            for name in ("job_dependency", "process_control", "sys_params"):
+                own.setdefault(name, []).extend(map(repr, r[name]))
+        return found if parts == 1 else {k: {n: sorted(x) for n, x in v.items()} for k, v in found.items()}
+
+    shared = shared_documents(wanted, *control, parts).collect()
+    assert sections(shared) == sections(parameter_documents(resolve_parameters(wanted, *control), parts).collect())
+    assert len(sections(shared)) == 4 and (parts > 1 or len(shared) == 4)
+
+
 def test_flat_row(spark, control):
     wanted = requests(spark, ("DEV", "HARBOUR", "LEDGER", "landing"), ("DEV", "HARBOUR", "LEDGER", "transform"))
     flat = {r.job_id: r for r in flatten_parameters(wanted, control[0], control[2]).collect()}
