@@ -144,7 +144,8 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     scratch = Scratch(docs.sparkSession, "exact-dedup")
     rows = verified_recipes(docs, key, text, scratch)
     least = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("first")
-    groups = rows.groupBy("recipe").agg(F.count(F.lit(1)).alias("group_size"), least)
+    # Written, so that the join deals rows out anew and splits a recipe that a third of them has.
+    groups = scratch.save(rows.groupBy("recipe").agg(F.count(F.lit(1)).alias("group_size"), least))
     return rows.join(groups, "recipe").select(
         F.col("id").alias(key), F.col("first.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256",
