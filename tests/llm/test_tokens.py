@@ -5,7 +5,6 @@ import pytest
 import sentencepiece
 from cases import arrow, awkward, awkward_rows, empty
 from moorline.llm.longest_match import Automaton, token_counts
-from moorline.llm import pieces
 from moorline.llm.piece_model import MARKER, UNIGRAM, PieceModel, read_model
 from moorline.llm.pieces import MODEL_PATH, build, decode, encode, parity
 from moorline.llm.words import SPACED, slices, split_words
@@ -44,21 +43,6 @@ def test_parity_is_enforced():
         parity(build(wrong), MODEL_PATH, ["some ordinary words that merge"])
 
 
-def test_parity_of_chunks_is_enforced(spark, monkeypatch):
-    rows = [(i, f"plain words {i} here") for i in range(300)] + [(900, "a longer text " * 5000), (901, "longest " * 200_000), (902, None), (903, "")]
-    texts = spark.createDataFrame(rows + rows[:50], "doc_id long, text string")
-    sample = pieces.parity_sample(texts)
-    assert len(set(sample)) == len(sample) and 150 <= len(sample) <= 204
-    assert rows[300][1] in sample and rows[301][1] not in sample and "" not in sample
-    chunked = build(read_model(MODEL_PATH), whole=False)
-    pieces.chunk_parity(chunked, MODEL_PATH, sample)
-    cut = pieces.chunk_bounds
-    # A cut one byte late would split words from their blanks.
-    monkeypatch.setattr(pieces, "chunk_bounds", lambda data, offsets: (lambda s, b: (np.where(np.isin(s, offsets), s, s + 1), b))(*cut(data, offsets)))
-    with pytest.raises(ValueError, match="in chunks differs"):
-        pieces.chunk_parity(chunked, MODEL_PATH, sample)
-
-
 def test_decode_takes_nulls(spark):
     tokens = spark.createDataFrame([(1, None), (2, []), (3, [7, 9])], "doc_id long, token_ids array<int>")
     back = {r.doc_id: r.text for r in decode(tokens).collect()}
