@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
+from random import Random
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from moorline.session import drop_tables, materialize, materialize_with
 ROUNDS_PER_PLAN = 32
 # Steps along the edges that are planned and written together where every one is kept, and where the last one is.
 STEPS_PER_TABLE, CHAIN_PER_TABLE = 5, 10
+# Orders that nodes are labelled in at once, and the part of the edges that a round of trimming may leave to be followed by another.
+ORDERS, LEAST_TRIMMED = 4, 0.9
 
 
 class CycleError(ValueError):
@@ -115,30 +119,48 @@ def dependency_closure(
     return reduce(DataFrame.union, rounds).where("distance > 0").select(F.col("node").alias(node), "distance")
 
 
-def _labelled(links: DataFrame) -> DataFrame:
-    """``(node, reached_from, reaches)``: the least node that leads to each node, and that each leads to; a written table."""
+def _numbered(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(node, number)`` of all ends, and the edges between the numbers; written tables. No two nodes share a number."""
     ends = links.select(F.col("child").alias("node")).union(links.select("parent")).distinct()
-    labels, _ = materialize(ends.select("node", F.col("node").alias("reached_from"), F.col("node").alias("reaches")), "labels")
+    for salt in count():
+        nodes, _ = materialize(ends.withColumn("number", F.xxhash64("node", F.lit(salt))), "nodes")
+        if nodes.groupBy("number").count().where("count > 1").isEmpty():
+            break
+        drop_tables(nodes)
+    for end in ("child", "parent"):
+        names = nodes.select(F.col("node").alias("named"), F.col("number").alias(f"{end}_number"))
+        links = links.join(names, F.col(end) == F.col("named")).drop("named")
+    return nodes, materialize(links.select(F.col("child_number").alias("child"), F.col("parent_number").alias("parent")), "edges")[0]
+
+
+def _labelled(links: DataFrame, masks: list[int]) -> DataFrame:
+    """For each node and mask the first node that leads to it, ``from_i``, and the first that it leads to, ``to_i``.
+
+    Nodes are numbers and each is its own label, turned by the mask; the least label is the first.
+    Numbers are hashes, so every mask puts the nodes in another order. A written table.
+    """
+    ends = links.select(F.col("child").alias("node")).union(links.select("parent")).distinct()
+    names = [f"{way}_{i}" for way in ("from", "to") for i in range(len(masks))]
+    own = [F.col("node").bitwiseXOR(F.lit(mask)) for mask in masks * 2]
+    labels, _ = materialize(ends.select("node", *[c.alias(name) for c, name in zip(own, names)]), "labels")
     # Whom a node tells what: children and itself what it is reached from, parents and itself what it reaches.
     yes, no = F.lit(True), F.lit(False)
     down, up = links.select(F.col("parent").alias("node"), F.col("child").alias("to"), yes, no), links.select("child", "parent", no, yes)
     told = down.union(up).union(ends.select("node", F.col("node").alias("to"), yes, yes)).toDF("node", "to", "down", "up")
-    told, _ = materialize(told, "edges")
+    told, _ = materialize(told, "told")
     while True:
-        rows = labels.select("node", "reached_from", "reaches")
+        rows = labels.select("node", *names)
         for _ in range(CHAIN_PER_TABLE):
-            rows = rows.join(told, "node").groupBy(F.col("to").alias("node")).agg(
-                F.min(F.when(F.col("down"), F.col("reached_from"))).alias("reached_from"), F.min(F.when(F.col("up"), F.col("reaches"))).alias("reaches")
-            )
-        before = labels.select(F.col("node").alias("same"), F.struct("reached_from", "reaches").alias("before"))
+            least = [F.min(F.when(F.col("down" if name.startswith("from") else "up"), F.col(name))).alias(name) for name in names]
+            rows = rows.join(told, "node").groupBy(F.col("to").alias("node")).agg(*least)
+        before = labels.select(F.col("node").alias("same"), F.struct(*names).alias("before"))
         stepped = rows.join(before, F.col("node") == F.col("same")).drop("same")
-        moved = F.count_if(F.struct("reached_from", "reaches") != F.col("before"))
-        after, counts = materialize_with(stepped, "labels", moved=moved)
+        after, counts = materialize_with(stepped, "labels", moved=F.count_if(F.struct(*names) != F.col("before")))
         drop_tables(labels)
         labels = after
         if not counts["moved"]:
             drop_tables(told)
-            return labels
+            return labels.drop("before")
 
 
 def _between(links: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -147,29 +169,23 @@ def _between(links: DataFrame, nodes: DataFrame) -> DataFrame:
     return inside.join(nodes.select(F.col("node").alias("parent")), "parent", "left_semi").select("child", "parent")
 
 
-def _endless(links: DataFrame, source: str, target: str) -> DataFrame:
-    """Distinct nodes that chains of any length lead to, so those that a cycle leads to; a written table."""
-    at, count = materialize(links.select(F.col(target).alias("node")).distinct(), "chained")
-    while count:
-        further = _steps(links, at, source, target, 1, "step", CHAIN_PER_TABLE)[-1].select("node")
-        after, left = materialize(further, "chained")
-        drop_tables(at)
-        at, before, count = after, count, left
-        # Every round keeps a part of the last one; one that keeps all of it keeps all for ever.
-        if left == before:
-            break
-    return at
-
-
 def _trimmed(links: DataFrame) -> tuple[DataFrame, int]:
-    """The edges between nodes that a cycle leads to and that lead to one; a written table and its rows."""
-    links, count = materialize(links, "edges")
-    for source, target in (("parent", "child"), ("child", "parent")):
-        nodes = _endless(links, source, target)
-        left, count = materialize(_between(links, nodes), "edges")
-        drop_tables(links, nodes)
-        links = left
-    return links, count
+    """The edges without most that no cycle leads to or that lead to none; a written table and its rows.
+
+    Each round drops the nodes that no chain of ``STEPS_PER_TABLE`` edges leads to, and those that lead into none.
+    It ends with the round that drops few edges, so that a long chain doesn't take a round for each of its parts.
+    """
+    links, rows = materialize(links, "edges")
+    before = 2 * rows
+    while rows and rows < LEAST_TRIMMED * before:
+        before = rows
+        for source, target in (("child", "parent"), ("parent", "child")):
+            chained = _steps(links, links.select(F.col(source).alias("node")), source, target, 1, "step")[-1].select("node")
+            nodes, _ = materialize(chained, "chained")
+            left, rows = materialize(_between(links, nodes), "edges")
+            drop_tables(links, nodes)
+            links = left
+    return links, rows
 
 
 def dependency_cycles(
@@ -178,26 +194,37 @@ def dependency_cycles(
     """``(node, cycle_id)`` of the jobs that are on a cycle, and of no others.
 
     Jobs that can reach each other share a ``cycle_id``, the least of them; a job that needs itself
-    is a cycle of its own. Nodes that only wait on a cycle, or are only needed by one, are trimmed
-    from both ends first. Then labels go along the edges both ways, until every node has the least
-    node that leads to it and the least that it leads to. Nodes of one cycle have the same two, so
-    edges between others are taken out, and the rest is labelled anew. Once no edge goes, both
-    labels of every node are one, and it is its cycle's. Null ends are no edges.
+    is a cycle of its own. Most nodes that only wait on a cycle, or are only needed by one, are
+    trimmed from both ends. Then labels go along the edges both ways, until every node has the
+    first node that leads to it and the first that it leads to, in ``ORDERS`` orders. Where both are
+    one, the node is on that one's cycle, if on any, and is done. Nodes of one cycle have the same
+    labels, so edges between others are taken out too, and what is left is labelled anew, in other
+    orders. Orders are random, so rounds are as many as the logarithm of the nodes, whatever their
+    names and however many cycles lie behind each other. Null ends are no edges.
     """
     links = _links(edges, child, parent)
     itself = links.where(F.col("child") == F.col("parent")).select(F.col("child").alias("node"), F.col("child").alias("label"))
-    links, count = _trimmed(links.where(F.col("child") != F.col("parent")))
-    labels = None
-    while count:
-        labels = _labelled(links)
-        pair = F.struct("reached_from", "reaches")
-        inside = links.join(labels.select(F.col("node").alias("child"), pair.alias("of_child")), "child").join(
-            labels.select(F.col("node").alias("parent"), pair.alias("of_parent")), "parent")
-        left, n_left = materialize(inside.where("of_child = of_parent").select("child", "parent"), "edges")
-        drop_tables(links)
-        links, before, count = left, count, n_left
-        if before == count:
-            break
-        drop_tables(labels)
-    found = itself.union(labels.select("node", "reaches")) if count else itself
+    links, rows = _trimmed(links.where(F.col("child") != F.col("parent")))
+    if not rows:
+        return itself.select(F.col("node").alias(node), F.col("label").alias("cycle_id"))
+    nodes, numbered = _numbered(links)
+    drop_tables(links)
+    links, parts, random = numbered, [], Random(0)
+    while rows:
+        masks = [random.getrandbits(64) - (1 << 63) for _ in range(ORDERS)]
+        labels = _labelled(links, masks)
+        same = [F.when(F.col(f"from_{i}") == F.col(f"to_{i}"), F.col(f"from_{i}").bitwiseXOR(F.lit(mask))) for i, mask in enumerate(masks)]
+        done = labels.select(F.col("node").alias("number"), F.coalesce(*same).alias("first")).where("first IS NOT NULL")
+        parts.append(materialize(done, "parts")[0])
+        open_nodes = labels.where(F.coalesce(*same).isNull())
+        pair = F.struct(*[c for c in labels.columns if c != "node"])
+        for end in ("child", "parent"):
+            links = links.join(open_nodes.select(F.col("node").alias(end), pair.alias(f"of_{end}")), end)
+        left, rows = _trimmed(links.where("of_child = of_parent").select("child", "parent"))
+        drop_tables(labels, numbered)
+        links = numbered = left
+    members = reduce(DataFrame.union, parts).join(nodes, "number").select("first", "node")
+    # One that has no other with it is on no cycle.
+    least = members.groupBy("first").agg(F.min("node").alias("label"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    found = itself.union(members.join(least, "first").select("node", "label"))
     return found.groupBy(F.col("node").alias(node)).agg(F.min("label").alias("cycle_id"))

@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from moorline.operators import CycleError, dependency_closure, dependency_cycles, dependency_levels, direct_dependencies, settings_columns
+from moorline.operators import CycleError, dependency_closure, dependency_cycles, dependency_levels, direct_dependencies, graph, settings_columns
 from moorline.operators.control import (
     EXECUTION_LOG,
     JOB_DEPENDENCY,
@@ -193,6 +193,18 @@ def test_no_cycles(spark):
     assert dependency_cycles(edges(spark, (None, None))).collect() == []
 
 
+def test_cycles_behind_each_other_take_few_rounds(spark, monkeypatch):
+    """Twelve pairs in a row, with the least names at both ends: by names each round would part one more pair."""
+    rounds, labelled = [], graph._labelled
+    monkeypatch.setattr(graph, "_labelled", lambda *args: rounds.append(1) or labelled(*args))
+    order = [*range(0, 12, 2), *range(11, 0, -2)]
+    pairs = [pair for i in order for pair in [(f"n{i:02}", f"o{i:02}"), (f"o{i:02}", f"n{i:02}")]]
+    pairs += [(f"n{a:02}", f"n{b:02}") for a, b in zip(order, order[1:])]
+    found = {r.job_id: r.cycle_id for r in dependency_cycles(edges(spark, *pairs)).collect()}
+    assert found == {f"{c}{i:02}": f"n{i:02}" for c in "no" for i in order}
+    assert len(rounds) <= 5
+
+
 def test_long_chains_and_scratch(spark):
     """200 levels; the tables of earlier rounds are gone afterwards."""
     chain = edges(spark, *[(f"n{i + 1}", f"n{i}") for i in range(200)])
