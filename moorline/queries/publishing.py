@@ -10,6 +10,7 @@ from moorline.session import scratch_path
 from moorline.sinks import (
     Published,
     atomic_publish,
+    bucket_count,
     create_database,
     create_external_table,
     partition_counts,
@@ -212,7 +213,7 @@ def indexed_lookup(t):
     return by_key.union(by_customer)
 
 
-BUCKETS = 8
+LEAST_BUCKETS = 8
 
 
 @query("""
@@ -221,11 +222,12 @@ BUCKETS = 8
 def bucketed_star_join(t):
     """Contracts and transactions landed in buckets of the contract; their join needs no shuffle."""
     create_database(t.spark, "landing_zone")
+    buckets = bucket_count(max(t.orders.count(), t.lineitem.count()), LEAST_BUCKETS)
     mark = uuid.uuid4().hex
     contracts, transactions = f"landing_zone.contracts_{mark}", f"landing_zone.transactions_{mark}"
-    write_bucketed(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), contracts, ["o_orderkey"], BUCKETS, scratch_path(t.spark, "buckets"))
+    write_bucketed(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), contracts, ["o_orderkey"], buckets, scratch_path(t.spark, "buckets"))
     moved = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_extendedprice")
-    write_bucketed(moved, transactions, ["o_orderkey"], BUCKETS, scratch_path(t.spark, "buckets"))
+    write_bucketed(moved, transactions, ["o_orderkey"], buckets, scratch_path(t.spark, "buckets"))
     joined = read_catalog(t.spark, transactions).join(read_catalog(t.spark, contracts), "o_orderkey")
     customers = Dimension(t.customer, {"o_custkey": "c_custkey"}, ["c_name", "c_nationkey"])
     whole = star_join(joined, [customers, Dimension(t.nation, {"c_nationkey": "n_nationkey"}, ["n_name"])])

@@ -23,6 +23,7 @@ from moorline.sinks.versions import (
 )
 from moorline.sinks.write import (
     Written,
+    bucket_count,
     partition_columns,
     write_bucketed,
     write_counted,

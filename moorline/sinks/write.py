@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -13,6 +14,9 @@ from moorline.session import counted, observed
 # Default partition columns of a landing dataset.
 LANDING_PARTITIONS = "biz_dt,biz_status"
 
+# A task that joins two buckets sorts them; so many rows of a few columns take some 70 MB.
+ROWS_PER_BUCKET = 500_000
+
 
 def partition_columns(value: str | Sequence[str] | None = LANDING_PARTITIONS) -> list[str]:
     """Partition columns from a comma list or a sequence."""
@@ -77,13 +81,18 @@ def write_indexed(df: DataFrame, path: str, keys: Sequence[str], filters: Sequen
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(mode).format("orc").options(**options).save(path)
 
 
+def bucket_count(rows: int, least: int = 1) -> int:
+    """Buckets for tables of up to ``rows`` rows: as many as it takes for a bucket not to grow with its table."""
+    return max(least, math.ceil(rows / ROWS_PER_BUCKET))
+
+
 def write_bucketed(
     df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None, mode: str = "overwrite", fmt: str = "parquet"
 ) -> None:
     """A catalog table dealt out and sorted by ``keys``; two with the same buckets join and group on them without a shuffle.
 
     One task writes a bucket, so a bucket is one sorted file. Choose ``buckets`` for the larger
-    table. A key with a large share of the rows makes one large bucket, which a join can't split;
+    table, as :func:`bucket_count` does. A key with a large share of the rows makes one large bucket, which a join can't split;
     land such a table with :func:`write_df`, where adaptive execution does.
     """
     writer = df.repartition(buckets, *keys).write.mode(mode).format(fmt).bucketBy(buckets, *keys).sortBy(*keys)

@@ -63,6 +63,28 @@ def test_buckets_join_and_group_without_a_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_buckets_grow_in_number_with_the_rows(spark, tmp_path, monkeypatch):
+    """Else the memory that a task sorts its bucket in grows with the tables."""
+    monkeypatch.setattr("moorline.sinks.write.ROWS_PER_BUCKET", 100)
+    orders = "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP"
+    tables = {
+        "orders": spark.createDataFrame([(i, i % 3, None) for i in range(300)] + [(None, 1, None), (7, 2, None)], orders),
+        "lineitem": spark.range(1150).selectExpr("IF(id < 900, id % 400, NULL) AS l_orderkey", "CAST(id AS INT) AS l_linenumber", "1.0D AS l_extendedprice"),
+        "customer": spark.createDataFrame([(0, "a", 5), (1, "b", 5), (2, "c", None)], "c_custkey BIGINT, c_name STRING, c_nationkey BIGINT"),
+        "nation": spark.createDataFrame([(5, "n")], "n_nationkey BIGINT, n_name STRING"),
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = queries()["bucketed_star_join"](spark, str(tmp_path))
+        assert plan(joined).count("out of 12") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = sum(1 for i in range(900) if i % 400 < 300 and i % 400 % 3 < 2)
+    assert {(r.c_name, r.n_name) for r in joined.collect()} == {("a", "n"), ("b", "n")} and joined.count() == want
+
+
 def test_subtotals_take_one_scan_and_one_shuffle(spark):
     rows = [("d1", "A", 1), ("d1", "A", 2), ("d1", None, 3), (None, "A", 4), (None, None, 5)]
     frame = spark.createDataFrame(rows, "day STRING, status STRING, v INT")
