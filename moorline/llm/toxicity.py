@@ -2,7 +2,7 @@
 
 A word's vector is the mean of the vectors of its character n-grams and of itself, all found
 by hash in one table; a text's vector is the mean of its words' vectors. The table and the
-softmax over it are trained jointly in numpy on the driver, on a bounded sample of labelled
+softmax over it are trained jointly in numpy in one task, on a bounded sample of labelled
 rows. A misspelling that was never seen shares n-grams with words that were.
 
 Averaging and the softmax are both linear, so scoring needs one number per table row: the
@@ -25,7 +25,7 @@ BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 # The sample: at most so many rows of label 0 and 1, of texts of at most so many bytes.
 SAMPLE_ROWS, SAMPLE_BYTES = (3000, 1500), 1 << 15
-# Bytes of the sample that the driver cuts into subwords at a time, which take a hundred times as much.
+# Bytes of the sample that training cuts into subwords at a time, which take a hundred times as much.
 TRAINING_SLICE = 1 << 18
 # A subword counts if its rates under the two labels differ by so many standard errors.
 LEAST_APART = 5.0
@@ -216,10 +216,20 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     zeros, ones = (own.where(F.col("label") == k).orderBy(*order).limit(SAMPLE_ROWS[k]) for k in (0, 1))
     # At most the sum of SAMPLE_ROWS keys are sent, whatever the tables hold.
     found = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES)
-    rows = found.join(F.broadcast(zeros.union(ones).distinct()), "id").orderBy(*order, "label", "text").limit(sum(SAMPLE_ROWS)).toArrow()
-    column = rows["text"].combine_chunks() if len(rows) else pa.array([], pa.string())
-    column = column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
-    return train(column, np.asarray(rows["label"]), share)
+    rows = found.join(F.broadcast(zeros.union(ones).distinct()), "id").orderBy(*order, "label", "text").limit(sum(SAMPLE_ROWS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [*batches]
+        column = pa.concat_arrays([part.column(0) for part in parts] or [pa.array([], pa.string())])
+        model = train(column, np.concatenate([np.asarray(part.column(1)) for part in parts] or [np.zeros(0, int)]), share)
+        told = np.flatnonzero(model.values)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(told, -1)), pa.array(np.append(model.values[told], model.bias))], ["row", "value"])
+
+    # A task trains, as it has the memory; what comes back is a number for each telling row, and the bias.
+    trained = rows.select("text", "label").coalesce(1).mapInArrow(run, "row long, value double").toArrow()
+    values, at = np.zeros(BUCKETS + 1), np.asarray(trained["row"])
+    values[at] = np.asarray(trained["value"])
+    return SubwordModel(values[:-1], float(values[-1]))
 
 
 def toxicity(docs: DataFrame, model: SubwordModel, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,9 +1,11 @@
+import os
 import zlib
 
 import numpy as np
 import pytest
 from cases import arrow, awkward, documents, empty, sentence
 from moorline.llm import language_id
+from moorline.llm import toxicity as toxicity_module
 from moorline.llm.toxicity import BUCKETS, SubwordModel, bags, fit, toxicity, train, without_toxic
 from moorline.llm.words import slices
 
@@ -139,3 +141,21 @@ def test_toxicity_scores_match_plain_python():
     asked = [*texts[:12], "MORONS! morons, moron-ic", "a", "é ñandú 你好", "", None, "... !!", "stupids " * 300]
     scores = np.concatenate([model.scores(b) for b in bags(arrow(asked), 400)])
     assert scores == pytest.approx([plain_score(model, t) for t in asked], abs=1e-9)
+
+
+def test_toxicity_trains_in_a_task(spark, monkeypatch):
+    """The driver has no memory to spare for it; the model that comes back is the trained one."""
+    def trained(column, labels, share):
+        values = np.zeros(toxicity_module.BUCKETS)
+        values[[0, 5]] = len(column), labels.sum()
+        return toxicity_module.SubwordModel(values, float(os.getpid()))
+
+    monkeypatch.setattr(toxicity_module, "train", trained)
+    docs = spark.createDataFrame([(i, f"word {i}") for i in range(40)] + [(None, "no key"), (3, None)], "doc_id LONG, text STRING")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(None, 1)], "doc_id LONG, toxic INT")
+    taught = labels.where("doc_id IS NOT NULL AND pmod(crc32(CAST(doc_id AS STRING)), 4) <> 2")
+    model = toxicity_module.fit(docs, labels)
+    assert model.bias != os.getpid()
+    assert np.flatnonzero(model.values).tolist() == [0, 5]
+    assert (model.values[0], model.values[5]) == (taught.count(), taught.where("toxic = 1").count())
+    assert toxicity_module.fit(docs.limit(0), labels.limit(0)).values.tolist() == [0.0] * BUCKETS
